@@ -15,7 +15,7 @@ ColumnLike = Column | str
 SELF = object()
 
 # White space as Unicode sees it, not only the blank that ``trim`` removes.
-_EDGE_SPACE = r"\A[\s\x0B\x{85}\p{Z}]+|[\s\x0B\x{85}\p{Z}]+\z"
+WHITE_SPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
 def as_column(c: ColumnLike) -> Column:
@@ -33,7 +33,7 @@ def as_condition(c: ColumnLike) -> Column:
 def strip(c: ColumnLike, blanks_only: bool = False) -> Column:
     """Remove surrounding white space (tabs and line ends included unless ``blanks_only``)."""
     c = as_column(c)
-    return F.trim(c) if blanks_only else F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.trim(c) if blanks_only else F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def zfill(c: ColumnLike, width: int) -> Column:
@@ -162,8 +162,8 @@ def id_normalise(c: ColumnLike, strict: bool = True) -> Column:
 
     Strict: text that is no number stops the job. Lenient: it becomes null. Null stays null.
     """
-    text = strip(as_column(c).cast("string"))
-    number = text.try_cast("decimal(38,6)").try_cast("bigint")
+    text = as_column(c).cast("string")
+    number = strip(text).try_cast("decimal(38,6)").try_cast("bigint")
     if not strict:
         return number
     complaint = F.raise_error(F.concat(F.lit("not an ID: "), text)).cast("bigint")

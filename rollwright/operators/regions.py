@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +30,12 @@ def _region_conditions(
     return conditions
 
 
+def _line_key(line: str) -> Column:
+    """Line position to a millionth of a unit: exact for page coordinates, and, unlike a double, a
+    grouping key whose partitioning Spark can reuse."""
+    return F.col(line).cast("decimal(18,6)")
+
+
 def region_text(
     words: DataFrame,
     regions: Mapping[str, Rect] | Mapping[str, Mapping[str, Rect]],
@@ -47,20 +52,26 @@ def region_text(
     join. With ``template`` it is keyed first by the page template.
 
     Two steps, line then page: the words of a hot page are gathered by line in many tasks, and only
-    finished lines meet in the task that owns the page. A page without a word in any region still
-    gives its row.
+    finished lines meet in the task that owns the page. A list of words does not shrink before the
+    shuffle, so the words are shuffled as they are rather than as half-built lists. A page without a
+    word in any region still gives its row.
     """
     conditions = _region_conditions(regions, template)
     slots = {name: f"__region_{i}" for i, name in enumerate(conditions)}
-    flagged = words.withColumns({s: F.when(conditions[n], F.col(word)) for n, s in slots.items()})
-    lines = flagged.groupBy(*page, line).agg(
+    flagged = words.select(
+        *page,
+        _line_key(line).alias("__line"),
+        F.col(across).alias("__across"),
+        *[F.when(conditions[n], F.col(word)).alias(s) for n, s in slots.items()],
+    )
+    lines = flagged.repartition(*page, "__line").groupBy(*page, "__line").agg(
         *[
-            F.expr(f"listagg({s}, ' ') within group (order by {across}, {s})").alias(s)
+            F.expr(f"listagg({s}, ' ') within group (order by __across, {s})").alias(s)
             for s in slots.values()
         ]
     )
     pages = lines.groupBy(*page).agg(
-        *[F.expr(f"listagg({s}, '\\n') within group (order by {line})").alias(s) for s in slots.values()]
+        *[F.expr(f"listagg({s}, '\\n') within group (order by __line)").alias(s) for s in slots.values()]
     )
     return pages.select(*page, *[F.col(s).alias(n) for n, s in slots.items()])
 
@@ -77,14 +88,18 @@ def region_text_long(
     """The same as rows (page, region, text), for region maps too wide to become columns."""
     conditions = _region_conditions(regions, template)
     names = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in conditions.items()]))
-    tagged = words.withColumn("region", F.explode(names))
-    lines = tagged.groupBy(*page, "region", line).agg(
-        F.expr(f"listagg({word}, ' ') within group (order by {across}, {word})").alias("text")
+    tagged = words.select(
+        *page,
+        F.explode(names).alias("region"),
+        _line_key(line).alias("__line"),
+        F.col(across).alias("__across"),
+        F.col(word).alias("__word"),
+    )
+    keys = [*page, "region", "__line"]
+    lines = tagged.repartition(*keys).groupBy(*keys).agg(
+        F.expr("listagg(__word, ' ') within group (order by __across, __word)").alias("text")
     )
     return lines.groupBy(*page, "region").agg(
-        F.expr(f"listagg(text, '\\n') within group (order by {line})").alias("text")
+        F.expr(f"listagg(text, '\\n') within group (order by __line)").alias("text")
     )
 
-
-def region_names(regions: Mapping[str, Mapping[str, Rect]]) -> list[str]:
-    return list(reduce(lambda a, b: a | b, ({n: None for n in named} for named in regions.values()), {}))

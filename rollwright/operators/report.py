@@ -138,6 +138,9 @@ def report_bundle(
     bounded_levels: Sequence[str] = (),
 ) -> dict[tuple[str, str], DataFrame]:
     """All reports of a run: (kind, level) -> text records."""
+    unknown = {kind for kind, _ in tables} - set(reports)
+    if unknown:
+        raise ValueError(f"no report format for {sorted(unknown)}")
     return {
         (kind, level): build_report(
             df, reports[kind], level, order_by[kind, level], total, bounded=level in bounded_levels

@@ -74,15 +74,8 @@ def extract_pages(pages: DataFrame, layout: PageLayout) -> DataFrame:
         names = [f"{level}_{of}_Percentage" for of in PERCENT_OF]
         region = layout.level_region.format(level)
         df = with_fixed_matches(df, region, PERCENT_PATTERN, names, f"{level}_Mismatch").drop(region)
-    df = df.withColumns(
-        {
-            name: column
-            for name, column in zip(
-                layout.title_columns,
-                split_to_columns(F.col(layout.title_region), "\n", layout.title_columns, exact=True),
-            )
-        }
-    ).drop(layout.title_region)
+    df = df.withColumnRenamed(layout.title_region, "__title")
+    df = df.select("*", *split_to_columns("__title", "\n", layout.title_columns, exact=True)).drop("__title")
     trims = {layout.info_region: (), **layout.trimmed}
     df = df.withColumns({c: F.nullif(replace_chain(c, pairs), F.lit("")) for c, pairs in trims.items()})
     voided = F.coalesce(F.col(layout.score_region) == VOID_MARK, F.lit(False))

@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from rollwright.operators.report import ReportFormat, build_report
+from rollwright.operators.report import ReportFormat, report_bundle
 from rollwright.operators.rollup import multi_level_rollup, ordered_union
 from rollwright.sources.sinks import write_headerless_csv
 
@@ -53,20 +53,15 @@ def subgroup_reports(
     """
     total_flag = "is_total"
     subgroups = ordered_union(subgroup_sets)
-    reports = {}
+    tables, order_by = {}, {}
     for kind, plan in plans.items():
         counts = subgroup_counts(plan, subgroup_sets, levels, id_column, count_name, total_flag)
         for level, table in counts.items():
-            entity = levels[level]
-            keys = [*([entity] if entity else []), *plan.basic, *[c for c in subgroups if c not in plan.basic]]
-            reports[kind, level] = build_report(
-                table,
-                plan.format,
-                level,
-                order_by=keys,
-                total=None if null_only_total else total_flag,
-            )
-    return reports
+            entity = [levels[level]] if levels[level] else []
+            tables[kind, level] = table
+            order_by[kind, level] = [*entity, *plan.basic, *[c for c in subgroups if c not in plan.basic]]
+    formats = {kind: plan.format for kind, plan in plans.items()}
+    return report_bundle(tables, formats, order_by, None if null_only_total else total_flag)
 
 
 def publish_reports(
