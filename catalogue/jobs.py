@@ -59,7 +59,7 @@ def site_list(spark, sf_dir):
         compose_key(zfill("n_regionkey", 3), zfill("n_nationkey", 3)).alias("site_code"),
         F.col("r_name").alias("district_name"),
         F.col("n_name").alias("site_name"),
-        F.when(F.col("n_nationkey") == 7, F.lit("R36")).otherwise(F.lit("")).alias("report_code"),
+        F.when(F.col("n_nationkey") == 7, F.lit("S99")).otherwise(F.lit("")).alias("report_code"),
     )
 
 
@@ -75,24 +75,24 @@ _RULES = RosterRules(
     drop_kind="5",
     drop_site_part="13",
     excluded_sites=["001001"],
-    special_report_code="R36",
+    special_report_code="S99",
     special_district_name="Special",
     site_shown_above="003",
-    site_shown_except=["R36"],
+    site_shown_except=["S99"],
 )
 
 _PREPARED = f"""(
     SELECT coalesce(active_id, id) AS person_id, last_name, grade, kind AS record_kind,
-           CASE WHEN dc > '003' AND dc <> 'R36' THEN site_code ELSE dc END AS district_code,
-           CASE WHEN dc > '003' AND dc <> 'R36' THEN site_name ELSE dn END AS district_name,
+           CASE WHEN dc > '003' AND dc <> 'S99' THEN site_code ELSE dc END AS district_code,
+           CASE WHEN dc > '003' AND dc <> 'S99' THEN site_name ELSE dn END AS district_name,
            site_code, site_name, CAST(n AS VARCHAR) AS site_part, CASE WHEN length(day) < 2 THEN '0' || day ELSE day END AS birth_day,
            '7' AS birth_month, year AS birth_year
-    FROM (SELECT p.*, active_id, site_name, CASE WHEN report_code = 'R36' THEN 'R36' ELSE lpad(CAST(r AS VARCHAR), 3, '0') END AS dc,
-                 CASE WHEN report_code = 'R36' THEN 'Special' ELSE district_name END AS dn
+    FROM (SELECT p.*, active_id, site_name, CASE WHEN report_code = 'S99' THEN 'S99' ELSE lpad(CAST(r AS VARCHAR), 3, '0') END AS dc,
+                 CASE WHEN report_code = 'S99' THEN 'Special' ELSE district_name END AS dn
           FROM (SELECT *, lpad(CAST(r AS VARCHAR), 3, '0') || lpad(CAST(n AS VARCHAR), 3, '0') AS site_code FROM {_ROSTER}) p
           LEFT JOIN (SELECT s_suppkey * 3 AS retired_id, s_suppkey * 3 + 1 AS active_id FROM supplier) ON id = retired_id
           LEFT JOIN (SELECT lpad(CAST(n_regionkey AS VARCHAR), 3, '0') || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS sc,
-                            r_name AS district_name, n_name AS site_name, CASE WHEN n_nationkey = 7 THEN 'R36' ELSE '' END AS report_code
+                            r_name AS district_name, n_name AS site_name, CASE WHEN n_nationkey = 7 THEN 'S99' ELSE '' END AS report_code
                      FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 9) ON site_code = sc
           WHERE kind <> '5' AND n <> 13 AND grade = '12' AND site_code <> '001001'))"""
 

@@ -23,7 +23,7 @@ def filter_ne(df: DataFrame, column: str, value: Any) -> DataFrame:
 
 
 def filter_gt(df: DataFrame, column: str, value: Any) -> DataFrame:
-    """Greater than; codes are compared as text ('R36' > '069')."""
+    """Greater than; codes are compared as text ('B1' > '200')."""
     return df.where(F.col(column) > F.lit(value))
 
 

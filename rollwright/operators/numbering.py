@@ -16,20 +16,27 @@ _POSITION_BITS = (1 << 33) - 1
 def record_number(
     df: DataFrame, order_by: Sequence[str], name: str = "record_number", bounded: bool = False
 ) -> DataFrame:
-    """Number the rows 1..N in the order of columns that together identify a row (nulls first).
+    """Number the rows 1..N in the order of the given columns (nulls first).
+
+    Rows equal in these columns follow each other by a hash of the whole row, so that numbers repeat
+    from run to run; copies of one row are interchangeable.
 
     A global ``row_number()`` would sort everything in one task. Here the rows are range-partitioned
     by the full order, numbered within their partition and written; the partition sizes (one row for
     each partition, hence the broadcast) then give each partition its offset. The written copy keeps
-    partition and position fixed if a task runs again.
+    partition and position fixed if a task runs again. The task a row comes from is the last range
+    key: it stays the same if the task is repeated, and cuts a large group of copies into pieces.
 
     ``bounded`` is for tables whose size is fixed by their construction, such as the cells of a
     zero-filled report: those are numbered by one window without a written copy.
     """
     order = [F.asc_nulls_first(c) for c in order_by]
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     if bounded:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order, row_hash)).cast("bigint"))
+    order += [F.asc("__hash"), F.asc("__task")]
+    tied = df.withColumns({"__hash": row_hash, "__task": F.spark_partition_id()})
+    ranged = tied.repartitionByRange(*order).sortWithinPartitions(*order).drop("__hash", "__task")
     placed = materialise(
         ranged.withColumn("__part", F.spark_partition_id()).withColumn(
             "__pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS))

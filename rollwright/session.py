@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime SQL settings every plan of this package relies on.
 RUNTIME_SETTINGS = {
@@ -18,13 +19,32 @@ RUNTIME_SETTINGS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
+# Target size of a shuffle partition, and the most partitions one shuffle may start with.
+PARTITION_BYTES = 128 << 20
+MOST_PARTITIONS = 100_000
+
+
+def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings to a session somebody else built.
+
+    With the size of the input, shuffles start with enough partitions for each to fit in memory;
+    adaptive execution merges the small ones but cannot cut up a partition that is merely large.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if input_bytes is not None:
+        wanted = min(-(-input_bytes // PARTITION_BYTES), MOST_PARTITIONS)
+        start = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
     return spark
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files under a path, from their listing: no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def build_session(app: str = "rollwright", master: str | None = None, **settings: str) -> SparkSession:
     """Build a session; on a cluster leave ``master`` to spark-submit."""
     builder = SparkSession.builder.appName(app)

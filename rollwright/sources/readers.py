@@ -6,12 +6,13 @@ import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollwright.functions.columns import strip
 from rollwright.operators.numbering import record_number
+from rollwright.session import materialise
 
 LINE = "line"
 # Separator that does not occur in text files: makes the CSV reader deliver whole lines.
@@ -186,14 +187,24 @@ def row_length_profile(
 
 def examine_row_lengths(spark: SparkSession, path: str, in_bytes: bool = False) -> DataFrame:
     """Row number and length of each line of a file, in file order."""
-    lines = spark.read.text(path).select(
-        F.col("value").alias(LINE),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        # Rises with the position inside a block; blocks are told apart by where they start.
-        F.monotonically_increasing_id().alias("position"),
+    # The lines are not sorted: inside a block their positions rise one by one, so the blocks, sorted
+    # by file and start and counted, say where each block's numbers begin. Those are one row for each
+    # input split. The written copy keeps the positions fixed if a scan task runs again.
+    block = ["file", "block"]
+    lines = materialise(
+        spark.read.text(path).select(
+            (F.octet_length if in_bytes else F.length)("value").alias("row_length"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("position"),
+        ),
+        "line-lengths",
     )
-    return row_length_profile(lines, ["file", "block", "position"], LINE, in_bytes).select("row_number", "row_length")
+    sizes = lines.groupBy(*block).agg(F.count("*").alias("size"), F.min("position").alias("first"))
+    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*block, "first", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
+    number = F.col("before") + F.col("position") - F.col("first") + 1
+    return lines.join(starts, block).select(number.alias("row_number"), "row_length")
 
 
 def row_length_histogram(lines: DataFrame, line: str = LINE, in_bytes: bool = False) -> DataFrame:

@@ -64,8 +64,9 @@ def lookup(spark):
         lambda s: J.replace_by_lookup(facts(s), "k", lookup(s).withColumnRenamed("k", "old"), "old", "new"),
         lambda s: J.left_enrich(facts(s), D.best_row_per_key(lookup(s), ["k"], ["new"]), "k"),
         lambda s: J.left_enrich(facts(s), lookup(s).where("new < 1000"), "k"),
+        lambda s: J.left_enrich(facts(s).withColumn("k", F.nullif("k", F.lit(1))), lookup(s).where("new < 1000"), "k"),
     ],
-    ids=["semi", "anti", "flag", "replace", "best-row-lookup", "plain-lookup"],
+    ids=["semi", "anti", "flag", "replace", "best-row-lookup", "plain-lookup", "null-key"],
 )
 def test_a_hot_key_is_split(hot, build):
     assert "skew=true" in run_plan(build(hot))

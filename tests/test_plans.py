@@ -32,13 +32,13 @@ def prepared(spark):
         " birth_day string, birth_month string, birth_year string",
     )
     sites = spark.createDataFrame(
-        [("001007", "North", "Hill", ""), ("005008", "South", "Lake", ""), ("004009", "West", "Dale", "R36")],
+        [("001007", "North", "Hill", ""), ("005008", "South", "Lake", ""), ("004009", "West", "Dale", "S99")],
         "site_code string, district_name string, site_name string, report_code string",
     )
     retired = spark.createDataFrame([(1, 100)], "retired_id bigint, active_id bigint")
     rules = RO.RosterRules(
-        "12", "11", "5", "997", ["002002"], special_report_code="R36", special_district_name="Special",
-        site_shown_above="003", site_shown_except=["R36"],
+        "12", "11", "5", "997", ["002002"], special_report_code="S99", special_district_name="Special",
+        site_shown_above="003", site_shown_except=["S99"],
     )
     return roster, sites, retired, rules
 
@@ -48,7 +48,7 @@ def test_roster_prepare(spark, prepared):
     got = rows(out.roster, "person_id", "site_code", "birth_day", "district_code_name")
     assert got == [
         (2, "005008", "12", "005008_Lake"),
-        (3, "004009", "03", "R36_Special"),
+        (3, "004009", "03", "S99_Special"),
         (100, "001007", "03", "001_North"),
     ]
     assert rows(out.other_grade, "person_id", "birth_day") == [("7", "3")]
@@ -91,22 +91,22 @@ def test_void_files_by_path(spark, tmp_path):
 
 
 HISTORY = [
-    (1, 20.5, "LA file", 1),
-    (1, 33.0, "SEA", 2),
+    (1, 20.5, "Prime file", 1),
+    (1, 33.0, "EAST", 2),
     (1, NAN, "x", 3),  # no priority: null ranks first, its score counts as 0
-    (2, 17.9, "SEA", 4),
-    (2, 18.2, "sea", 5),
-    (3, NAN, "LA", 6),  # no valid score
-    (4, None, "LA", 7),
-    (6, 25.0, "LA", 8),
-    (6, 25.0, "LA", 9),
+    (2, 17.9, "EAST", 4),
+    (2, 18.2, "east", 5),
+    (3, NAN, "PRIME", 6),  # no valid score
+    (4, None, "PRIME", 7),
+    (6, 25.0, "PRIME", 8),
+    (6, 25.0, "PRIME", 9),
 ]
 ROSTER = [(1, "a"), (2, "b"), (2, "b2"), (3, "c"), (4, "d"), (5, "e"), (None, "n"), (6, "f")]
 
 
 def history(spark, **changes):
     table = spark.createDataFrame(HISTORY, "person_id bigint, score double, source string, seq bigint")
-    settings = dict(rank_by=["priority", "score"], tiebreak=["seq"], priorities=[("la", 1), ("sea", 0)])
+    settings = dict(rank_by=["priority", "score"], tiebreak=["seq"], priorities=[("prime", 1), ("east", 0)])
     return RO.History(table, "person_id", "score", "source", **(settings | changes))
 
 

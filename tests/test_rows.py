@@ -49,5 +49,23 @@ def test_record_number_of_equal_rows_is_still_gapless(spark):
     assert [r[0] for r in rows(record_number(df, ["s"], "n"), "n")] == list(range(1, 401))
 
 
+def test_copies_are_cut_into_pieces(spark):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = record_number(spark.range(0, 4000, 1, 8).select(F.lit("same").alias("s")), ["s"], "n")
+        sizes = [spark.read.parquet(f).count() for f in set(got.inputFiles())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sum(sizes) == 4000 and max(sizes) < 2000
+
+
+def test_ties_get_the_same_numbers_again(spark):
+    df = spark.range(0, 500, 1, 3).select((F.col("id") % 5).alias("k"), "id")
+    again = df.repartition(7)
+    assert rows(record_number(df, ["k"], "n")) == rows(record_number(again, ["k"], "n"))
+    assert rows(record_number(df, ["k"], "n")) == rows(record_number(df, ["k"], "n", bounded=True))
+
+
 def test_record_number_of_nothing(spark):
     assert record_number(spark.createDataFrame([], "s string"), ["s"], "n").count() == 0

@@ -115,6 +115,22 @@ def test_table_is_replaced(spark):
     spark.sql("DROP TABLE rollwright_t")
 
 
+def test_shuffles_start_with_partitions_for_the_input(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    put(tmp_path / "sub" / "a.txt", "x" * 1000)
+    assert session.stored_bytes(spark, str(tmp_path)) == 1000
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        session.tune(spark, 1000)
+        assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
+        session.tune(spark, 1 << 40)
+        assert spark.conf.get(key) == "8192"
+        session.tune(spark, 10 << 50)
+        assert spark.conf.get(key) == "100000"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_scratch_follows_the_session_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     path = session.scratch_path(spark, "x")
