@@ -166,6 +166,14 @@ def read_table(spark, sf_dir):
     return orders.where("o_orderstatus <> 'P'").select("o_orderkey", "o_orderstatus")
 
 
+@query("materialise_table", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey")
+def materialise_table(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    sinks.materialise_table(orders, "rollwright_kept", scratch_path(spark, "table"))
+    counted = spark.table("rollwright_kept").groupBy("o_custkey").agg(F.count("*").alias("n"))
+    return sinks.materialise_table(counted, "rollwright_counts", scratch_path(spark, "table"))
+
+
 @query("write_parquet_and_csv", "SELECT c_custkey, c_name, c_nationkey FROM customer UNION ALL SELECT c_custkey, c_name, c_nationkey FROM customer")
 def write_parquet_and_csv(spark, sf_dir):
     base = scratch_path(spark, "both")

@@ -235,30 +235,25 @@ def flagged(spark, sf_dir):
 
 
 def _crosswalk(spark, sf_dir):
-    """Two rows for each site, the old codes of some, no organization for one."""
-    nation = table(spark, sf_dir, "nation")
+    """One row for each customer of a site, the old codes of some, no organization for one."""
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     code = compose_key(zfill("n_regionkey", 3), zfill("n_nationkey", 3))
-    rows = nation.select(
+    rows = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.when(F.col("n_nationkey") < 5, F.concat(F.lit("OLD"), code)).otherwise(code).alias("site_code"),
-        F.explode(F.array(F.lit("B"), F.lit("A"))).alias("letter"),
-        "n_nationkey",
-        "n_regionkey",
-    ).select(
-        "site_code",
-        F.when(F.col("n_nationkey") != 8, F.concat("letter", F.col("n_nationkey").cast("string"))).alias("organization"),
+        F.when(F.col("n_nationkey") != 8, F.concat("c_mktsegment", "c_name")).alias("organization"),
         F.col("n_regionkey").cast("string").alias("parent"),
     )
     site_map = nation.where("n_nationkey < 5").select(F.concat(F.lit("OLD"), code).alias("old_site"), code.alias("new_site"))
     return clean_crosswalk(rows, site_map, ["002011"], "site_code", "organization", "parent")
 
 
-@query(
-    "clean_crosswalk",
-    """
-    SELECT * FROM (SELECT lpad(CAST(n_regionkey AS VARCHAR), 3, '0') || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS site_code,
-           CASE WHEN n_nationkey <> 8 THEN 'A' || n_nationkey END AS organization, CAST(n_regionkey AS VARCHAR) AS parent FROM nation)
-    WHERE site_code <> '002011'""",
-)
+_CROSSWALK = """(
+    SELECT lpad(CAST(n_regionkey AS VARCHAR), 3, '0') || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS site_code,
+           min(CASE WHEN n_nationkey <> 8 THEN c_mktsegment || c_name END) AS organization, CAST(n_regionkey AS VARCHAR) AS parent
+    FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey, n_nationkey)"""
+
+
+@query("clean_crosswalk", f"SELECT * FROM {_CROSSWALK} WHERE site_code <> '002011'")
 def crosswalk(spark, sf_dir):
     return _crosswalk(spark, sf_dir)
 
@@ -271,8 +266,7 @@ def crosswalk(spark, sf_dir):
                UNION ALL
                SELECT id, last_name, lpad(CAST(r AS VARCHAR), 3, '0') || lpad(CAST(n AS VARCHAR), 3, '0'), day, '7', year
                FROM {_ROSTER} WHERE kind <> '5' AND n <> 13 AND grade = '11'),
-    cw AS (SELECT lpad(CAST(n_regionkey AS VARCHAR), 3, '0') || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS site,
-                  'A' || n_nationkey AS organization FROM nation WHERE n_nationkey NOT IN (8))
+    cw AS (SELECT site_code AS site, organization FROM {_CROSSWALK} WHERE organization IS NOT NULL)
     SELECT CAST(person_id AS VARCHAR) AS "State ID", last_name, organization,
            CASE WHEN substr(site_code, 1, 1) IN ('5', '6') THEN 'X' ELSE 'Y' END AS opt_in,
            CASE WHEN birth_year = '1900' THEN birth_day ELSE birth_month || '/' || birth_day || '/' || birth_year END AS birth_date,
@@ -324,7 +318,8 @@ def _site_tables(spark, sf_dir):
     conversion = sites.where("c_mktsegment = 'AUTOMOBILE'").select(
         F.col("site").alias("site_from"), F.concat(F.substring("site", 1, 3), F.lit("B")).alias("site_to")
     )
-    opened = sites.select("site", (F.col("c_nationkey") % 8).alias("status"))
+    closed = F.col("c_nationkey").isin(2, 6, 7, 10, 14, 15, 18, 22, 23)
+    opened = sites.select("site", F.when(closed, F.lit(6)).otherwise(F.lit(1)).alias("status"))
     listed = sites.where("c_nationkey <> 12").select("site")
     return conversion, opened, listed
 
@@ -385,7 +380,7 @@ _CLASSIFIED = f"""(
     placed AS (SELECT k.*, coalesce(substr(s.site, 1, 3) || 'B', k.site) AS final_site FROM kept k
                LEFT JOIN (SELECT site FROM sites WHERE c_mktsegment = 'AUTOMOBILE') s ON k.site = s.site),
     checked AS (SELECT *, substr(final_site, 1, 3) AS district FROM placed
-                WHERE final_site IN (SELECT site FROM sites WHERE c_nationkey % 8 NOT IN (2, 6, 7))
+                WHERE final_site IN (SELECT site FROM sites WHERE c_nationkey NOT IN (2, 6, 7, 10, 14, 15, 18, 22, 23))
                   AND final_site IN (SELECT site FROM sites WHERE c_nationkey <> 12)),
     flags AS (SELECT *, CASE WHEN l_linenumber = 1 THEN true
                              WHEN l_linenumber = 3 AND priority = '2-HIGH' AND (l_returnflag = 'R' OR l_linestatus = 'R') THEN true

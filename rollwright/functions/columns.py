@@ -163,7 +163,9 @@ def id_normalise(c: ColumnLike, strict: bool = True) -> Column:
     Strict: text that is no number stops the job. Lenient: it becomes null. Null stays null.
     """
     text = as_column(c).cast("string")
-    number = strip(text).try_cast("decimal(38,6)").try_cast("bigint")
+    bare = strip(text)
+    # Plain digits take the short way; "12.0" and "1e3" the decimal one.
+    number = F.coalesce(bare.try_cast("bigint"), bare.try_cast("decimal(38,6)").try_cast("bigint"))
     if not strict:
         return number
     complaint = F.raise_error(F.concat(F.lit("not an ID: "), text)).cast("bigint")

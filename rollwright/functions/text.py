@@ -79,12 +79,13 @@ def with_fixed_matches(
 
     ``mismatch`` names a boolean column that tells the rows (with their source) that did not fit.
     """
+    # A column of its own: the matches are then searched once for each row, not once for each name.
     found = F.regexp_extract_all(F.col(f"`{column}`"), F.lit(pattern), F.lit(1))
-    fits = F.coalesce(F.size(found) == len(names), F.lit(False))
-    added = {n: F.when(fits, F.get(found, F.lit(i))) for i, n in enumerate(names)}
+    fits = F.coalesce(F.size("__found") == len(names), F.lit(False))
+    added = {n: F.when(fits, F.get("__found", F.lit(i))) for i, n in enumerate(names)}
     if mismatch:
         added[mismatch] = ~fits
-    return df.withColumns(added)
+    return df.withColumn("__found", found).withColumns(added).drop("__found")
 
 
 def parse_date(c: ColumnLike, placeholders: Sequence[str] = (), fmt: str = "MM/dd/yyyy") -> Column:

@@ -14,26 +14,32 @@ _POSITION_BITS = (1 << 33) - 1
 
 
 def record_number(
-    df: DataFrame, order_by: Sequence[str], name: str = "record_number", bounded: bool = False
+    df: DataFrame,
+    order_by: Sequence[str],
+    name: str = "record_number",
+    within: Sequence[str] = (),
+    bounded: bool = False,
 ) -> DataFrame:
-    """Number the rows 1..N in the order of the given columns (nulls first).
+    """Number the rows 1..N in the order of the given columns (nulls first), for each group of
+    ``within`` anew. Groups may be of any size: they too are spread over partitions.
 
     Rows equal in these columns follow each other by a hash of the whole row, so that numbers repeat
     from run to run; copies of one row are interchangeable.
 
     A global ``row_number()`` would sort everything in one task. Here the rows are range-partitioned
     by the full order, numbered within their partition and written; the partition sizes (one row for
-    each partition, hence the broadcast) then give each partition its offset. The written copy keeps
+    each partition, and one more for each group) then give each partition its offset. The written copy keeps
     partition and position fixed if a task runs again. The task a row comes from is the last range
     key: it stays the same if the task is repeated, and cuts a large group of copies into pieces.
 
     ``bounded`` is for tables whose size is fixed by their construction, such as the cells of a
     zero-filled report: those are numbered by one window without a written copy.
     """
-    order = [F.asc_nulls_first(c) for c in order_by]
+    order = [F.asc_nulls_first(c) for c in [*within, *order_by]]
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     if bounded:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order, row_hash)).cast("bigint"))
+        window = Window.partitionBy(*within).orderBy(*order, row_hash)
+        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
     order += [F.asc("__hash"), F.asc("__task")]
     tied = df.withColumns({"__hash": row_hash, "__task": F.spark_partition_id()})
     ranged = tied.repartitionByRange(*order).sortWithinPartitions(*order).drop("__hash", "__task")
@@ -43,11 +49,13 @@ def record_number(
         ),
         "numbered",
     )
-    sizes = placed.groupBy("__part").agg(F.count("*").alias("__size"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
-    return (
-        placed.join(F.broadcast(offsets), "__part")
-        .withColumn(name, F.col("__offset") + F.col("__pos") + 1)
-        .drop("__part", "__pos", "__offset")
-    )
+    group = F.struct(*within) if within else F.lit(0)
+    placed = placed.withColumn("__group", group)
+    sizes = placed.groupBy("__part", "__group").agg(F.count("*").alias("__size"), F.min("__pos").alias("__first"))
+    before = Window.partitionBy("__group").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("__size").over(before), F.lit(0))
+    offsets = sizes.select("__part", "__group", (earlier - F.col("__first") + 1).alias("__offset"))
+    if not within:
+        offsets = F.broadcast(offsets)
+    joined = placed.join(offsets, (placed["__part"] == offsets["__part"]) & placed["__group"].eqNullSafe(offsets["__group"]))
+    return joined.select(*df.columns, (F.col("__offset") + F.col("__pos")).alias(name))

@@ -91,17 +91,18 @@ def report_body(
     df: DataFrame,
     report: ReportFormat,
     level: str,
-    order_by: Sequence[str],
+    order_by: Sequence[str] | None,
     total: str | Column | None = None,
     bounded: bool = False,
 ) -> DataFrame:
     """Number the counts by their full key and add the fixed, derived and blank columns.
 
+    Without ``order_by`` the counts have a ``file_record_number`` already.
     ``total`` says which records count everybody: a boolean column (see ``total_flag`` of the
     rollups), or nothing, which gives 'N' throughout.
     """
     at = report.level(level)
-    numbered = record_number(df, order_by, "file_record_number", bounded=bounded)
+    numbered = df if order_by is None else record_number(df, order_by, "file_record_number", bounded=bounded)
     is_total = F.lit(False) if total is None else (F.col(total) if isinstance(total, str) else total)
     added = {
         **{c: F.lit(v) for c, v in report.fixed.items()},
@@ -118,7 +119,7 @@ def build_report(
     df: DataFrame,
     report: ReportFormat,
     level: str,
-    order_by: Sequence[str],
+    order_by: Sequence[str] | None,
     total: str | Column | None = None,
     bounded: bool = False,
 ) -> DataFrame:
@@ -130,20 +131,43 @@ def build_report(
     return header_union(report_header(body, report, level, report.columns), lines)
 
 
+def number_levels(
+    tables: Mapping[str, DataFrame], entities: Mapping[str, str | None], order_by: Sequence[str]
+) -> dict[str, DataFrame]:
+    """Number the tables of all levels in one pass: stacked, ordered by entity and key, and numbered
+    within their level."""
+    stacked = union_all(
+        *[
+            df.select(
+                F.lit(level).alias("__level"),
+                (F.col(entities[level]).cast("string") if entities[level] else F.lit("")).alias("__entity"),
+                *[c for c in df.columns if c != entities[level]],
+            )
+            for level, df in tables.items()
+        ]
+    )
+    numbered = record_number(stacked, ["__entity", *order_by], "file_record_number", within=["__level"])
+    return {
+        level: numbered.where(F.col("__level") == level)
+        .withColumnRenamed("__entity", entities[level] or "__entity")
+        .drop("__level", "__entity")
+        for level in tables
+    }
+
+
 def report_bundle(
-    tables: Mapping[tuple[str, str], DataFrame],
+    tables: Mapping[str, Mapping[str, DataFrame]],
     reports: Mapping[str, ReportFormat],
-    order_by: Mapping[tuple[str, str], Sequence[str]],
+    entities: Mapping[str, str | None],
+    order_by: Mapping[str, Sequence[str]],
     total: str | Column | None = None,
-    bounded_levels: Sequence[str] = (),
 ) -> dict[tuple[str, str], DataFrame]:
-    """All reports of a run: (kind, level) -> text records."""
-    unknown = {kind for kind, _ in tables} - set(reports)
+    """All reports of a run, from kind -> level -> counts: (kind, level) -> text records."""
+    unknown = set(tables) - set(reports)
     if unknown:
         raise ValueError(f"no report format for {sorted(unknown)}")
     return {
-        (kind, level): build_report(
-            df, reports[kind], level, order_by[kind, level], total, bounded=level in bounded_levels
-        )
-        for (kind, level), df in tables.items()
+        (kind, level): build_report(df, reports[kind], level, None, total)
+        for kind, by_level in tables.items()
+        for level, df in number_levels(by_level, entities, order_by[kind]).items()
     }

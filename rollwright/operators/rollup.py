@@ -131,16 +131,16 @@ def cross_scaffold(
     """Every combination of the values of the used columns, for each subgroup set; '' where unused.
 
     The combinations are unfolded from arrays of values, one column after the other. They are spread
-    over the cluster by the first column before the others multiply them.
+    over the cluster by the basic columns before the subgroups multiply them.
     """
     subgroups = [c for c in ordered_union(subgroup_sets) if c not in basic]
     ids = _set_ids(subgroup_sets, subgroups)
     arrays = {c: f"__domain_{i}" for i, c in enumerate([*basic, *subgroups])}
     cells = column_domains(df, [*basic, *subgroups], domains).withColumnsRenamed(arrays)
-    for i, c in enumerate(basic):
+    for c in basic:
         cells = cells.withColumn(c, F.explode(arrays[c]))
-        if i == 0:
-            cells = cells.repartition(c)
+    if basic:
+        cells = cells.repartition(*basic)
     cells = cells.withColumn(_SET, F.explode(F.array(*[F.lit(i) for i in ids])))
     for c in subgroups:
         using = [i for i, s in zip(ids, subgroup_sets) if c in s]
@@ -162,9 +162,10 @@ def zero_filled_counts(
     """Counts for each cell of the scaffold; a combination nobody fell into shows 0.
 
     ``allowed`` limits the cells to legal code combinations (see ``filters.combination_mask``); it is
-    applied before the join.
+    applied before the join. Values and counts both come from one written table of finest counts, so
+    the facts are read once.
     """
-    fine = finest_counts(df, ordered_union([basic, *subgroup_sets]), id_column)
+    fine = materialise(finest_counts(df, ordered_union([basic, *subgroup_sets]), id_column), "finest-counts")
     return _zero_filled(fine, basic, subgroup_sets, name, domains, allowed, total_flag)
 
 

@@ -53,15 +53,13 @@ def subgroup_reports(
     """
     total_flag = "is_total"
     subgroups = ordered_union(subgroup_sets)
-    tables, order_by = {}, {}
-    for kind, plan in plans.items():
-        counts = subgroup_counts(plan, subgroup_sets, levels, id_column, count_name, total_flag)
-        for level, table in counts.items():
-            entity = [levels[level]] if levels[level] else []
-            tables[kind, level] = table
-            order_by[kind, level] = [*entity, *plan.basic, *[c for c in subgroups if c not in plan.basic]]
+    tables = {
+        kind: subgroup_counts(plan, subgroup_sets, levels, id_column, count_name, total_flag)
+        for kind, plan in plans.items()
+    }
     formats = {kind: plan.format for kind, plan in plans.items()}
-    return report_bundle(tables, formats, order_by, None if null_only_total else total_flag)
+    order_by = {kind: ordered_union([plan.basic, subgroups]) for kind, plan in plans.items()}
+    return report_bundle(tables, formats, levels, order_by, None if null_only_total else total_flag)
 
 
 def publish_reports(

@@ -47,16 +47,21 @@ def _cast(value: Column, dtype: str) -> Column:
 
 
 def parse_fixed_width(
-    lines: DataFrame, fields: Sequence[Field], pad: str | None = "start", line: str = LINE
+    lines: DataFrame,
+    fields: Sequence[Field],
+    pad: str | None = "start",
+    line: str = LINE,
+    width: int | None = None,
 ) -> DataFrame:
     """Lines -> columns by position.
 
     ``pad`` brings short lines to the longest length of the table: ``"start"`` (the default, as such
-    files lose leading blanks), ``"end"`` or None. The length is a one-row subquery.
+    files lose leading blanks), ``"end"`` or None. The length is a one-row subquery, and so another
+    pass over the lines; a known record length given as ``width`` saves it.
     """
     text = F.col(line)
     if pad in ("start", "end"):
-        longest = lines.agg(F.max(F.length(text))).scalar()
+        longest = F.lit(width) if width else lines.agg(F.max(F.length(text))).scalar()
         text = (F.lpad if pad == "start" else F.rpad)(text, longest, F.lit(" "))
     elif pad is not None:
         raise ValueError(f"pad must be start, end or None, not {pad!r}")
@@ -66,9 +71,14 @@ def parse_fixed_width(
 
 
 def read_fixed_width(
-    spark: SparkSession, path: str, fields: Sequence[Field], pad: str | None = "start", encoding: str = "UTF-8"
+    spark: SparkSession,
+    path: str,
+    fields: Sequence[Field],
+    pad: str | None = "start",
+    encoding: str = "UTF-8",
+    width: int | None = None,
 ) -> DataFrame:
-    return parse_fixed_width(read_lines(spark, path, encoding), fields, pad)
+    return parse_fixed_width(read_lines(spark, path, encoding), fields, pad, width=width)
 
 
 def parse_slices(lines: DataFrame, slices: Mapping[str, tuple[int, int]], line: str = LINE) -> DataFrame:

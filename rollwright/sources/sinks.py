@@ -48,9 +48,10 @@ def write_labelled_parts(df: DataFrame, label: str, directory: str) -> None:
     df.write.mode("overwrite").partitionBy(label).parquet(directory)
 
 
-def materialise_table(df: DataFrame, name: str) -> DataFrame:
-    """Replace a catalog table by this result."""
-    df.write.mode("overwrite").saveAsTable(name)
+def materialise_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Replace a catalog table by this result; with ``path`` its files lie there."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
 

@@ -92,7 +92,7 @@ def test_numbering_never_gathers_the_rows(spark):
     scans = [line for line in shape.split("\n") if "FileScan" in line]
     single = [line for line in shape.split("\n") if "SinglePartition" in line]
     # Only the partition sizes, and of them one row each, meet in one task.
-    assert len(scans) == 2 and len(single) == 1 and "ReadSchema: struct<__part:int>" in scans[1]
+    assert len(scans) == 2 and len(single) == 1 and "ReadSchema: struct<__part:int,__pos:bigint>" in scans[1]
 
 
 def test_subgroup_sets_share_one_scan(spark, tmp_path):

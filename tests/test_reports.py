@@ -62,7 +62,7 @@ def test_unknown_level_kind_and_width_are_errors(spark, people):
     with pytest.raises(ValueError, match="level"):
         build_report(counts, fmt(), "county", ["grade"])
     with pytest.raises(ValueError, match="format"):
-        report_bundle({("8", "state"): counts}, {"7": fmt()}, {("8", "state"): ["grade"]})
+        report_bundle({"8": {"state": counts}}, {"7": fmt()}, {"state": None}, {"8": ["grade"]})
     with pytest.raises(ValueError, match="five"):
         build_report(counts, fmt(columns=["grade", "Counts"]), "state", ["grade"])
 

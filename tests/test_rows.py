@@ -60,6 +60,16 @@ def test_copies_are_cut_into_pieces(spark):
     assert sum(sizes) == 4000 and max(sizes) < 2000
 
 
+def test_numbers_start_anew_within_a_group(spark):
+    df = spark.range(0, 2000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("a")).when(F.col("id") % 50 == 1, F.lit("b")).alias("g"), (-F.col("id")).alias("v")
+    )
+    got = rows(record_number(df, ["v"], "n", within=["g"]))
+    assert got == rows(record_number(df, ["v"], "n", within=["g"], bounded=True))
+    for group in ("a", "b", None):
+        assert sorted(n for g, _, n in got if g == group) == list(range(1, sum(g == group for g, _, _ in got) + 1))
+
+
 def test_ties_get_the_same_numbers_again(spark):
     df = spark.range(0, 500, 1, 3).select((F.col("id") % 5).alias("k"), "id")
     again = df.repartition(7)

@@ -27,6 +27,7 @@ def test_fixed_width_pads_short_lines_at_the_start(spark, tmp_path):
     assert rows(R.parse_fixed_width(short, parts)) == [("  ", "ab"), ("ab", "cd")]
     assert rows(R.parse_fixed_width(short, parts, pad="end")) == [("ab", "  "), ("ab", "cd")]
     assert rows(R.parse_fixed_width(short, parts, pad=None)) == [("ab", ""), ("ab", "cd")]
+    assert rows(R.parse_fixed_width(short, parts, width=4)) == [("  ", "ab"), ("ab", "cd")]
     with pytest.raises(ValueError):
         R.parse_fixed_width(short, parts, pad="middle")
 
@@ -68,11 +69,23 @@ def test_reader_by_suffix(spark, tmp_path):
         R.read_by_extension(spark, txt)
 
 
+def leaves(node):
+    children = node.children()
+    if children.isEmpty():
+        yield node
+    for i in range(children.size()):
+        yield from leaves(children.apply(i))
+
+
 def test_scan_files_by_name(spark, tmp_path):
     for name in ("Math_final.txt", "Math_draft.txt", "Art_final.txt", "Math_final.csv"):
         put(tmp_path / name, name + "\n")
     got = R.scan_files(spark, str(tmp_path), ".txt", any_of=["Math", "Sci"], required="final")
     assert rows(got) == [("Math_final.txt", "Math_final.txt")]
+    # The others were not opened.
+    got._jdf.javaToPython().count()
+    (scan,) = [n for n in leaves(got._jdf.queryExecution().executedPlan()) if n.nodeName().startswith("Scan")]
+    assert scan.metrics().get("numFiles").get().value() == 1
     assert R.scan_files(spark, str(tmp_path), ".txt", required="final", as_text=False).count() == 2
 
 
