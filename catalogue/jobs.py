@@ -6,23 +6,24 @@ from pyspark.sql import functions as F
 
 from catalogue.registry import query, table
 from rollwright.functions.columns import compose_key, zfill
+from rollwright.operators.regions import region_text
 from rollwright.operators.report import union_all
 from rollwright.plans.classify import ClassifyRules, MarkGroup, roster_classify, roster_views
 from rollwright.plans.pages import PageLayout, clean_pages, extract_pages, page_mismatches
 from rollwright.plans.roster import (
     EnrichRules,
     History,
-    RosterColumns,
     RosterRules,
     VoidFile,
     clean_crosswalk,
     history_prepare,
     match_split,
+    publish_match,
     roster_prepare,
     unmatched_enrich,
     void_sets,
 )
-from rollwright.operators.regions import region_text
+from rollwright.session import scratch_path
 
 # -- inputs shaped like a roster ----------------------------------------------------------------
 
@@ -179,13 +180,13 @@ def _history(spark, sf_dir):
     )
 
 
-def _match(spark, sf_dir):
+def _match(spark, sf_dir, write_once=False):
     prepared = _prepared(spark, sf_dir)
     # A made null ID: neither matched nor unmatched, flagged N.
     roster = prepared.roster.withColumn("person_id", F.when(F.col("site_part") != "6", F.col("person_id")))
     keep = ["district_code_name", "site_name", "site_code", "last_name", "person_id", "birth_day"]
     names = {"district_code_name": "split", "site_name": "School_Name", "birth_day": "Birth_Date"}
-    return prepared, match_split(roster, _history(spark, sf_dir), _voids(spark, sf_dir), keep, names=names)
+    return prepared, match_split(roster, _history(spark, sf_dir), _voids(spark, sf_dir), keep, names=names, write_once=write_once)
 
 
 _MATCH = f"""
@@ -234,6 +235,19 @@ def flagged(spark, sf_dir):
     return _match(spark, sf_dir)[1].flagged.select("person_id", "last_name", "if_matched")
 
 
+@query(
+    "publish_match",
+    _MATCH
+    + """
+    SELECT CASE WHEN in_h OR in_v THEN 'MATCH' ELSE 'NO_MATCH' END AS output, last_name, CAST(person_id AS VARCHAR) AS person_id
+    FROM flagged WHERE person_id IS NOT NULL""",
+)
+def published_match(spark, sf_dir):
+    paths = publish_match(_match(spark, sf_dir, write_once=True)[1], scratch_path(spark, "match"), "parquet")
+    read = [spark.read.parquet(p).select(F.lit(n).alias("output"), "last_name", "person_id") for n, p in paths.items()]
+    return union_all(*read)
+
+
 def _crosswalk(spark, sf_dir):
     """One row for each customer of a site, the old codes of some, no organization for one."""
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")

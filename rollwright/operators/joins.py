@@ -26,9 +26,13 @@ def _pairs(on: str | Sequence[str] | Mapping[str, str]) -> list[tuple[str, str]]
 
 
 def _join(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Mapping[str, str], how: str) -> DataFrame:
-    """Join on equal keys; the right key columns are dropped from the result."""
+    """Join on equal keys; the right key columns are dropped from the result. Another right column
+    that the left side has too gets the suffix ``_right``."""
     pairs = _pairs(on)
-    keyed = right.withColumnsRenamed({r: f"__right_{r}" for _, r in pairs})
+    keys = {r for _, r in pairs}
+    taken = {c.lower() for c in left.columns}
+    renamed = {c: f"{c}_right" for c in right.columns if c not in keys and c.lower() in taken}
+    keyed = right.withColumnsRenamed(renamed | {r: f"__right_{r}" for r in keys})
     condition = reduce(lambda a, b: a & b, [left[l] == keyed[f"__right_{r}"] for l, r in pairs])
     return left.join(keyed, condition, how).drop(*[f"__right_{r}" for _, r in pairs])
 

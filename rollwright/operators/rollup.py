@@ -90,7 +90,8 @@ def subgroup_rollup(
 ) -> DataFrame:
     """Counts for each subgroup set, stacked. ``total_flag`` adds whether no subgroup is used."""
     wanted = ordered_union([basic, *subgroup_sets])
-    return _publish_rollup(_roll(finest_counts(df, wanted, id_column), basic, subgroup_sets), basic, subgroup_sets, name, total_flag)
+    rolled = _roll(finest_counts(df, wanted, id_column), basic, subgroup_sets)
+    return _publish_rollup(rolled, basic, subgroup_sets, name, total_flag)
 
 
 def _publish_rollup(

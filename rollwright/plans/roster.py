@@ -26,7 +26,9 @@ from rollwright.functions.columns import (
 from rollwright.operators.dedupe import best_row_per_key, first_row_per_key
 from rollwright.operators.joins import coalesce_key, full_outer_flags, left_enrich, left_then_require, replace_by_lookup
 from rollwright.operators.report import union_all
+from rollwright.session import materialise
 from rollwright.sources.readers import Field, read_by_extension
+from rollwright.sources.sinks import write_named_outputs
 
 
 @dataclass(frozen=True)
@@ -272,6 +274,7 @@ def match_split(
     id_column: str = "person_id",
     void_id: str = "person_id",
     names: Mapping[str, str] | None = None,
+    write_once: bool = False,
 ) -> MatchResult:
     """Split a roster against the history and the void set.
 
@@ -280,9 +283,12 @@ def match_split(
     null ID is in neither output, but is flagged 'N'.
 
     The roster is joined once, to ``id_profile``; all three outputs are filters over that join.
+    ``write_once`` writes the join to the scratch folder, for callers who use more than one output.
     """
     profile = id_profile(history, voids, void_id)
     joined = roster.join(profile, roster[id_column] == profile["__id"], "left").drop("__id")
+    if write_once:
+        joined = materialise(joined, "matched-roster")
     in_history = F.coalesce("__history", F.lit(False))
     in_void = F.coalesce("__void", F.lit(False))
     found = in_history | in_void
@@ -309,6 +315,11 @@ def match_split(
     return MatchResult(matched.withColumnsRenamed(names), unmatched.withColumnsRenamed(names), flagged)
 
 
+def publish_match(result: MatchResult, directory: str, fmt: str = "csv") -> dict[str, str]:
+    """Write the unmatched and the matched people as two named tables."""
+    return write_named_outputs({"NO_MATCH": result.unmatched, "MATCH": result.matched}, directory, fmt)
+
+
 @dataclass(frozen=True)
 class EnrichRules:
     """Settings of ``unmatched_enrich``."""

@@ -44,6 +44,13 @@ def test_left_enrich_fans_out_or_refuses(spark, people):
     assert rows(J.left_then_require(people, lookup, "id", "more"), "name", "more")[0] == ("b", "p")
 
 
+def test_columns_of_both_sides_keep_apart(spark, people):
+    lookup = spark.createDataFrame([(1, "other", "m")], "id bigint, NAME string, more string")
+    joined = J.left_enrich(people, lookup, "id")
+    assert joined.columns == ["id", "name", "NAME_right", "more"]
+    assert rows(joined.where("id = 1")) == [(1, "a", "other", "m")]
+
+
 def test_full_outer_flags(spark):
     def one(*v):
         return spark.createDataFrame([(x,) for x in v], "id bigint")

@@ -110,7 +110,7 @@ def history(spark, **changes):
     return RO.History(table, "person_id", "score", "source", **(settings | changes))
 
 
-def test_match_split(spark):
+def test_match_split(spark, tmp_path):
     roster = spark.createDataFrame(ROSTER, "person_id bigint, name string")
     voids = spark.createDataFrame([(3,), (3,), (1,), (None,)], "person_id bigint")
     out = RO.match_split(roster, history(spark), voids, ["person_id", "name"], names={"name": "Name"})
@@ -125,6 +125,12 @@ def test_match_split(spark):
     assert rows(out.flagged, "name", "if_matched") == [
         ("a", "Y"), ("b", "Y"), ("b2", "Y"), ("c", "Y"), ("d", "N"), ("e", "N"), ("f", "Y"), ("n", "N")
     ]
+    once = RO.match_split(
+        roster, history(spark), voids, ["person_id", "name"], names={"name": "Name"}, write_once=True
+    )
+    assert [rows(a) for a in once] == [rows(a) for a in out]
+    paths = RO.publish_match(once, str(tmp_path))
+    assert set(paths) == {"MATCH", "NO_MATCH"} and spark.read.csv(paths["MATCH"], header=True).count() == 5
     # Matched, unmatched and null IDs make up the roster.
     assert out.matched.count() + out.unmatched.count() + 1 == len(ROSTER) == out.flagged.count()
 
