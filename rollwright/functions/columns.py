@@ -221,7 +221,10 @@ def add_constant_columns(
 
 
 def expand_column_list(setting: Mapping[str, Any]) -> list[str]:
-    """Names from a setting: literal lists (``base``) and numbered ranges (``range``, end excluded)."""
+    """Names from a setting: literal lists (``base``) and numbered ranges (``range``, end excluded).
+
+    The keys read here are the fixed format of such settings.
+    """
     if "list_of_variable_lists" not in setting:
         raise TypeError("column setting has no list_of_variable_lists")
     names: list[str] = []

@@ -19,9 +19,13 @@ RUNTIME_SETTINGS = {
 }
 
 
-# Target size of a shuffle partition, and the most partitions one shuffle may start with.
+# Target size of a shuffle partition, and the most partitions one shuffle may start with. A shuffle has
+# as many blocks as map tasks times partitions, so both numbers are held down on very large inputs:
+# partitions, and through larger input splits the map tasks.
 PARTITION_BYTES = 128 << 20
-MOST_PARTITIONS = 100_000
+MOST_PARTITIONS = 30_000
+MOST_SPLITS = 100_000
+LARGEST_SPLIT = 1 << 30
 
 
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
@@ -36,6 +40,9 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
         wanted = min(-(-input_bytes // PARTITION_BYTES), MOST_PARTITIONS)
         start = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
+        split = min(-(-input_bytes // MOST_SPLITS), LARGEST_SPLIT)
+        if split > PARTITION_BYTES:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     return spark
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rollwright.operators.regions import region_text, region_text_long
@@ -135,6 +137,54 @@ def test_match_split(spark, tmp_path):
     assert out.matched.count() + out.unmatched.count() + 1 == len(ROSTER) == out.flagged.count()
 
 
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=8),
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.integers(0, 6)),
+            st.one_of(st.none(), st.just(NAN), st.sampled_from([1.5, 2.5, 30.0])),
+            st.sampled_from(["prime", "east", "x"]),
+        ),
+        max_size=12,
+    ),
+    st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=5),
+)
+def test_match_split_against_plain_python(spark, people, records, void):
+    table = spark.createDataFrame(
+        [(*r, i) for i, r in enumerate(records)], "person_id bigint, score double, source string, seq bigint"
+    )
+    import dataclasses
+
+    past = dataclasses.replace(history(spark), table=table)
+    roster = spark.createDataFrame([(p, i) for i, p in enumerate(people)], "person_id bigint, line int")
+    voids = spark.createDataFrame([(v,) for v in void], "person_id bigint")
+    out = RO.match_split(roster, past, voids, ["person_id", "line"])
+
+    valid = {p for p, s, _ in records if p is not None and s is not None and s == s}
+    voided = {v for v in void if v is not None}
+
+    def best(person):
+        ranked = []
+        for seq, (p, s, source) in enumerate(records):
+            if p == person:
+                s = 0.0 if s is not None and s != s else s
+                priority = {"prime": 1, "east": 0}.get(source)
+                ranked.append((priority is None, priority or 0, s is None, s or 0.0, -seq))
+        return str(int(max(ranked)[3])) if ranked else "0"
+
+    matched = sorted(
+        (line, str(p), best(p), "Y" if p not in valid else None)
+        for line, p in enumerate(people)
+        if p in valid | voided
+    )
+    assert sorted(tuple(r) for r in out.matched.select("line", "person_id", "score_composite", "district_pay").collect()) == matched
+    unmatched = sorted(line for line, p in enumerate(people) if p is not None and p not in valid | voided)
+    assert sorted(r["line"] for r in out.unmatched.collect()) == unmatched
+    flags = {r["line"]: r["if_matched"] for r in out.flagged.collect()}
+    assert flags == {line: "Y" if p in valid | voided else "N" for line, p in enumerate(people)}
+
+
 def test_best_score_by_another_key_may_multiply_rows(spark):
     roster = spark.createDataFrame(ROSTER, "person_id bigint, name string")
     voids = spark.createDataFrame([(3,)], "person_id bigint")

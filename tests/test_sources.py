@@ -133,15 +133,18 @@ def test_shuffles_start_with_partitions_for_the_input(spark, tmp_path):
     put(tmp_path / "sub" / "a.txt", "x" * 1000)
     assert session.stored_bytes(spark, str(tmp_path)) == 1000
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    splits = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(splits)
     try:
         session.tune(spark, 1000)
         assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
         session.tune(spark, 1 << 40)
-        assert spark.conf.get(key) == "8192"
+        assert spark.conf.get(key) == "8192" and spark.conf.get(splits) == before
         session.tune(spark, 10 << 50)
-        assert spark.conf.get(key) == "100000"
+        assert spark.conf.get(key) == "30000" and spark.conf.get(splits) == str(1 << 30)
     finally:
         spark.conf.unset(key)
+        spark.conf.set(splits, before)
 
 
 def test_scratch_follows_the_session_setting(spark):
