@@ -18,7 +18,6 @@ def record_number(
     order_by: Sequence[str],
     name: str = "record_number",
     within: Sequence[str] = (),
-    bounded: bool = False,
 ) -> DataFrame:
     """Number the rows 1..N in the order of the given columns (nulls first), for each group of
     ``within`` anew. Groups may be of any size: they too are spread over partitions.
@@ -28,18 +27,13 @@ def record_number(
 
     A global ``row_number()`` would sort everything in one task. Here the rows are range-partitioned
     by the full order, numbered within their partition and written; the partition sizes (one row for
-    each partition, and one more for each group) then give each partition its offset. The written copy keeps
-    partition and position fixed if a task runs again. The task a row comes from is the last range
-    key: it stays the same if the task is repeated, and cuts a large group of copies into pieces.
-
-    ``bounded`` is for tables whose size is fixed by their construction, such as the cells of a
-    zero-filled report: those are numbered by one window without a written copy.
+    each partition, and one more for each group) then give each partition its offset. The written
+    copy keeps partition and position fixed if a task runs again. The task a row comes from is the
+    last range key: it stays the same if the task is repeated, and cuts a large group of copies into
+    pieces.
     """
     order = [F.asc_nulls_first(c) for c in [*within, *order_by]]
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    if bounded:
-        window = Window.partitionBy(*within).orderBy(*order, row_hash)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
     order += [F.asc("__hash"), F.asc("__task")]
     tied = df.withColumns({"__hash": row_hash, "__task": F.spark_partition_id()})
     ranged = tied.repartitionByRange(*order).sortWithinPartitions(*order).drop("__hash", "__task")
@@ -57,5 +51,6 @@ def record_number(
     offsets = sizes.select("__part", "__group", (earlier - F.col("__first") + 1).alias("__offset"))
     if not within:
         offsets = F.broadcast(offsets)
-    joined = placed.join(offsets, (placed["__part"] == offsets["__part"]) & placed["__group"].eqNullSafe(offsets["__group"]))
+    same = (placed["__part"] == offsets["__part"]) & placed["__group"].eqNullSafe(offsets["__group"])
+    joined = placed.join(offsets, same)
     return joined.select(*df.columns, (F.col("__offset") + F.col("__pos")).alias(name))

@@ -93,7 +93,6 @@ def report_body(
     level: str,
     order_by: Sequence[str] | None,
     total: str | Column | None = None,
-    bounded: bool = False,
 ) -> DataFrame:
     """Number the counts by their full key and add the fixed, derived and blank columns.
 
@@ -102,7 +101,7 @@ def report_body(
     rollups), or nothing, which gives 'N' throughout.
     """
     at = report.level(level)
-    numbered = df if order_by is None else record_number(df, order_by, "file_record_number", bounded=bounded)
+    numbered = df if order_by is None else record_number(df, order_by, "file_record_number")
     is_total = F.lit(False) if total is None else (F.col(total) if isinstance(total, str) else total)
     added = {
         **{c: F.lit(v) for c, v in report.fixed.items()},
@@ -121,10 +120,9 @@ def build_report(
     level: str,
     order_by: Sequence[str] | None,
     total: str | Column | None = None,
-    bounded: bool = False,
 ) -> DataFrame:
     """One report as text records; ``line_no`` is the publishing order (0 = header)."""
-    body = report_body(df, report, level, order_by, total, bounded)
+    body = report_body(df, report, level, order_by, total)
     chosen = body.select(*report.columns, F.col("file_record_number").alias(LINE))
     # Every published column becomes text; the order column stays a number.
     lines = cast_all_to_string(chosen).withColumn(LINE, F.col(LINE).cast("bigint"))

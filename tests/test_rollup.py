@@ -146,3 +146,13 @@ def test_set_order_does_not_change_zero_filled_counts(spark, sets):
     got = {tuple(sorted(r.asDict().items())) for r in R.zero_filled_counts(df, ["g"], sets, "id").where("Counts > 0").collect()}
     want = {tuple(sorted(r.asDict().items())) for r in R.subgroup_rollup(df, ["g"], sets, "id").where("Counts > 0").collect()}
     assert got == want and got
+
+
+def test_corner_sets(spark):
+    df = spark.createDataFrame(PEOPLE, SCHEMA)
+    assert rolled(R.subgroup_rollup(df, ["grade"], [[]], "id", total_flag="t")) == [("03", 3, True), ("10", 1, True)]
+    assert rolled(R.zero_filled_counts(df, ["grade"], [[]], "id", total_flag="t")) == [("03", 3, True), ("10", 1, True)]
+    assert rolled(R.subgroup_rollup(df, [], [[], ["race"]], "id")) == [("", 5), ("A", 3), ("B", 1)]
+    assert rolled(R.zero_filled_counts(df, [], [[], ["race"]], "id")) == [("", 5), ("A", 3), ("B", 1)]
+    assert rolled(R.zero_filled_counts(df.where("id > 99"), ["grade"], [["race"]], "id")) == []
+    assert rolled(R.subgroup_rollup(df.where("id > 99"), ["grade"], [["race"]], "id")) == []
