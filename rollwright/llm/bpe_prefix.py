@@ -40,16 +40,21 @@ class PrefixEncoder:
             joined = self.ids[self.bytes_of[a] + self.bytes_of[b]]
             self.pair[a, b] = joined
             self.parts[joined] = (a, b)
-        self.automaton = ahocorasick.Automaton()
-        for token, number in self.ids.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token), number))
-        self.automaton.make_automaton()
         self.pieces = regex.compile(tokens.BYTE_PATTERN)
         self.breaks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.known: dict[str, bytes] = {}
         self.compatible = functools.lru_cache(tokens.CACHE_ENTRIES)(self._compatible)
         self.edge = functools.lru_cache(None)(self._edge)
 
+    @functools.cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Reports the tokens that end at each byte; only encoding needs it."""
+        automaton = ahocorasick.Automaton()
+        for token, number in self.ids.items():
+            automaton.add_word(token.decode("latin-1"), (len(token), number))
+        automaton.make_automaton()
+        return automaton
+
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """Tokens at one edge of a token while it is built, latest first, each with the rank that ends it."""
         found, ends = [], NEVER

@@ -17,7 +17,7 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 150_000
 
 # The pre-token patterns named in the vocabulary files, and their special tokens.
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
