@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwright.llm import bpe_prefix, id_shards, packing
+from rollwright.llm import bpe_prefix, content_sort, id_shards, packing
 from rollwright.llm.common import BYTE_VOCABULARY, WORD_VOCABULARY, tokenizer_path
 from rollwright.session import scratch_path
 
@@ -66,3 +66,19 @@ def op9_bound_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), tokenizer_path(BYTE_VOCABULARY), capacity=2048, end_id=0
     ).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(pieces, 2048).drop("bins", "bound")
+
+
+@query
+def op4_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.content_sort(table(spark, sf_dir, "documents"), keep="largest")
+
+
+ORACLES["op4_content_sort"] = """
+    WITH t AS (
+        SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS s
+        FROM documents
+    )
+    SELECT doc_id, max(doc_id) OVER (PARTITION BY s) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
+        doc_id = max(doc_id) OVER (PARTITION BY s) AS kept, sha256(s) AS text_sha256
+    FROM t
+"""
