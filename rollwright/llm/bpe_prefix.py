@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from rollwright.llm import tokens
-from rollwright.llm.common import keyed_texts
+from rollwright.llm.common import keyed_texts, small_batches
 
 NEVER = 1 << 60
 
@@ -109,11 +109,14 @@ class PrefixEncoder:
     def encode(self, text: str | None) -> bytes:
         return tokens.with_special(text, self.special, self.breaks, self.plain)
 
-    @functools.cached_property
-    def spelled(self) -> list[bytes]:
-        """Bytes of every id, special tokens spelled out."""
-        every = self.bytes_of | {number: token.encode() for token, number in self.special.items()}
-        return [every.get(i, b"") for i in range(max(every) + 1)]
+
+class Speller:
+    """Texts from ids; holds no more than the bytes of every id."""
+
+    def __init__(self, path: str) -> None:
+        ids, special, _ = tokens.vocabulary(path)
+        every = {number: token for token, number in ids.items()} | {n: token.encode() for token, n in special.items()}
+        self.spelled = [every.get(i, b"") for i in range(max(every) + 1)]
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.spelled.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -125,6 +128,12 @@ def prefix_encoder(path: str) -> PrefixEncoder:
     return PrefixEncoder(path)
 
 
+@functools.cache
+def speller(path: str) -> Speller:
+    """One for each Python worker."""
+    return Speller(path)
+
+
 ENCODED = "doc_id long, ids binary"
 DECODED = "doc_id long, ids binary, text string"
 
@@ -139,7 +148,7 @@ def encode_documents(df: DataFrame, path: str, id_column: str = "doc_id", text_c
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = prefix_encoder(path)
-        for batch in batches:
+        for batch in small_batches(batches):
             ids = pa.array(map(encoder.encode, batch.column("text").to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
@@ -150,9 +159,9 @@ def decode_documents(df: DataFrame, path: str) -> DataFrame:
     """Adds ``text`` to the rows of :func:`encode_documents`, from the ids alone; null ids give ''."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = prefix_encoder(path)
-        for batch in batches:
-            texts = [encoder.decode(ids or b"") for ids in batch.column("ids").to_pylist()]
+        held = speller(path)
+        for batch in small_batches(batches):
+            texts = [held.decode(ids or b"") for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return df.select("doc_id", "ids").mapInArrow(decode, DECODED)

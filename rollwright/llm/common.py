@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,3 +32,10 @@ def ascii_lower(text: Column) -> Column:
 def keyed_texts(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """The two columns an operator needs, as ``doc_id`` and ``text``: other columns cannot clash."""
     return df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in small pieces: what Python holds of a batch at once stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwright.llm.common import keyed_texts, shuffle_partitions
+from rollwright.llm.common import keyed_texts, shuffle_partitions, small_batches
 from rollwright.llm.tokens import word_encoder
 
 BLOCKS = (
@@ -95,8 +95,10 @@ def write_shards(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = word_encoder(path), np.array([end_id], dtype="<u4").tobytes()
-        shard, block, start, last, copy = TaskContext.get().partitionId(), 0, 0, (), 0
-        docs, copies, lengths, parts = [], [], [], []
+        shard, block, start = TaskContext.get().partitionId(), 0, 0
+        last: tuple = ()
+        copy = 0
+        docs, copies, lengths, parts, held = [], [], [], [], 0
 
         def out() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(parts), "<u4").astype(f"<u{width}")
@@ -108,7 +110,7 @@ def write_shards(
         names = ["shard", "block", "start", "width", "payload", "doc_ids", "copies", "lengths"]
         many = pa.list_(pa.int64())
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), many, many, many]
-        for batch in batches:
+        for batch in small_batches(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 copy = copy + 1 if (doc_id,) == last else 0
                 last = (doc_id,)
@@ -117,10 +119,11 @@ def write_shards(
                 copies.append(copy)
                 lengths.append(len(ids) // 4)
                 parts.append(ids)
-                if sum(lengths) >= block_ids:
+                held += lengths[-1]
+                if held >= block_ids:
                     yield out()
-                    block, start = block + 1, start + sum(lengths)
-                    docs, copies, lengths, parts = [], [], [], []
+                    block, start = block + 1, start + held
+                    docs, copies, lengths, parts, held = [], [], [], [], 0
         if docs:
             yield out()
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollwright.llm.common import keyed_texts
+from rollwright.llm.common import keyed_texts, small_batches
 from rollwright.llm.tokens import byte_encoder
 from rollwright.session import materialise
 
@@ -45,7 +45,7 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = byte_encoder(path), np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
+        for batch in small_batches(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids, at = encoder.encode(text) + end, 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwright.llm import bpe_prefix, content_sort, id_shards, packing
+from rollwright.llm import bpe_prefix, content_sort, id_shards, packing, quality_rules
 from rollwright.llm.common import BYTE_VOCABULARY, WORD_VOCABULARY, tokenizer_path
 from rollwright.session import scratch_path
 
@@ -82,3 +82,64 @@ ORACLES["op4_content_sort"] = """
         doc_id = max(doc_id) OVER (PARTITION BY s) AS kept, sha256(s) AS text_sha256
     FROM t
 """
+
+
+@query
+def op5_risk_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("stratum")
+
+
+def _op5_sql() -> str:
+    grid = [(m, c) for m, cuts in quality_rules.GRID.items() for c in cuts]
+    tests = ", ".join(f"('{m}', {c})" for m, c in grid)
+    value = "CASE g.measure " + " ".join(f"WHEN '{m}' THEN f.{m}" for m in quality_rules.GRID) + " END"
+    limit = 0.01 / len(quality_rules.GRID)
+    blank = "[\\x20\\x09-\\x0D]"
+    return f"""
+    WITH d AS (
+        SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
+            regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+    ), windows AS (
+        SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) AS u(i) WHERE len(w) > 5
+    ), twice AS (
+        SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1
+    ), covered AS (
+        SELECT doc_id, sum(least(5, i - before)) AS n FROM (
+            SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -9) AS before FROM twice
+        ) GROUP BY doc_id
+    ), m AS (
+        SELECT d.doc_id, stratum, len(w)::BIGINT AS n_words,
+            length(regexp_replace(t, '{blank}', '', 'g'))::BIGINT AS word_chars,
+            (length(t) - length(translate(t, '{quality_rules.SYMBOLS}', '')))::BIGINT AS n_symbols,
+            [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines,
+            coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+        FROM d LEFT JOIN covered ON d.doc_id = covered.doc_id
+    ), f AS (
+        SELECT doc_id, stratum, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+            n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+            CASE WHEN word_chars > 0 THEN 1000 * n_symbols // word_chars ELSE 0 END AS symbol_rate,
+            CASE WHEN len(lines) > 0 THEN 1000 * (len(lines) - len(list_distinct(lines))) // len(lines) ELSE 0 END AS dup_line_rate,
+            CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS repeat_rate,
+            CASE WHEN n_words > 0 THEN word_chars // n_words ELSE 0 END AS long_words, -n_words AS short_text
+        FROM m
+    ), g AS (SELECT * FROM (VALUES {tests}) AS g(measure, cutoff)),
+    held AS (SELECT * FROM f WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+    counts AS (
+        SELECT f.stratum, g.measure, g.cutoff, count(*) AS n, count(*) FILTER (WHERE {value} > g.cutoff) AS r
+        FROM held f, g GROUP BY ALL
+    ), tails AS (
+        SELECT stratum, n, r, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({limit}) + (n - k) * ln(1 - {limit}))) AS tail
+        FROM (SELECT DISTINCT stratum, n, r FROM counts), unnest(range(0, r + 1)) AS u(k) GROUP BY ALL
+    ), used AS (
+        SELECT stratum, measure, min(cutoff) AS cutoff FROM counts JOIN tails USING (stratum, n, r)
+        WHERE r <= n * {limit} AND tail <= 0.05 / ({len(grid)} * (SELECT count(DISTINCT stratum) FROM held)) GROUP BY ALL
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND NOT EXISTS (
+            SELECT 1 FROM used g WHERE g.stratum = f.stratum AND {value} > g.cutoff
+        ) AS kept
+    FROM f
+    """
+
+
+ORACLES["op5_risk_thresholds"] = _op5_sql()
