@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwright.llm import bpe_prefix, content_sort, id_shards, packing, quality_rules
+from rollwright.llm import bpe_prefix, content_sort, id_shards, packing, quality_rules, signature_join
 from rollwright.llm.common import BYTE_VOCABULARY, WORD_VOCABULARY, tokenizer_path
 from rollwright.session import scratch_path
 
@@ -143,3 +143,8 @@ def _op5_sql() -> str:
 
 
 ORACLES["op5_risk_thresholds"] = _op5_sql()
+
+
+@query
+def op7_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
