@@ -5,10 +5,13 @@
    candidate when at least ``match`` pairs collide. Two classes with so many collisions share one of the
    COORDINATES - match + 1 rarest pairs of either, so only that prefix is posted; pairs that a single class
    has are skipped, but count as part of the prefix.
-3. Each posting is merged with the least class of its list. Candidates are confirmed on full shingle sets,
-   and the links found this way are contracted to components.
+3. Each posting is merged with a few leaders of its list: the least members in ``LEADERS`` orders that all
+   lists share. Candidates are confirmed on full shingle sets, and the links found this way are contracted
+   to components.
 4. Lists whose members lie in several components still are merged in full, in blocks: every two members of
-   different components whose collisions reach ``match`` are candidates too, and are confirmed likewise.
+   different components whose sizes allow the threshold and whose collisions reach ``match`` are candidates
+   too. A pair that meets in several lists is taken in the first of them. These blocks carry the full sets, so
+   that candidates are confirmed where they meet and only links leave the task.
 
 ``match`` is the number of collisions that a pair at exactly the threshold misses with a chance below one in
 a hundred thousand. No list is cut or left out, and no task holds a list: large ones are dealt in blocks.
@@ -32,6 +35,7 @@ from rollwright.session import materialise
 
 COORDINATES = 64
 MISSED = 1e-5
+LEADERS = 4
 BLOCK = 256
 
 
@@ -73,32 +77,38 @@ def full_sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(cut, "doc_id long, hashes binary")
 
 
-def postings(classes: DataFrame, match: int) -> DataFrame:
-    """``token, doc_id`` for the prefix of each class, without tokens that one class alone has."""
+def prefixes(classes: DataFrame, match: int) -> DataFrame:
+    """``doc_id, prefix``: rarest first, the tokens that a class is posted under; none that it alone has."""
     every = classes.select("doc_id", F.explode("signature").alias("token"))
     shared = every.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     own = every.join(shared, "token").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("tokens"))
     # Tokens of one class alone are the rarest: each takes a place in the prefix.
     room = F.lit(COORDINATES - match + 1) - (F.lit(COORDINATES) - F.size("tokens"))
-    return own.where(room > 0).select("doc_id", F.explode(F.slice("tokens", 1, room)).alias("t")).select(
-        F.col("t.token").alias("token"), "doc_id"
+    return own.where(room > 0).select(
+        "doc_id", F.transform(F.slice("tokens", 1, room), lambda t: t["token"]).alias("prefix")
     )
 
 
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets (ascending) reach the threshold."""
+    if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(both) - shared)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (``a``, ``b``) whose full sets reach the threshold: 100 * shared >= percent * all."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
-            keep = []
-            for x, y in zip(left, right, strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                shared = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            keep = [
+                linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                for x, y in zip(left, right, strict=True)
+            ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("left")), "a")
@@ -106,34 +116,38 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(confirm, "a long, b long")
 
 
-def block_pairs(lists: DataFrame, match: int) -> DataFrame:
-    """Pairs of different components with ``match`` collisions, from lists dealt to blocks that meet in twos."""
+def block_pairs(lists: DataFrame, match: int, percent: int) -> DataFrame:
+    """Links between different components, from lists dealt to blocks that meet in twos."""
     sizes = lists.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
     dealt = lists.join(sizes, "token").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
     others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     met = dealt.withColumn("other", F.explode(others)).select(
         "token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block",
-        "doc_id", "component", "signature",
+        "doc_id", "component", "n_shingles", "signature", "prefix", "hashes",
     )
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("doc_id", kind="stable")
-        ids, parts, blocks = (group[c].to_numpy() for c in ("doc_id", "component", "block"))
-        marks = np.stack([np.asarray(s, np.int64) for s in group["signature"]])
-        across = group["low"].iloc[0] != group["high"].iloc[0]
+        ids, parts, blocks, sizes = (group[c].to_numpy() for c in ("doc_id", "component", "block", "n_shingles"))
+        marks = np.stack(group["signature"].to_list())
+        orders, held = group["prefix"].to_list(), [set(p.tolist()) for p in group["prefix"]]
+        token, across = group["token"].iloc[0], group["low"].iloc[0] != group["high"].iloc[0]
+        full = [np.frombuffer(x, np.uint64) for x in group["hashes"]]
         a, b = [], []
         for i in range(len(ids) - 1):
             rest = slice(i + 1, None)
-            apart = parts[rest] != parts[i]
+            low, high = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])
+            apart = (parts[rest] != parts[i]) & (100 * low >= percent * high)
             if across:
                 apart &= blocks[rest] != blocks[i]
             apart[apart] = (marks[rest][apart] == marks[i]).sum(axis=1) >= match
-            hits = ids[rest][apart]
-            a.extend([ids[i]] * len(hits))
-            b.extend(hits.tolist())
+            for j in np.flatnonzero(apart) + i + 1:
+                if next(t for t in orders[i].tolist() if t in held[j]) == token and linked(full[i], full[j], percent):
+                    a.append(ids[i])
+                    b.append(ids[j])
         return pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})
 
-    return met.groupBy("token", "low", "high").applyInPandas(merge, "a long, b long").distinct()
+    return met.groupBy("token", "low", "high").applyInPandas(merge, "a long, b long")
 
 
 def near_duplicates(
@@ -154,14 +168,18 @@ def near_duplicates(
     members = filled.select("doc_id", "set_key").join(grouped, "set_key").select("doc_id", "first")
     heads = materialise(
         filled.join(grouped.withColumnRenamed("first", "doc_id"), ["set_key", "doc_id"]).dropDuplicates(["doc_id", "set_key"])
-        .select("doc_id", "signature"), "heads",
+        .select("doc_id", "n_shingles", "signature"), "heads",
     )
-    posted = materialise(postings(heads, match), "postings")
+    ordered = materialise(prefixes(heads, match), "prefixes")
+    posted = ordered.select(F.explode("prefix").alias("token"), "doc_id")
 
-    # One link from each posting to the least class of its list.
-    leaders = posted.groupBy("token").agg(F.min("doc_id").alias("b"))
+    # A few links from each posting to leaders of its list.
+    leaders = posted.groupBy("token").agg(
+        F.array_distinct(F.array(*(F.min_by("doc_id", F.xxhash64("doc_id", F.lit(i))) for i in range(LEADERS)))).alias("lead")
+    ).select("token", F.explode("lead").alias("b"))
     first_pairs = (
-        posted.join(leaders, "token").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b").distinct()
+        posted.join(leaders, "token").where("doc_id <> b")
+        .select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
     )
     marks = heads.select(F.col("doc_id").alias("a"), F.col("signature").alias("left"))
     collisions = F.size(F.filter(F.zip_with("left", "right", lambda x, y: x == y), lambda same: same))
@@ -170,7 +188,7 @@ def near_duplicates(
         .join(marks.select(F.col("a").alias("b"), F.col("left").alias("right")), "b")
         .where(collisions >= match).select("a", "b"), "pairs",
     )
-    needed = posted.select("doc_id").distinct()
+    needed = ordered.select("doc_id")
     sets = materialise(full_sets(texts.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), size), "sets")
     links = materialise(confirmed(likely, sets, percent), "links")
     joined = materialise(components(links), "components")
@@ -180,8 +198,8 @@ def near_duplicates(
         "component", F.coalesce("component", "doc_id")
     )
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    lists = placed.join(mixed.select("token"), "token").join(heads, "doc_id")
-    more = confirmed(materialise(block_pairs(lists, match), "pairs"), sets, percent)
+    lists = placed.join(mixed.select("token"), "token").join(heads, "doc_id").join(ordered, "doc_id").join(sets, "doc_id")
+    more = block_pairs(lists, match, percent)
     own = members.where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     linked = components(links.unionByName(more).unionByName(own))
     found = rows.select("doc_id", "n_shingles").join(linked.withColumnRenamed("node", "doc_id"), "doc_id", "left")
