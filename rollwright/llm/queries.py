@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwright.llm import bpe_prefix, content_sort, id_shards, packing, quality_rules, signature_join
+from rollwright.llm import bpe_prefix, content_sort, id_shards, language_id, packing, quality_rules, signature_join, toxicity
 from rollwright.llm.common import BYTE_VOCABULARY, WORD_VOCABULARY, tokenizer_path
 from rollwright.session import scratch_path
 
@@ -148,3 +148,14 @@ ORACLES["op5_risk_thresholds"] = _op5_sql()
 @query
 def op7_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_join.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query
+def op10_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Letter tables come from the documents' declared languages."""
+    return language_id.page_languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents").select("text", "lang"))
