@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollwright.llm import bpe_prefix, content_sort, id_shards, language_id, packing, quality_rules, signature_join, toxicity
+from rollwright.llm import (
+    bpe_prefix,
+    content_sort,
+    id_shards,
+    language_id,
+    line_alignment,
+    packing,
+    preference,
+    quality_rules,
+    signature_join,
+    toxicity,
+)
 from rollwright.llm.common import BYTE_VOCABULARY, WORD_VOCABULARY, tokenizer_path
 from rollwright.session import scratch_path
 
@@ -159,3 +170,23 @@ def op10_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Letter tables come from the documents' declared languages."""
     return language_id.page_languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+@query
+def op6_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_alignment.without_aligned_lines(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", F.when(F.col("_removed").isNull(), 0).otherwise(F.size("_removed")).cast("long").alias("n_removed"),
+        F.coalesce("_blocks", F.lit(0)).cast("long").alias("n_blocks"), F.coalesce("_partners", F.lit(0)).cast("long").alias("n_partners"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
+
+
+@query
+def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with a weaker last reply, as the table has no rejected sides."""
+    chosen = preference.conversations(table(spark, sf_dir, "conversations"))
+    return preference.preference_pairs(chosen, preference.with_weaker_reply(chosen)).select(
+        "pair_id", "n_prompt_turns", F.sha2(F.col("prompt").cast("binary"), 256).alias("prompt_sha256"), "chosen", "rejected",
+        F.to_json("chosen_spans").alias("chosen_spans"), F.to_json("rejected_spans").alias("rejected_spans"),
+    )

@@ -16,6 +16,7 @@ from __future__ import annotations
 import functools
 import itertools
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from rollwright.llm.common import keyed_texts, small_batches
 from rollwright.llm.shingles import shingle_set, signature
 
-SAMPLE = 6_000  # labelled texts of each class that training reads at most
+SAMPLE = 2_500  # labelled texts of each class that training reads at most
 LEAST_TEXTS = 3  # toxic texts that a learned beginning must newly explain
 RISK = 0.01  # chance that any learned insult is none
 STEMS = (4, 5, 6, 7)  # lengths of word beginnings that may be learned
@@ -151,30 +152,31 @@ def learn_insults(texts: list[str], toxic: np.ndarray) -> frozenset[str]:
     explains yet, longest first among equals, as they may cover many forms of one word.
     """
     rows = apart(texts)
-    clean: dict[str, int] = {}
-    holders: dict[str, set[int]] = {}
+    found = lambda i: set().union(*map(features, set(WORD.findall(texts[i].lower()))))
+    often = Counter(itertools.chain.from_iterable(found(i) for i in rows if toxic[i]))
+    tried = len(often)
+    holders: dict[str, set[int]] = {x: set() for x, n in often.items() if n >= LEAST_TEXTS}
+    del often
+    clean: Counter[str] = Counter()
     for i in rows:
         if toxic[i]:
-            for x in set().union(*map(features, set(WORD.findall(texts[i].lower())))):
-                holders.setdefault(x, set()).add(i)
-    for i in rows:
-        if not toxic[i]:
-            for x in set().union(*map(features, set(WORD.findall(texts[i].lower())))):
-                if x in holders:
-                    clean[x] = clean.get(x, 0) + 1
+            for x in found(i) & holders.keys():
+                holders[x].add(i)
+        else:
+            clean.update(found(i) & holders.keys())
     bad = sum(bool(toxic[i]) for i in rows)
     share = bad / max(1, len(rows))
-    level = RISK / max(1, len(holders))
+    level = RISK / max(1, tried)
     fit = {}
     for x, held in holders.items():
-        n, b = len(held) + clean.get(x, 0), clean.get(x, 0)
+        n, b = len(held) + clean[x], clean[x]
         tail = sum(math.comb(n, k) * share ** (n - k) * (1 - share) ** k for k in range(b + 1)) if b <= 0.05 * n else 1.0
         if tail <= level:
             fit[x] = held
     chosen = {x for x in fit if not x.endswith("*")}
     explained = set().union(*(fit[x] for x in chosen))
     while fit:
-        best = max(fit, key=lambda x: (len(fit[x] - explained), -clean.get(x, 0), len(x), x))
+        best = max(fit, key=lambda x: (len(fit[x] - explained), -clean[x], len(x), x))
         if len(fit[best] - explained) < LEAST_TEXTS:
             break
         chosen.add(best)
