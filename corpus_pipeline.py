@@ -25,9 +25,10 @@ def in_declared_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Blocks of lines that an earlier document has are cut from later ones; no document goes."""
+    """Blocks of lines that an earlier document has are cut from later ones; one that keeps no word goes."""
     cut = line_alignment.without_aligned_lines(docs)
-    return cut.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(COLUMNS)
+    emptied = F.coalesce(F.size("_removed") > 0, F.lit(False)) & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"\S")
+    return cut.where(~emptied).withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -165,7 +165,7 @@ def page_languages(pages: DataFrame, training: DataFrame) -> DataFrame:
     return fused.select("page_id", "language", "posterior", "declared", "host")
 
 
-def documents_in_language(docs: DataFrame, least: float = 0.01) -> DataFrame:
+def documents_in_language(docs: DataFrame, least: float = 1e-6) -> DataFrame:
     """Rows whose declared language is not refuted, in their own columns.
 
     The declared language is ``lang``, the host is ``source``. A row goes when it holds letters and its

@@ -11,11 +11,14 @@ go from the later document.
 from __future__ import annotations
 
 import bisect
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollwright.llm.common import small_batches
+
 KEY_WORDS = 4  # a line with fewer words is too weak to pair or delete
 LEAST_WORDS = 8
 
@@ -44,6 +47,7 @@ def ascending(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def patience(matches: list[tuple[int, int, bool]]) -> set[int]:
     """Places in the later document that align; matches are (place, place in the earlier one, unique in both)."""
+    matches = sorted(matches)
     unique = [(p, q) for p, q, alone in matches if alone]
     # Without a unique line the first occurrences are the anchors.
     first: dict[int, int] = {}
@@ -60,13 +64,15 @@ def patience(matches: list[tuple[int, int, bool]]) -> set[int]:
     return {p for p, _ in aligned}
 
 
-def align(group: pd.DataFrame) -> pd.DataFrame:
-    """What goes from one document, given its matches with all earlier ones."""
-    aligned: set[int] = set()
-    for _, part in group.groupby("owner", sort=True):
-        columns = (part[c].tolist() for c in ("places", "owner_place", "owner_n"))
-        aligned |= patience([(int(p), q, len(ps) == 1 and n == 1) for ps, q, n in zip(*columns) for p in ps])
-    words = {int(p): w for ps, w in zip(group["places"], group["words"]) for p in ps}
+def align(matches: list[dict]) -> tuple[list[int], int, int]:
+    """Places that go from one document, blocks and partners, given its matches with all earlier documents."""
+    partners: dict[int, list[tuple[int, int, bool]]] = {}
+    words: dict[int, int] = {}
+    for m in matches:
+        alone = len(m["places"]) == 1 and m["owner_n"] == 1
+        partners.setdefault(m["owner"], []).extend((p, m["owner_place"], alone) for p in m["places"])
+        words.update(dict.fromkeys(m["places"], m["words"]))
+    aligned = set().union(*map(patience, partners.values()))
     removed, blocks, run = [], 0, []
     for p in [*sorted(aligned), None]:
         if run and p != run[-1] + 1:
@@ -75,9 +81,20 @@ def align(group: pd.DataFrame) -> pd.DataFrame:
                 blocks += 1
             run = []
         run.append(p)
-    return pd.DataFrame({
-        "doc_id": [group["doc_id"].iloc[0]], "removed": [removed], "blocks": [blocks], "partners": [group["owner"].nunique()],
-    })
+    return removed, blocks, len(partners)
+
+
+def align_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in small_batches(batches):
+        found = [align(matches) for matches in batch.column("matches").to_pylist()]
+        removed, blocks, partners = zip(*found, strict=True) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"), pa.array(removed, pa.list_(pa.int32())), pa.array(blocks, pa.int64()),
+                pa.array(partners, pa.int64()),
+            ],
+            ["doc_id", "removed", "blocks", "partners"],
+        )
 
 
 def aligned_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -95,8 +112,10 @@ def aligned_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "
         F.min(F.struct(F.col("doc_id").alias("owner"), F.col("places")[0].alias("owner_place"), F.size("places").alias("owner_n"))).alias("o"),
         F.count(F.lit(1)).alias("documents"),
     ).where("documents > 1").select("key", "o.*")
-    matches = held.join(owners, "key").where("doc_id > owner").select("doc_id", "owner", "places", "owner_place", "owner_n", "words")
-    return matches.groupBy("doc_id").applyInPandas(align, REMOVED)
+    match = F.struct("owner", "places", "owner_place", "owner_n", "words")
+    # A document's own lines bound what is gathered for it.
+    gathered = held.join(owners, "key").where("doc_id > owner").groupBy("doc_id").agg(F.collect_list(match).alias("matches"))
+    return gathered.mapInArrow(align_documents, REMOVED)
 
 
 def without_aligned_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
