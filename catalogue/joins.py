@@ -44,12 +44,14 @@ def left_enrich(spark, sf_dir):
 @query(
     "left_enrich_fan_out",
     """
-    SELECT p_partkey, n.s_suppkey FROM part
-    LEFT JOIN (SELECT s_suppkey, s_nationkey FROM supplier WHERE s_nationkey < 20) n ON p_size = n.s_nationkey""",
+    SELECT p_partkey, n.n_name, n.copy FROM part
+    LEFT JOIN (SELECT n_nationkey, n_name, unnest([1, 2, 3])::INT AS copy FROM nation) n ON p_size = n.n_nationkey""",
 )
 def left_enrich_fan_out(spark, sf_dir):
-    lookup = table(spark, sf_dir, "supplier").where("s_nationkey < 20").select("s_suppkey", "s_nationkey")
-    return joins.left_enrich(table(spark, sf_dir, "part").select("p_partkey", "p_size"), lookup, {"p_size": "s_nationkey"}).drop("p_size")
+    """Three rows for each key of the lookup; parts of a size beyond its keys find none."""
+    copies = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("copy")
+    lookup = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", copies)
+    return joins.left_enrich(table(spark, sf_dir, "part").select("p_partkey", "p_size"), lookup, {"p_size": "n_nationkey"}).drop("p_size")
 
 
 @query(

@@ -391,13 +391,7 @@ def cast_all_to_string(spark, sf_dir):
     FROM supplier""",
 )
 def constant_columns(spark, sf_dir):
-    names = C.expand_column_list(
-        {
-            "list_of_variable_lists": ["scores", "other"],
-            "scores": {"type": "range", "prefix": "Score_", "start": 1, "end": 3},
-            "other": {"type": "base", "content": ["Remark"]},
-        }
-    )
+    names = C.expand_column_list(C.Numbered("Score_", 1, 2), "Remark")
     supplier = C.select_columns(table(spark, sf_dir, "supplier"), ["s_suppkey", "s_name"])
     return C.add_constant_columns(supplier, names, {"state": "XY", "code": 99})
 

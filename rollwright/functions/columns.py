@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
@@ -176,15 +177,19 @@ def round_half_up(c: ColumnLike, n: int = 1) -> Column:
     return F.round(as_column(c), n)
 
 
-def exact_sum_of(columns: Sequence[ColumnLike], scale: int = 6) -> Column:
-    """Decimal-exact sum across columns of one row; nulls and NaN count as absent."""
-    dec = f"decimal(38,{scale})"
+def exact_decimal(c: ColumnLike) -> Column:
+    """Every digit of a number, null for NaN; an error where 18 decimals or 20 digits before them are too few."""
+    value = as_column(c).cast("double")
+    number = F.when(~F.isnan(value), value)
+    digits = number.cast("string").try_cast("decimal(38,18)")
+    lost = number.isNotNull() & ~digits.cast("double").eqNullSafe(number)
+    return F.when(lost, F.raise_error(F.concat(F.lit("too many digits to add exactly: "), number.cast("string"))).cast("decimal(38,18)")).otherwise(digits)
 
-    def term(c: ColumnLike) -> Column:
-        c = as_column(c).cast("double")
-        return F.coalesce(F.when(~F.isnan(c), c).cast("string").cast(dec), F.lit(0).cast(dec))
 
-    return reduce(lambda a, b: a + b, [term(c) for c in columns]).cast("double")
+def exact_sum_of(columns: Sequence[ColumnLike]) -> Column:
+    """Decimal-exact sum across columns of one row; nulls and NaN count as absent."""
+    terms = [F.coalesce(exact_decimal(c), F.lit(0).cast("decimal(38,18)")) for c in columns]
+    return reduce(lambda a, b: a + b, terms).cast("double")
 
 
 # -- dates --------------------------------------------------------------------------------------
@@ -220,24 +225,22 @@ def add_constant_columns(
     return df.withColumns(added)
 
 
-def expand_column_list(setting: Mapping[str, Any]) -> list[str]:
-    """Names from a setting: literal lists (``base``) and numbered ranges (``range``, end excluded).
+@dataclass(frozen=True)
+class Numbered:
+    """A run of names: a prefix with each number from ``first`` to ``last``."""
 
-    The keys read here are the fixed format of such settings.
-    """
-    if "list_of_variable_lists" not in setting:
-        raise TypeError("column setting has no list_of_variable_lists")
-    names: list[str] = []
-    for part in setting["list_of_variable_lists"]:
-        spec = setting[part]
-        kind = spec.get("type")
-        if kind == "base":
-            names.extend(spec["content"])
-        elif kind == "range":
-            names.extend(f"{spec['prefix']}{i}" for i in range(spec["start"], spec["end"]))
-        else:
-            raise TypeError(f"column list {part!r} must have type base or range, not {kind!r}")
-    return names
+    prefix: str
+    first: int
+    last: int
+
+    @property
+    def names(self) -> list[str]:
+        return [f"{self.prefix}{n}" for n in range(self.first, self.last + 1)]
+
+
+def expand_column_list(*parts: str | Numbered) -> list[str]:
+    """Column names from literal names and numbered runs, in the order given."""
+    return [name for part in parts for name in (part.names if isinstance(part, Numbered) else [part])]
 
 
 def cast_all_to_string(df: DataFrame) -> DataFrame:

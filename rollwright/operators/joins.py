@@ -107,8 +107,12 @@ def full_outer_flags(sets: Mapping[str, DataFrame], key: str) -> DataFrame:
 
 
 def latest_mapping(mapping: DataFrame, old: str, new: str, order: str | None = None) -> DataFrame:
-    """One row for each old value: the one latest by ``order`` (without it, the largest new value)."""
-    chosen = F.max_by(new, order) if order else F.max(new)
+    """One row for each old value: the one latest by ``order`` (without it, the largest new value).
+
+    A known order beats an unknown one; of equal orders the largest new value wins, so runs agree.
+    """
+    rank = [F.col(order).isNotNull().alias("known"), F.col(order).alias("order")] if order else []
+    chosen = F.max(F.struct(*rank, F.col(new).alias("new")))["new"]
     return (
         mapping.where(F.col(old).isNotNull())
         .groupBy(F.struct(F.col(old).alias("__old")).alias("__key"))

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollwright.functions.columns import exact_decimal
 from rollwright.operators.filters import combination_mask
 from rollwright.session import materialise
 
@@ -33,11 +34,9 @@ def max_length(df: DataFrame, column: str, in_bytes: bool = False, name: str = "
     return df.agg(F.max((F.octet_length if in_bytes else F.length)(F.col(column))).alias(name))
 
 
-def exact_sum(column: str, scale: int = 6) -> Column:
-    """Decimal-exact sum skipping null and NaN; 0 over nothing."""
-    value = F.col(column).cast("double")
-    exact = F.when(~F.isnan(value), value).cast("string").cast(f"decimal(38,{scale})")
-    return F.coalesce(F.sum(exact).cast("double"), F.lit(0.0))
+def exact_sum(column: str) -> Column:
+    """Decimal-exact sum skipping null and NaN; 0 over nothing. A value with more digits than fit is an error."""
+    return F.coalesce(F.sum(exact_decimal(F.col(column))).cast("double"), F.lit(0.0))
 
 
 def ordered_union(lists: Sequence[Sequence[str]]) -> list[str]:

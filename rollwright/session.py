@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,30 +20,19 @@ RUNTIME_SETTINGS = {
 }
 
 
-# Target size of a shuffle partition, and the most partitions one shuffle may start with. A shuffle has
-# as many blocks as map tasks times partitions, so both numbers are held down on very large inputs:
-# partitions, and through larger input splits the map tasks.
-PARTITION_BYTES = 128 << 20
-MOST_PARTITIONS = 30_000
-MOST_SPLITS = 100_000
-LARGEST_SPLIT = 1 << 30
-
-
-def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+def tune(spark: SparkSession, partitions: int | None = None, split_bytes: int | None = None) -> SparkSession:
     """Apply the runtime settings to a session somebody else built.
 
-    With the size of the input, shuffles start with enough partitions for each to fit in memory;
-    adaptive execution merges the small ones but cannot cut up a partition that is merely large.
+    ``partitions`` is the number that shuffles start with (adaptive execution merges small ones), about one
+    for each 128 MB of input; ``split_bytes`` the most that one scan task reads. Left out, the cluster's own
+    settings hold.
     """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
-    if input_bytes is not None:
-        wanted = min(-(-input_bytes // PARTITION_BYTES), MOST_PARTITIONS)
-        start = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
-        split = min(-(-input_bytes // MOST_SPLITS), LARGEST_SPLIT)
-        if split > PARTITION_BYTES:
-            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    if partitions is not None:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    if split_bytes is not None:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     return spark
 
 
@@ -71,7 +61,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rollwright-"))
     return spark.sparkContext.getCheckpointDir()

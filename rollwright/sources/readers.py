@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -16,7 +17,6 @@ from rollwright.session import materialise
 
 LINE = "line"
 # Separator that does not occur in text files: makes the CSV reader deliver whole lines.
-_NO_SEPARATOR = "\x01"
 
 
 class UnsupportedFileType(TypeError):
@@ -34,12 +34,15 @@ class Field:
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
-    """Lines as one text column. The text source decodes UTF-8 only, so other encodings go through
-    the CSV source, which skips blank lines."""
+    """Lines as one text column, blank ones and control characters kept.
+
+    The text source cuts at line ends and keeps bytes as they are, so any encoding whose line end is one
+    byte is decoded afterwards.
+    """
+    lines = spark.read.text(path)
     if encoding.upper().replace("_", "-") in ("UTF-8", "UTF8"):
-        return spark.read.text(path).withColumnRenamed("value", LINE)
-    schema = T.StructType([T.StructField(LINE, T.StringType())])
-    return spark.read.csv(path, sep=_NO_SEPARATOR, encoding=encoding, quote="", escape="", schema=schema)
+        return lines.withColumnRenamed("value", LINE)
+    return lines.select(F.decode(F.col("value").cast("binary"), encoding).alias(LINE))
 
 
 def _cast(value: Column, dtype: str) -> Column:
@@ -62,7 +65,8 @@ def parse_fixed_width(
     text = F.col(line)
     if pad in ("start", "end"):
         longest = F.lit(width) if width else lines.agg(F.max(F.length(text))).scalar()
-        text = (F.lpad if pad == "start" else F.rpad)(text, longest, F.lit(" "))
+        padded = (F.lpad if pad == "start" else F.rpad)(text, longest, F.lit(" "))
+        text = F.when(F.length(text) < longest, padded).otherwise(text)  # a longer line is never cut
     elif pad is not None:
         raise ValueError(f"pad must be start, end or None, not {pad!r}")
     return lines.select(
@@ -89,13 +93,11 @@ def parse_slices(lines: DataFrame, slices: Mapping[str, tuple[int, int]], line:
 
 
 def dash_fields(header: str, dashes: str, dtypes: Mapping[str, str] | None = None) -> list[Field]:
-    """Fields from a name line and a line of dash runs split by single blanks."""
-    fields, at = [], 0
-    for run in dashes.rstrip().split(" "):
-        name = header[at : at + len(run)].strip()
-        fields.append(Field(at + 1, len(run), name, (dtypes or {}).get(name, "string")))
-        at += len(run) + 1
-    return fields
+    """Fields from a name line and a line of dash runs: each run rules one column, blanks part them."""
+    spans = [run.span() for run in re.finditer(r"\S+", dashes)]
+    names = [header[slice(*span)].strip() for span in spans]
+    types = dtypes or {}
+    return [Field(lo + 1, hi - lo, name, types.get(name, "string")) for (lo, hi), name in zip(spans, names, strict=True)]
 
 
 def parse_dash_ruled(
@@ -126,11 +128,18 @@ def read_delimited(
     return spark.read.csv(path, sep=sep, encoding=encoding, schema=schema, header=False)
 
 
-def read_header_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
-    """CSV with a header line. A declared schema saves the extra pass that detecting types costs."""
+def read_header_csv(
+    spark: SparkSession, path: str, schema: str | T.StructType | None = None, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header line, quotes doubled inside quoted values.
+
+    A declared schema saves the extra pass that detecting types costs. Values that hold line ends need
+    ``multi_line``, with which a file is read whole by one task.
+    """
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
     if schema is None:
-        return spark.read.csv(path, header=True, inferSchema=True)
-    return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
+        return spark.read.csv(path, inferSchema=True, **options)
+    return spark.read.csv(path, schema=schema, enforceSchema=False, **options)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -14,10 +14,10 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 def write_parquet_and_csv(df: DataFrame, parquet_path: str, csv_path: str) -> None:
     """The same result as parquet and as headed CSV. The CSV is made from the written parquet, so the
-    result is computed once."""
+    result is computed once. Values with line ends are quoted: read such a file with ``multi_line``."""
     write_parquet(df, parquet_path)
     written = df.sparkSession.read.schema(df.schema).parquet(parquet_path)
-    written.write.mode("overwrite").csv(csv_path, header=True)
+    written.write.mode("overwrite").csv(csv_path, header=True, escape='"')
 
 
 def write_headerless_csv(df: DataFrame, directory: str, name: str, order: str | None = None) -> str:

@@ -131,15 +131,8 @@ def test_assemble_date_text(values):
 
 
 def test_expand_column_list():
-    setting = {
-        "list_of_variable_lists": ["a", "b"],
-        "a": {"type": "base", "content": ["x", "y"]},
-        "b": {"type": "range", "prefix": "S_", "start": 1, "end": 3},
-    }
-    assert C.expand_column_list(setting) == ["x", "y", "S_1", "S_2"]
-    for wrong in ({}, {"list_of_variable_lists": ["a"], "a": {}}, {"list_of_variable_lists": ["a"], "a": {"type": "?"}}):
-        with pytest.raises(TypeError):
-            C.expand_column_list(wrong)
+    assert C.expand_column_list("x", "y", C.Numbered("S_", 1, 2), "z") == ["x", "y", "S_1", "S_2", "z"]
+    assert C.expand_column_list() == []
 
 
 def test_constant_columns_and_text_cast(spark):

@@ -93,3 +93,8 @@ def test_split_covers_and_does_not_overlap(spark):
     assert {k: rows(v) for k, v in parts.items()} == {"low": [(1,)], "high": [(2,)]}
     assert rows(FL.label_parts(df, {"low": "n < 2", "high": "n >= 2"})) == [(1, "low"), (2, "high")]
     assert rows(FL.allowed_combinations(df, [{"n": [2]}])) == [(2,)]
+
+
+def test_latest_mapping_is_settled_for_ties_and_unknown_orders(spark):
+    mapping = spark.createDataFrame([("k", "a", 1), ("k", "b", 1), ("k", "z", None), ("n", "c", None)], "old string, new string, seq int")
+    assert rows(J.latest_mapping(mapping, "old", "new", "seq")) == [("k", "b"), ("n", "c")]

@@ -156,3 +156,10 @@ def test_corner_sets(spark):
     assert rolled(R.zero_filled_counts(df, [], [[], ["race"]], "id")) == [("", 5), ("A", 3), ("B", 1)]
     assert rolled(R.zero_filled_counts(df.where("id > 99"), ["grade"], [["race"]], "id")) == []
     assert rolled(R.subgroup_rollup(df.where("id > 99"), ["grade"], [["race"]], "id")) == []
+
+
+def test_exact_sum_keeps_every_digit_or_raises(spark):
+    df = spark.createDataFrame([(0.0000004,)] * 10 + [(33.123456789,)], "x double")
+    assert df.agg(R.exact_sum("x")).first()[0] == 33.123460789
+    with pytest.raises(Exception, match="too many digits"):
+        spark.createDataFrame([(1e-30,)], "x double").agg(R.exact_sum("x")).collect()

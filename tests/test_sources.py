@@ -128,25 +128,38 @@ def test_table_is_replaced(spark):
     spark.sql("DROP TABLE rollwright_t")
 
 
-def test_shuffles_start_with_partitions_for_the_input(spark, tmp_path):
-    (tmp_path / "sub").mkdir()
-    put(tmp_path / "sub" / "a.txt", "x" * 1000)
-    assert session.stored_bytes(spark, str(tmp_path)) == 1000
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    splits = "spark.sql.files.maxPartitionBytes"
+def test_tune_sets_only_what_it_is_given(spark):
+    key, splits = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(splits)
+    session.tune(spark)
+    assert spark.conf.get(key, None) is None and spark.conf.get(splits) == before
     try:
-        session.tune(spark, 1000)
-        assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
-        session.tune(spark, 1 << 40)
-        assert spark.conf.get(key) == "8192" and spark.conf.get(splits) == before
-        session.tune(spark, 10 << 50)
-        assert spark.conf.get(key) == "30000" and spark.conf.get(splits) == str(1 << 30)
+        session.tune(spark, partitions=9, split_bytes=1 << 20)
+        assert (spark.conf.get(key), spark.conf.get(splits)) == ("9", str(1 << 20))
     finally:
         spark.conf.unset(key)
         spark.conf.set(splits, before)
 
 
+def test_lines_longer_than_the_width_are_whole(spark, tmp_path):
+    path = put(tmp_path / "w.txt", "abcdefXY\nab\n")
+    fields = [R.Field(1, 2, "a"), R.Field(7, 2, "b")]
+    assert rows(R.read_fixed_width(spark, path, fields, pad="end", width=6)) == [("ab", ""), ("ab", "XY")]
+
+
+def test_latin1_keeps_blank_lines_and_control_characters(spark, tmp_path):
+    path = str(tmp_path / "l.txt")
+    with open(path, "wb") as file:
+        file.write("Zo\xe9\n\nx\x01tail\n".encode("latin-1"))
+    assert rows(R.read_lines(spark, path, "ISO-8859-1")) == [("",), ("Zo\xe9",), ("x\x01tail",)]
+
+
+def test_csv_keeps_line_ends_quotes_and_backslashes(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\nb"), (2, 'say "x"'), (3, "c\\d")], "id int, v string")
+    S.write_parquet_and_csv(df, str(tmp_path / "p"), str(tmp_path / "c"))
+    assert rows(R.read_header_csv(spark, str(tmp_path / "c"), "id int, v string", multi_line=True)) == rows(df)
+
+
 def test_scratch_follows_the_session_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     path = session.scratch_path(spark, "x")
