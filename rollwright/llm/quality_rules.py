@@ -176,7 +176,9 @@ def quality_verdicts(
     rejected = F.lit(False)
     for m in GRID:
         rejected = rejected | F.coalesce(F.col(m) > F.col(f"{m}_cutoff"), F.lit(False))
-    return measured.join(in_use, "stratum", "left").select(
+    # A cutoff is accepted only with at least log(1 / risk) / limit good labelled texts in its stratum, so these
+    # rows are fewer than the labels by that factor: small enough to send to every task, and no stratum is hot.
+    return measured.join(F.broadcast(in_use), "stratum", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~rejected).alias("kept"), "stratum",
     )
