@@ -10,7 +10,8 @@
    to components.
 4. Lists whose members lie in several components still are merged in full, in blocks: every two members of
    different components whose sizes allow the threshold and whose collisions reach ``match`` are candidates
-   too. A pair that meets in several lists is taken in the first of them. These blocks carry the full sets, so
+   too. In a list of several blocks the members of its largest component have their own blocks, which meet
+   the others' blocks only. A pair that meets in several lists is taken in the first of them. These blocks carry the full sets, so
    that candidates are confirmed where they meet and only links leave the task.
 
 ``match`` is the number of collisions that a pair at exactly the threshold misses with a chance below one in
@@ -118,9 +119,22 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def block_pairs(lists: DataFrame, match: int, percent: int) -> DataFrame:
     """Links between different components, from lists dealt to blocks that meet in twos."""
-    sizes = lists.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
-    dealt = lists.join(sizes, "token").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
-    others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    parts = lists.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("token").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main")).select(
+        "token",
+        F.when(F.col("n") > BLOCK, F.col("main.component")).alias("main"),
+        F.ceil(F.when(F.col("n") > BLOCK, F.col("n") - F.col("main.n")).otherwise(F.col("n")) / F.lit(BLOCK)).alias("rest_blocks"),
+        F.when(F.col("n") > BLOCK, F.ceil(F.col("main.n") / F.lit(BLOCK))).otherwise(F.lit(0)).alias("main_blocks"),
+    )
+    dealt = lists.join(sizes, "token").withColumn("in_main", F.coalesce(F.col("component") == F.col("main"), F.lit(False)))
+    spread = F.xxhash64("doc_id")
+    dealt = dealt.withColumn(
+        "block",
+        F.when(F.col("in_main"), F.col("rest_blocks") + F.pmod(spread, F.greatest("main_blocks", F.lit(1))))
+        .otherwise(F.pmod(spread, F.col("rest_blocks"))),
+    )
+    meets = F.col("rest_blocks") + F.when(F.col("in_main"), F.lit(0)).otherwise(F.col("main_blocks"))
+    others = F.sequence(F.lit(0).cast("long"), meets - 1)
     met = dealt.withColumn("other", F.explode(others)).select(
         "token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block",
         "doc_id", "component", "n_shingles", "signature", "prefix", "hashes",
