@@ -112,7 +112,10 @@ def test_components(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 200: 100, 150: 100}
 
 
-def test_near_duplicates_equal_brute_force(spark):
+@pytest.mark.parametrize(("leaders", "block"), [(4, 256), (1, 3)])  # the second: lists of many blocks and components
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, leaders, block):
+    monkeypatch.setattr(signature_join, "LEADERS", leaders)
+    monkeypatch.setattr(signature_join, "BLOCK", block)
     draw = random.Random(5)
     vocabulary = [f"w{i}" for i in range(400)]
     base = [draw.choices(vocabulary, k=80) for _ in range(6)]
