@@ -159,11 +159,10 @@ def scan_columns(spark, sf_dir):
     return drop_columns(rename_columns(chosen, {"l_returnflag": "flag", "l_orderkey": "orderkey"}), ["l_tax"])
 
 
-@query("read_table", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")
+@query("read_table", "SELECT o_orderkey, o_orderstatus FROM orders")
 def read_table(spark, sf_dir):
     sinks.register_view(table(spark, sf_dir, "orders"), "rollwright_orders")
-    orders = readers.read_table(spark, "rollwright_orders")
-    return orders.where("o_orderstatus <> 'P'").select("o_orderkey", "o_orderstatus")
+    return readers.read_table(spark, "rollwright_orders").select("o_orderkey", "o_orderstatus")
 
 
 @query("materialise_table", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey")
@@ -197,30 +196,31 @@ def write_headerless_csv(spark, sf_dir):
     "write_named_outputs",
     """
     SELECT 'done' AS output_name, o_orderkey FROM orders WHERE o_orderstatus = 'F'
-    UNION ALL SELECT 'open', o_orderkey FROM orders WHERE o_orderstatus = 'O'""",
+    UNION ALL SELECT 'open', o_orderkey FROM orders WHERE o_orderstatus = 'O'
+    UNION ALL SELECT 'partial', o_orderkey FROM orders WHERE o_orderstatus = 'P'""",
 )
 def write_named_outputs(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    parts = {"done": "o_orderstatus = 'F'", "open": "o_orderstatus = 'O'"}
+    parts = {"done": "o_orderstatus = 'F'", "open": "o_orderstatus = 'O'", "partial": "o_orderstatus = 'P'"}
     paths = sinks.write_named_outputs(
         {name: orders.where(condition) for name, condition in parts.items()}, scratch_path(spark, "named")
     )
-    done, opened = (spark.read.parquet(paths[n]).select(F.lit(n).alias("output_name"), "o_orderkey") for n in parts)
-    return done.unionByName(opened)
+    done, opened, partial = (spark.read.parquet(paths[n]).select(F.lit(n).alias("output_name"), "o_orderkey") for n in parts)
+    return done.unionByName(opened).unionByName(partial)
 
 
 @query(
     "write_labelled_parts",
     """
-    SELECT CASE o_orderstatus WHEN 'F' THEN 'done' ELSE 'open' END AS output_name, count(*) AS n
-    FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1""",
+    SELECT CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'open' WHEN 'P' THEN 'partial' END AS output_name, o_orderkey
+    FROM orders""",
 )
 def write_labelled_parts(spark, sf_dir):
     path = scratch_path(spark, "labelled")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    labelled = label_parts(orders, {"done": "o_orderstatus = 'F'", "open": "o_orderstatus = 'O'"})
+    labelled = label_parts(orders, {"done": "o_orderstatus = 'F'", "open": "o_orderstatus = 'O'", "partial": "o_orderstatus = 'P'"})
     sinks.write_labelled_parts(labelled, "output_name", path)
-    return spark.read.parquet(path).groupBy("output_name").agg(F.count("*").alias("n"))
+    return spark.read.parquet(path).select("output_name", "o_orderkey")
 
 
 @query(
