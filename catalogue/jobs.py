@@ -9,7 +9,7 @@ from rollwright.functions.columns import compose_key, zfill
 from rollwright.operators.regions import region_text
 from rollwright.operators.report import union_all
 from rollwright.plans.classify import ClassifyRules, MarkGroup, roster_classify, roster_views
-from rollwright.plans.pages import PageLayout, clean_pages, extract_pages, page_mismatches
+from rollwright.plans.pages import PageLayout, extract_pages, page_mismatches, page_records
 from rollwright.plans.roster import (
     EnrichRules,
     History,
@@ -23,7 +23,7 @@ from rollwright.plans.roster import (
     unmatched_enrich,
     void_sets,
 )
-from rollwright.session import scratch_path
+from rollwright.session import materialise, scratch_path
 
 # -- inputs shaped like a roster ----------------------------------------------------------------
 
@@ -55,9 +55,10 @@ def roster_lines(spark, sf_dir):
 
 def site_list(spark, sf_dir):
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    joined = nation.where("n_nationkey <> 9").join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    code = compose_key(zfill("n_regionkey", 3), zfill("n_nationkey", 3))
     return joined.select(
-        compose_key(zfill("n_regionkey", 3), zfill("n_nationkey", 3)).alias("site_code"),
+        F.when(F.col("n_nationkey") == 9, F.lit("")).otherwise(code).alias("site_code"),
         F.col("r_name").alias("district_name"),
         F.col("n_name").alias("site_name"),
         F.when(F.col("n_nationkey") == 7, F.lit("S99")).otherwise(F.lit("")).alias("report_code"),
@@ -92,9 +93,9 @@ _PREPARED = f"""(
                  CASE WHEN report_code = 'S99' THEN 'Special' ELSE district_name END AS dn
           FROM (SELECT *, lpad(CAST(r AS VARCHAR), 3, '0') || lpad(CAST(n AS VARCHAR), 3, '0') AS site_code FROM {_ROSTER}) p
           LEFT JOIN (SELECT s_suppkey * 3 AS retired_id, s_suppkey * 3 + 1 AS active_id FROM supplier) ON id = retired_id
-          LEFT JOIN (SELECT lpad(CAST(n_regionkey AS VARCHAR), 3, '0') || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS sc,
+          LEFT JOIN (SELECT CASE WHEN n_nationkey = 9 THEN '' ELSE lpad(CAST(n_regionkey AS VARCHAR), 3, '0') || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') END AS sc,
                             r_name AS district_name, n_name AS site_name, CASE WHEN n_nationkey = 7 THEN 'S99' ELSE '' END AS report_code
-                     FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 9) ON site_code = sc
+                     FROM nation JOIN region ON n_regionkey = r_regionkey) ON site_code = sc
           WHERE kind <> '5' AND n <> 13 AND grade = '12' AND site_code <> '001001'))"""
 
 
@@ -167,8 +168,10 @@ def voided(spark, sf_dir):
 
 
 def _history(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").where("o_totalprice > 430000").select(
-        F.col("o_custkey").cast("string").alias("person_id"),
+    """Every order; those of each fifth customer under an ID that no roster has."""
+    person = F.when(F.col("o_custkey") % 5 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    orders = table(spark, sf_dir, "orders").select(
+        person.cast("string").alias("person_id"),
         F.when(F.col("o_orderstatus") == "P", F.lit(float("nan"))).otherwise(F.col("o_totalprice")).alias("score"),
         F.col("o_orderpriority").alias("source"),
         "o_orderkey",
@@ -193,9 +196,9 @@ _MATCH = f"""
     WITH retired AS (SELECT s_suppkey * 3 AS retired_id, s_suppkey * 3 + 1 AS active_id FROM supplier),
     roster AS (SELECT CASE WHEN site_part <> '6' THEN person_id END AS person_id, district_code || '_' || district_name AS split,
                       site_name AS School_Name, site_code, last_name, birth_day, birth_month, birth_year FROM {_PREPARED}),
-    history AS (SELECT coalesce(active_id, o_custkey) AS id, CASE o_orderstatus WHEN 'P' THEN CAST('NaN' AS DOUBLE) ELSE o_totalprice END AS s,
+    history AS (SELECT coalesce(active_id, person) AS id, CASE o_orderstatus WHEN 'P' THEN CAST('NaN' AS DOUBLE) ELSE o_totalprice END AS s,
                        CASE WHEN contains(lower(o_orderpriority), 'high') THEN 1 WHEN contains(lower(o_orderpriority), 'low') THEN 0 END AS pr, o_orderkey
-                FROM orders LEFT JOIN retired ON o_custkey = retired_id WHERE o_totalprice > 430000),
+                FROM (SELECT *, CASE WHEN o_custkey % 5 = 0 THEN -o_custkey ELSE o_custkey END AS person FROM orders) LEFT JOIN retired ON person = retired_id),
     best AS (SELECT id, s0 FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pr DESC NULLS FIRST, s0 DESC NULLS FIRST, o_orderkey) AS r
                                  FROM (SELECT *, CASE WHEN isnan(s) THEN 0 ELSE s END AS s0 FROM history)) WHERE r = 1),
     h AS (SELECT DISTINCT id FROM history WHERE s IS NOT NULL AND NOT isnan(s)),
@@ -418,13 +421,10 @@ def classified(spark, sf_dir):
 
 @query(
     "roster_classify_override",
-    f"""
-    SELECT status, count(*) AS n FROM (SELECT CASE WHEN l_tax = 0 THEN 'EXEMPT' ELSE status END AS status FROM {_CLASSIFIED})
-    GROUP BY status""",
+    f"SELECT * EXCLUDE (l_tax) REPLACE (CASE WHEN l_tax = 0 THEN 'EXEMPT' ELSE status END AS status) FROM {_CLASSIFIED}",
 )
 def classified_override(spark, sf_dir):
-    rows = roster_classify(_facts(spark, sf_dir), *_site_tables(spark, sf_dir), _classify_rules(True))
-    return rows.groupBy("status").agg(F.count("*").alias("n"))
+    return roster_classify(_facts(spark, sf_dir), *_site_tables(spark, sf_dir), _classify_rules(True))
 
 
 @query(
@@ -436,6 +436,7 @@ def classified_override(spark, sf_dir):
 )
 def views(spark, sf_dir):
     roster = roster_classify(_facts(spark, sf_dir), *_site_tables(spark, sf_dir), _classify_rules())
+    roster = materialise(roster, "roster")  # both views read it
     split = roster_views(
         roster,
         {"part": "NOT (l_linenumber = 5 AND (segment = 'B' OR priority <> '1-URGENT'))", "perf": "l_linenumber <> 5"},
@@ -477,7 +478,7 @@ def page_words(spark, sf_dir):
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     joined = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     key = F.col("c_custkey").cast("string")
-    tail = F.substring("c_name", 10, 9)
+    tail = F.substring_index("c_name", "#", -1)
     even = F.col("n_nationkey").isin(0, 2, 4, 6, 8, 10)
     name = F.when(even, F.concat(F.lit("Ann Bea "), tail)).otherwise(tail)
     lines = [
@@ -523,11 +524,15 @@ def _page_texts(spark, sf_dir):
 @query(
     "page_records",
     """
-    WITH c AS (SELECT *, CAST(c_custkey AS VARCHAR) AS k, substr(c_name, 10, 9) AS tail, c_mktsegment = 'BUILDING' AS void,
+    WITH c AS (SELECT *, lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS code, CAST(c_custkey AS VARCHAR) AS k, split_part(c_name, '#', 2) AS tail, c_mktsegment = 'BUILDING' AS void,
                       n_nationkey IN (0, 2, 4, 6, 8, 10) AS even FROM customer JOIN nation ON c_nationkey = n_nationkey)
-    SELECT k AS doc, 'Individual Report' AS Report_Title, 'Language' AS Report_Subject, 'Spring ' || n_regionkey AS Report_Season_Year,
+    SELECT k AS doc, 1 AS page, 'Individual Report' AS Report_Title, 'Language' AS Report_Subject, 'Spring ' || n_regionkey AS Report_Season_Year,
            '10%' AS Advanced_School_Percentage, '≥' || n_nationkey || '%' AS Advanced_School_System_Percentage, 'NR' AS Advanced_State_Percentage,
            CASE WHEN NOT even THEN '7%' END AS Basic_School_Percentage, CASE WHEN NOT even THEN 'N/A' END AS Basic_School_System_Percentage,
+           CASE WHEN NOT even THEN '9%' END AS Basic_State_Percentage, false AS Advanced_Mismatch, even AS Basic_Mismatch,
+           concat_ws(chr(10), 'Student: ' || CASE WHEN even THEN 'Ann Bea ' ELSE '' END || tail || ' Grade: 12', 'Report Date: 01/02/1998', 'LASID: ' || k,
+                     'School: ' || code || ' High ' || n_name, 'Date of Birth: ' || CASE WHEN even THEN '03/04/1990' ELSE '--/--/----' END,
+                     'School System: ' || c_mktsegment) AS Info,
            CASE WHEN void THEN '*' ELSE k END AS Scale_Score_ELA, void AS If_Voided,
            CASE WHEN NOT void THEN ' ' || c_mktsegment END AS Reading_Level,
            CASE WHEN NOT void THEN '30%' END AS Reading_Level_State_Percentage_Strong,
@@ -538,12 +543,11 @@ def _page_texts(spark, sf_dir):
            CASE WHEN even THEN 'Ann' ELSE tail END AS Student_First_Name, CASE WHEN even THEN 'Bea' END AS Student_Middle_Initial,
            tail AS Student_Last_Name, CASE WHEN even THEN 4 END AS Summarized_DOB_Day, CASE WHEN even THEN 3 END AS Summarized_DOB_Month,
            CASE WHEN even THEN 1990 END AS Summarized_DOB_Year,
-           lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS School_Code, 'High ' || n_name AS School_Name
+           code AS School_Code, 'High ' || n_name AS School_Name
     FROM c""",
 )
 def page_rows(spark, sf_dir):
-    clean = clean_pages(_page_texts(spark, sf_dir), page_layout())
-    return clean.drop("page", "Info", "Advanced_Mismatch", "Basic_Mismatch", "Basic_State_Percentage")
+    return page_records(page_words(spark, sf_dir), PAGE_REGIONS, page_layout())
 
 
 @query(

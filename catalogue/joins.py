@@ -32,10 +32,10 @@ _BIG = "(SELECT c_custkey AS id FROM customer WHERE c_mktsegment <> 'BUILDING')"
     "left_enrich",
     f"""
     SELECT o_orderkey, custkey, c_name, coalesce(c_mktsegment, 'none') AS segment
-    FROM {_ORDERS} LEFT JOIN (SELECT * FROM customer WHERE c_nationkey <> 3) ON custkey = c_custkey""",
+    FROM {_ORDERS} LEFT JOIN customer ON custkey = c_custkey""",
 )
 def left_enrich(spark, sf_dir):
-    lookup = table(spark, sf_dir, "customer").where("c_nationkey <> 3").select("c_custkey", "c_name", "c_mktsegment")
+    lookup = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     joined = joins.left_enrich(_orders(spark, sf_dir), lookup, {"custkey": "c_custkey"}, unique=True)
     segment = joins.coalesce_key("c_mktsegment", F.lit("none"))
     return joined.select("o_orderkey", "custkey", "c_name", segment.alias("segment"))
@@ -186,8 +186,9 @@ def regions_of_documents(spark, sf_dir):
     "region_text_by_template",
     f"""
     WITH w AS ({DOCUMENT_WORDS}),
-         r AS (SELECT doc, y, x, word, 'title' AS region FROM w WHERE (lang = 'en' AND y < 1) OR (lang = 'de' AND y >= 1 AND y < 2)
-               UNION ALL SELECT doc, y, x, word, 'rest' FROM w WHERE lang = 'en' AND y >= 1),
+         r AS (SELECT doc, y, x, word, 'title' AS region FROM w WHERE (lang IN ('en', 'fr') AND y < 1) OR (lang = 'de' AND y >= 1 AND y < 2)
+               UNION ALL SELECT doc, y, x, word, 'rest' FROM w WHERE (lang = 'en' AND y >= 1) OR lang = 'es'
+               UNION ALL SELECT doc, y, x, word, 'start' FROM w WHERE lang = 'fr' AND x < 4),
          l AS (SELECT doc, region, y, string_agg(word, ' ' ORDER BY x) AS t FROM r GROUP BY ALL)
     SELECT doc, region, string_agg(t, chr(10) ORDER BY y) AS text FROM l GROUP BY doc, region""",
 )
@@ -195,5 +196,7 @@ def regions_by_template(spark, sf_dir):
     regions = {
         "en": {"title": (0.0, 0.0, _FAR, 1.0), "rest": (0.0, 1.0, _FAR, _FAR)},
         "de": {"title": (0.0, 1.0, _FAR, 2.0)},
+        "fr": {"title": (0.0, 0.0, _FAR, 1.0), "start": (0.0, 0.0, 4.0, _FAR)},
+        "es": {"rest": (0.0, 0.0, _FAR, _FAR)},
     }
     return region_text_long(document_words(spark, sf_dir), regions, page=["doc"], template="lang")

@@ -53,8 +53,8 @@ def region_text(
 
     Two steps, line then page: the words of a hot page are gathered by line in many tasks, and only
     finished lines meet in the task that owns the page. A list of words does not shrink before the
-    shuffle, so the words are shuffled as they are rather than as half-built lists. A page without a
-    word in any region still gives its row.
+    shuffle, so the words are shuffled as they are rather than as half-built lists: each once, with a
+    flag for each region. A page without a word in any region still gives its row.
     """
     conditions = _region_conditions(regions, template)
     slots = {name: f"__region_{i}" for i, name in enumerate(conditions)}
@@ -62,11 +62,12 @@ def region_text(
         *page,
         _line_key(line).alias("__line"),
         F.col(across).alias("__across"),
-        *[F.when(conditions[n], F.col(word)).alias(s) for n, s in slots.items()],
+        F.col(word).alias("__word"),
+        *[F.coalesce(conditions[n], F.lit(False)).alias(s) for n, s in slots.items()],
     )
     lines = flagged.repartition(*page, "__line").groupBy(*page, "__line").agg(
         *[
-            F.expr(f"listagg({s}, ' ') within group (order by __across, {s})").alias(s)
+            F.expr(f"listagg(CASE WHEN {s} THEN __word END, ' ') within group (order by __across, CASE WHEN {s} THEN __word END)").alias(s)
             for s in slots.values()
         ]
     )

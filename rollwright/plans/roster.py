@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollwright.functions.columns import (
@@ -23,7 +23,7 @@ from rollwright.functions.columns import (
     whole_number_text,
     zfill,
 )
-from rollwright.operators.dedupe import best_row_per_key, first_row_per_key
+from rollwright.operators.dedupe import ascending, best_row_per_key, descending, distinct_keys, first_row_per_key
 from rollwright.operators.joins import coalesce_key, full_outer_flags, left_enrich, left_then_require, replace_by_lookup
 from rollwright.operators.report import union_all
 from rollwright.session import materialise
@@ -203,7 +203,7 @@ class History:
     source: str
     # Ranking columns, highest first, nulls first; may name ``priority``.
     rank_by: Sequence[str]
-    # Numeric columns, lowest first, that tell equally ranked records apart.
+    # Columns of any type, lowest first, that tell equally ranked records apart.
     tiebreak: Sequence[str] = ()
     # (part of the source name, priority), first hit counts.
     priorities: Sequence[tuple[str, int]] = ()
@@ -229,40 +229,37 @@ def _ranked(history: History) -> DataFrame:
     return df.withColumns({"__valid": valid_score(history.score), history.score: nan_to_zero(history.score)})
 
 
-def _rank_key(history: History) -> Column:
-    """Struct whose maximum is the first row of the descending, nulls-first order."""
-    parts: list[Column] = []
-    for c in history.rank_by:
-        parts += [F.col(c).isNull(), F.col(c)]
-    for c in history.tiebreak:
-        # Ascending, so negated to be part of a maximum.
-        parts += [F.col(c).isNull(), -F.col(c)]
-    return F.struct(*[p.alias(f"r{i}") for i, p in enumerate(parts)])
-
-
 def id_profile(history: History, voids: DataFrame, void_id: str) -> DataFrame:
     """One row for each known ID: in the history with a valid score, voided, best score.
 
-    Membership and best score come out of one aggregate over both inputs, combined map-side. It is
-    grouped by a struct so that the roster join can be split at hot IDs (see ``operators.dedupe``).
+    The best record with and the best without a valid score are kept first, so a task sends at most two
+    rows of an ID. Membership and the best score are then read off these and the void set, over a struct
+    of the ID, so that the roster join can be split at hot IDs (see ``operators.dedupe``).
     """
+    ranks = [f"__rank_{i}" for i, _ in enumerate(history.rank_by)]
+    ties = [f"__tie_{i}" for i, _ in enumerate(history.tiebreak)]
     ranked = _ranked(history).select(
         F.col(history.id).cast("bigint").alias("__id"),
         F.col("__valid").alias("__history"),
-        F.lit(False).alias("__void"),
         F.col(history.score).alias("__score"),
-        _rank_key(history).alias("__rank"),
+        *[F.col(c).alias(n) for c, n in zip(history.rank_by, ranks)],
+        *[F.col(c).alias(n) for c, n in zip(history.tiebreak, ties)],
     )
-    voided = voids.select(F.col(void_id).cast("bigint").alias("__id"), F.lit(True).alias("__void"))
-    both = ranked.unionByName(voided, allowMissingColumns=True).where(F.col("__id").isNotNull())
+    best = best_row_per_key(ranked.where(F.col("__id").isNotNull()), ["__id", "__history"], ranks, ties)
+    voided = distinct_keys(voids.select(F.col(void_id).cast("bigint").alias("__id")), "__id")
+    both = best.withColumn("__void", F.lit(False)).unionByName(voided.withColumn("__void", F.lit(True)), allowMissingColumns=True)
+    person = Window.partitionBy(F.struct("__id"))
+    order = person.orderBy("__void", *descending(*ranks), *ascending(*ties))
     return (
-        both.groupBy(F.struct("__id").alias("__key"))
-        .agg(
-            F.coalesce(F.bool_or("__history"), F.lit(False)).alias("__history"),
-            F.bool_or("__void").alias("__void"),
-            F.max_by("__score", "__rank").alias("__score"),
+        both.select(
+            "__id",
+            F.coalesce(F.bool_or("__history").over(person), F.lit(False)).alias("__history"),
+            F.bool_or("__void").over(person).alias("__void"),
+            "__score",
+            F.row_number().over(order).alias("__first"),
         )
-        .select("__key.__id", "__history", "__void", "__score")
+        .where("__first = 1")
+        .drop("__first")
     )
 
 
