@@ -22,13 +22,13 @@ def _number(c, width):
 
 def customer_lines(spark, sf_dir):
     """Fixed-width lines that lost their leading blanks, but for one of full length."""
-    key = F.when(F.col("c_custkey") == 0, F.repeat(F.lit("0"), F.lit(12))).otherwise(_number("c_custkey", 12))
-    line = F.ltrim(F.concat(key, _text("c_name", 20), _number("c_nationkey", 3), _text("c_mktsegment", 12)))
+    key = F.when(F.col("c_custkey") == 0, F.repeat(F.lit("0"), F.lit(20))).otherwise(_number("c_custkey", 20))
+    line = F.ltrim(F.concat(key, _text("c_name", 30), _number("c_nationkey", 3), _text("c_mktsegment", 12)))
     return table(spark, sf_dir, "customer").select("c_custkey", line.alias("line"))
 
 
 _CUSTOMER_LINES = """
-    SELECT c_custkey, ltrim(CASE WHEN c_custkey = 0 THEN repeat('0', 12) ELSE lpad(CAST(c_custkey AS VARCHAR), 12, ' ') END || rpad(c_name, 20, ' ')
+    SELECT c_custkey, ltrim(CASE WHEN c_custkey = 0 THEN repeat('0', 20) ELSE lpad(CAST(c_custkey AS VARCHAR), 20, ' ') END || rpad(c_name, 30, ' ')
            || lpad(CAST(c_nationkey AS VARCHAR), 3, ' ') || rpad(c_mktsegment, 12, ' ')) AS line
     FROM customer"""
 
@@ -39,18 +39,18 @@ _CUSTOMER_LINES = """
     WITH l AS ({_CUSTOMER_LINES}),
          m AS (SELECT max(length(line)) AS n FROM l),
          p AS (SELECT lpad(line, CAST(n AS INTEGER), ' ') AS line FROM l, m)
-    SELECT CAST(trim(substr(line, 1, 12)) AS BIGINT) AS custkey, substr(line, 13, 20) AS name,
-           CAST(trim(substr(line, 33, 3)) AS INTEGER) AS nationkey, substr(line, 36, 12) AS segment
+    SELECT CAST(trim(substr(line, 1, 20)) AS BIGINT) AS custkey, substr(line, 21, 30) AS name,
+           CAST(trim(substr(line, 51, 3)) AS INTEGER) AS nationkey, substr(line, 54, 12) AS segment
     FROM p""",
 )
 def read_fixed_width(spark, sf_dir):
     path = scratch_path(spark, "fixed-width") + ".txt"
     customer_lines(spark, sf_dir).select("line").write.text(path)
     fields = [
-        Field(1, 12, "custkey", "bigint"),
-        Field(13, 20, "name"),
-        Field(33, 3, "nationkey", "int"),
-        Field(36, 12, "segment"),
+        Field(1, 20, "custkey", "bigint"),
+        Field(21, 30, "name"),
+        Field(51, 3, "nationkey", "int"),
+        Field(54, 12, "segment"),
     ]
     return readers.read_fixed_width(spark, path, fields)
 
@@ -127,12 +127,12 @@ def read_header_csv(spark, sf_dir):
 def read_by_extension(spark, sf_dir):
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
-    customer = table(spark, sf_dir, "customer").select(F.concat(_number("c_custkey", 12), F.col("c_name")))
+    customer = table(spark, sf_dir, "customer").select(F.concat(_number("c_custkey", 20), F.col("c_name")))
     base = scratch_path(spark, "by-extension")
     supplier.write.csv(f"{base}/s.csv", header=True)
     part.write.parquet(f"{base}/p.parquet")
     customer.write.text(f"{base}/c.txt")
-    fields = [Field(1, 12, "id", "bigint"), Field(13, 18, "name")]
+    fields = [Field(1, 20, "id", "bigint"), Field(21, 30, "name")]
     read = {
         "csv": readers.read_by_extension(spark, f"{base}/s.csv", schema=supplier.schema),
         "parquet": readers.read_by_extension(spark, f"{base}/p.parquet"),
@@ -173,12 +173,16 @@ def materialise_table(spark, sf_dir):
     return sinks.materialise_table(counted, "rollwright_counts", scratch_path(spark, "table"))
 
 
-@query("write_parquet_and_csv", "SELECT c_custkey, c_name, c_nationkey FROM customer UNION ALL SELECT c_custkey, c_name, c_nationkey FROM customer")
+@query(
+    "write_parquet_and_csv",
+    "SELECT doc_id, text, source FROM documents UNION ALL SELECT doc_id, text, source FROM documents",
+)
 def write_parquet_and_csv(spark, sf_dir):
+    """Whole texts, with their line ends, quotes and blanks."""
     base = scratch_path(spark, "both")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    sinks.write_parquet_and_csv(customer, f"{base}/p.parquet", f"{base}/c.csv")
-    both = readers.read_header_csv(spark, f"{base}/c.csv", customer.schema)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    sinks.write_parquet_and_csv(documents, f"{base}/p.parquet", f"{base}/c.csv")
+    both = readers.read_header_csv(spark, f"{base}/c.csv", documents.schema, multi_line=True)
     return both.unionByName(readers.read_parquet(spark, f"{base}/p.parquet"))
 
 

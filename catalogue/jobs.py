@@ -24,6 +24,7 @@ from rollwright.plans.roster import (
     void_sets,
 )
 from rollwright.session import materialise, scratch_path
+from rollwright.sources.sinks import write_named_outputs
 
 # -- inputs shaped like a roster ----------------------------------------------------------------
 
@@ -275,8 +276,7 @@ def crosswalk(spark, sf_dir):
     return _crosswalk(spark, sf_dir)
 
 
-@query(
-    "unmatched_enrich",
+_ENRICHED = (
     _MATCH
     + f""",
     people AS (SELECT person_id, last_name, site_code, birth_day, birth_month, birth_year FROM flagged WHERE NOT (in_h OR in_v)
@@ -288,9 +288,11 @@ def crosswalk(spark, sf_dir):
            CASE WHEN substr(site_code, 1, 1) IN ('5', '6') THEN 'X' ELSE 'Y' END AS opt_in,
            CASE WHEN birth_year = '1900' THEN birth_day ELSE birth_month || '/' || birth_day || '/' || birth_year END AS birth_date,
            CAST(NULL AS VARCHAR) AS Extra_1, 'ACTIVE' AS state
-    FROM people JOIN cw ON site_code = site WHERE site <> '002011'""",
+    FROM people JOIN cw ON site_code = site WHERE site <> '002011'"""
 )
-def enriched(spark, sf_dir):
+
+
+def _enriched(spark, sf_dir):
     prepared, match = _match(spark, sf_dir)
     rules = EnrichRules(
         keep=["person_id", "last_name", "site_code", "birth_day", "birth_month", "birth_year"],
@@ -304,6 +306,17 @@ def enriched(spark, sf_dir):
     return unmatched_enrich(match.flagged, prepared.other_grade, _crosswalk(spark, sf_dir), rules)
 
 
+@query("unmatched_enrich", _ENRICHED)
+def enriched(spark, sf_dir):
+    return _enriched(spark, sf_dir)
+
+
+@query("publish_unmatched", _ENRICHED)
+def published_unmatched(spark, sf_dir):
+    paths = write_named_outputs({"UNMATCHED": _enriched(spark, sf_dir)}, scratch_path(spark, "unmatched"))
+    return spark.read.parquet(paths["UNMATCHED"])
+
+
 # -- classification -----------------------------------------------------------------------------
 
 _FACTS = """(

@@ -127,11 +127,13 @@ def cross_scaffold(
     basic: Sequence[str],
     subgroup_sets: Sequence[Sequence[str]] = ((),),
     domains: Mapping[str, Sequence[Any]] | None = None,
+    allowed: Sequence[Mapping[str, Sequence[Any]]] | None = None,
 ) -> DataFrame:
     """Every combination of the values of the used columns, for each subgroup set; '' where unused.
 
     The combinations are unfolded from arrays of values, one column after the other. They are spread
-    over the cluster by the basic columns before the subgroups multiply them.
+    over the cluster by the basic columns before the subgroups multiply them. ``allowed`` keeps the
+    legal combinations; what its rules say about basic columns is applied before that too.
     """
     subgroups = [c for c in ordered_union(subgroup_sets) if c not in basic]
     ids = _set_ids(subgroup_sets, subgroups)
@@ -139,6 +141,9 @@ def cross_scaffold(
     cells = column_domains(df, [*basic, *subgroups], domains).withColumnsRenamed(arrays)
     for c in basic:
         cells = cells.withColumn(c, F.explode(arrays[c]))
+    early = [{c: values for c, values in rule.items() if c in basic} for rule in allowed or ()]
+    if early and all(early):
+        cells = cells.where(combination_mask(early))
     if basic:
         cells = cells.repartition(*basic)
     cells = cells.withColumn(_SET, F.explode(F.array(*[F.lit(i) for i in ids])))
@@ -146,7 +151,8 @@ def cross_scaffold(
         using = [i for i, s in zip(ids, subgroup_sets) if c in s]
         values = F.transform(arrays[c], lambda v: v.cast("string"))
         cells = cells.withColumn(c, F.explode(F.when(F.col(_SET).isin(using), values).otherwise(F.array(F.lit("")))))
-    return cells.select(*basic, *subgroups, _SET)
+    cells = cells.select(*basic, *subgroups, _SET)
+    return cells.where(combination_mask(allowed)) if allowed else cells
 
 
 def zero_filled_counts(
@@ -170,9 +176,7 @@ def zero_filled_counts(
 
 
 def _zero_filled(fine, basic, subgroup_sets, name, domains, allowed, total_flag) -> DataFrame:
-    cells = cross_scaffold(fine, basic, subgroup_sets, domains)
-    if allowed:
-        cells = cells.where(combination_mask(allowed))
+    cells = cross_scaffold(fine, basic, subgroup_sets, domains, allowed)
     distinct_sets = list({frozenset(s): list(s) for s in subgroup_sets}.values())
     keys = [*basic, *[c for c in ordered_union(subgroup_sets) if c not in basic], _SET]
     # The subgroup order, and so the set IDs, must be those of the cells.

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Blanks at the ends of a value are part of it.
+_KEEP_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -17,7 +21,7 @@ def write_parquet_and_csv(df: DataFrame, parquet_path: str, csv_path: str) -> No
     result is computed once. Values with line ends are quoted: read such a file with ``multi_line``."""
     write_parquet(df, parquet_path)
     written = df.sparkSession.read.schema(df.schema).parquet(parquet_path)
-    written.write.mode("overwrite").csv(csv_path, header=True, escape='"')
+    written.write.mode("overwrite").csv(csv_path, header=True, escape='"', **_KEEP_BLANKS)
 
 
 def write_headerless_csv(df: DataFrame, directory: str, name: str, order: str | None = None) -> str:
@@ -29,7 +33,7 @@ def write_headerless_csv(df: DataFrame, directory: str, name: str, order: str |
     """
     path = f"{directory.rstrip('/')}/{name}.csv"
     out = df.orderBy(F.asc_nulls_first(order)).drop(order) if order else df
-    out.write.mode("overwrite").csv(path, header=False, emptyValue="")
+    out.write.mode("overwrite").csv(path, header=False, emptyValue="", **_KEEP_BLANKS)
     return path
 
 
@@ -39,7 +43,7 @@ def write_named_outputs(outputs: Mapping[str, DataFrame], directory: str, fmt: s
     for name, df in outputs.items():
         paths[name] = f"{directory.rstrip('/')}/{name}"
         writer = df.write.mode("overwrite")
-        writer.csv(paths[name], header=True) if fmt == "csv" else writer.format(fmt).save(paths[name])
+        writer.csv(paths[name], header=True, escape='"', **_KEEP_BLANKS) if fmt == "csv" else writer.format(fmt).save(paths[name])
     return paths
 
 

@@ -163,3 +163,11 @@ def test_exact_sum_keeps_every_digit_or_raises(spark):
     assert df.agg(R.exact_sum("x")).first()[0] == 33.123460789
     with pytest.raises(Exception, match="too many digits"):
         spark.createDataFrame([(1e-30,)], "x double").agg(R.exact_sum("x")).collect()
+
+
+def test_rules_on_basic_columns_come_before_the_subgroups(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "y")], "k string, s string")
+    cells = R.cross_scaffold(df, ["k"], [[], ["s"]], allowed=[{"k": ["a"], "s": ["", "x"]}])
+    assert sorted((r.k, r.s) for r in cells.collect()) == [("a", ""), ("a", "x")]
+    either = R.cross_scaffold(df, ["k"], [[], ["s"]], allowed=[{"k": ["a"]}, {"s": ["y"]}])
+    assert sorted((r.k, r.s) for r in either.collect()) == [("a", ""), ("a", "x"), ("a", "y"), ("b", "y")]
