@@ -56,7 +56,12 @@ def letter_tables(rows: DataFrame) -> tuple[list[str], np.ndarray]:
 
     ranked = rows.where("lang IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("order"))
     langs = sorted(r["lang"] for r in ranked.select("lang").distinct().limit(200).collect())
-    parts = [ranked.where(F.col("lang") == lang).orderBy("order").limit(TRAINING_ROWS) for lang in langs]
+    parts = []
+    for lang in langs:
+        # Hashes alone are ranked, so no whole texts meet in one task; copies of a text count once.
+        mine = ranked.where(F.col("lang") == lang)
+        lowest = mine.select("order").distinct().orderBy("order").limit(TRAINING_ROWS)
+        parts.append(mine.join(F.broadcast(lowest), "order", "left_semi").dropDuplicates(["order"]))
     tables = np.zeros((len(langs), CODES * CODES))
     for i, part in enumerate(parts):
         counted = part.select("text", "lang").mapInArrow(count, "lang string, pair long, n long")
