@@ -1,11 +1,14 @@
 """Line dedup by pairwise alignment of overlapping documents.
 
-A line is posted under its hash to the first document (smallest id) that holds it. A later document is
-paired with every first holder of one of its lines: a line shared by very many documents makes one pair for
-each of them, not one for every two, so no line is too common to be looked at. Each pair is aligned by
-patience: lines that are unique on both sides are anchors, the longest ascending run of anchors is kept, and
-aligned lines grow to neighbours that match on both sides. Aligned blocks of at least ``LEAST_WORDS`` words
-go from the later document.
+A window is a run of neighbouring lines, blank and short ones too, that just reaches ``LEAST_WORDS`` words,
+counted from its first line on or back from its last. The windows of a common block cover all its lines, and
+none reaches beyond it: a block of so many words is shared exactly where its windows are. A window is posted
+to the first document (smallest id) that holds it, and a later document is paired with every first holder of
+one of its windows: a window shared by very many documents makes one pair for each of them, not one for every
+two, so none is too common to be looked at. Each pair is aligned by patience: windows that are unique on both
+sides are anchors, the longest ascending run of anchors is kept and grows to neighbours that match on both
+sides, and what lies between is aligned in the same way until nothing in it matches. The lines of aligned
+windows go from the later document.
 """
 
 from __future__ import annotations
@@ -13,16 +16,75 @@ from __future__ import annotations
 import bisect
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollwright.llm.common import small_batches
+from rollwright.session import materialise
 
-KEY_WORDS = 4  # a line with fewer words is too weak to pair or delete
 LEAST_WORDS = 8
+BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
-REMOVED = "doc_id long, removed array<int>, blocks long, partners long"
+HELD = "doc_id long, key long, length int, places array<int>"
+ALIGNED = "doc_id long, removed array<int>, partners array<long>"
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base, and of its inverse, modulo 2^64."""
+    both = []
+    for base in (BASE, pow(BASE, -1, 1 << 64)):
+        steps = np.full(max(n, 1), base, np.uint64)
+        steps[0] = 1
+        both.append(np.multiply.accumulate(steps))
+    return both[0], both[1]
+
+
+def windows(hashes: np.ndarray, words: np.ndarray, up: np.ndarray, down: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Keys, first places and lengths of a document's windows, sorted by key, then place."""
+    n = len(words)
+    before = np.concatenate([[0], np.cumsum(words)])
+    first = np.arange(n)
+    end = np.searchsorted(before, before[:n] + LEAST_WORDS, "left")
+    last = np.arange(1, n + 1)
+    start = np.searchsorted(before, before[1:] - LEAST_WORDS, "right") - 1
+    pairs = np.unique(np.concatenate([
+        (first * (n + 1) + end)[end <= n], (start * (n + 1) + last)[start >= 0],
+    ]))
+    start, end = pairs // (n + 1), pairs % (n + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes.view(np.uint64) * up[:n], dtype=np.uint64)])
+    length = end - start
+    keys = ((sums[end] - sums[start]) * down[start] + length.astype(np.uint64) * np.uint64(BASE)).view(np.int64)
+    order = np.argsort(keys, kind="stable")
+    return keys[order], start[order], length[order]
+
+
+def hold_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each document and window, from ``doc_id, hashes, words``."""
+    up, down = powers(1024)
+    for batch in small_batches(batches):
+        docs, at = batch.column("doc_id").to_numpy(), batch.column("words").offsets.to_numpy()
+        hashes = batch.column("hashes").values.to_numpy()
+        words = batch.column("words").values.to_numpy().astype(np.int64)
+        found: list[tuple[np.ndarray, ...]] = []
+        for doc, low, high in zip(docs, at[:-1], at[1:], strict=True):
+            if high - low > len(up):
+                up, down = powers(2 * (high - low))
+            keys, start, length = windows(hashes[low:high], words[low:high], up, down)
+            new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+            sizes = np.diff(np.concatenate([new, [len(keys)]]))
+            found.append((np.full(len(new), doc), keys[new], length[new], sizes, start))
+        if found:
+            doc, keys, length, sizes, start = (np.concatenate(parts) for parts in zip(*found, strict=True))
+            offsets = np.concatenate([[0], np.cumsum(sizes)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(doc, pa.int64()), pa.array(keys, pa.int64()), pa.array(length, pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(start, pa.int32())),
+                ],
+                ["doc_id", "key", "length", "places"],
+            )
 
 
 def ascending(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -45,77 +107,134 @@ def ascending(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return run[::-1]
 
 
-def patience(matches: list[tuple[int, int, bool]]) -> set[int]:
-    """Places in the later document that align; matches are (place, place in the earlier one, unique in both)."""
-    matches = sorted(matches)
-    unique = [(p, q) for p, q, alone in matches if alone]
-    # Without a unique line the first occurrences are the anchors.
-    first: dict[int, int] = {}
-    for p, q, _ in matches:
-        first.setdefault(q, p)
-    anchors = ascending(sorted(unique or [(p, q) for q, p in first.items()]))
-    aligned, same = set(anchors), {(p, q) for p, q, _ in matches}
-    for p, q in anchors:
-        for step in (1, -1):
-            x, y = p + step, q + step
-            while (x, y) in same and (x, y) not in aligned:
-                aligned.add((x, y))
-                x, y = x + step, y + step
-    return {p for p, _ in aligned}
-
-
-def align(matches: list[dict]) -> tuple[list[int], int, int]:
-    """Places that go from one document, blocks and partners, given its matches with all earlier documents."""
-    partners: dict[int, list[tuple[int, int, bool]]] = {}
-    words: dict[int, int] = {}
+def by_place(places: dict[int, list[int]]) -> dict[int, set[int]]:
+    found: dict[int, set[int]] = {}
+    for key, held in places.items():
+        for p in held:
+            found.setdefault(p, set()).add(key)
+    return found
+
+
+def patience(mine: dict[int, list[int]], theirs: dict[int, list[int]]) -> dict[int, set[int]]:
+    """Keys that align at each place of the later document, from the sorted places of each key on both sides."""
+    here, there = by_place(mine), by_place(theirs)
+    nothing: set[int] = set()
+    xs, ys = sorted(here), sorted(there)
+    chain: list[tuple[int, int]] = []
+
+    def same(x: int, y: int) -> bool:
+        return not here.get(x, nothing).isdisjoint(there.get(y, nothing))
+
+    def inside(by: dict[int, set[int]], places: list[int], low: int, high: int) -> dict[int, list[int]]:
+        held: dict[int, list[int]] = {}
+        for p in places[bisect.bisect_left(places, low) : bisect.bisect_left(places, high)]:
+            for key in by[p]:
+                held.setdefault(key, []).append(p)
+        return held
+
+    gaps = [(xs[0], xs[-1] + 1, ys[0], ys[-1] + 1)] if xs and ys else []
+    while gaps:
+        x0, x1, y0, y1 = gaps.pop()
+        if x0 >= x1 or y0 >= y1:
+            continue
+        at_x, at_y = inside(here, xs, x0, x1), inside(there, ys, y0, y1)
+        common = at_x.keys() & at_y.keys()
+        # Without a unique window the anchors are the first occurrences, the second ones and so on.
+        anchors = {(at_x[k][0], at_y[k][0]) for k in common if len(at_x[k]) == len(at_y[k]) == 1} or {
+            pair for k in common for pair in zip(at_x[k], at_y[k], strict=False)
+        }
+        # Of the pairs of one place at most one can be in a run: the second places descend.
+        run = ascending(sorted(anchors, key=lambda pair: (pair[0], -pair[1])))
+        if not run:
+            continue
+        px, py = x0 - 1, y0 - 1
+        for (x, y), (nx, ny) in zip(run, [*run[1:], (x1, y1)], strict=True):
+            a, b = x, y
+            while a - 1 > px and b - 1 > py and same(a - 1, b - 1):
+                a, b = a - 1, b - 1
+            gaps.append((px + 1, a, py + 1, b))
+            px, py = x, y
+            while px + 1 < nx and py + 1 < ny and same(px + 1, py + 1):
+                px, py = px + 1, py + 1
+            chain.extend((a + i, b + i) for i in range(px - a + 1))
+        gaps.append((px + 1, x1, py + 1, y1))
+    chain.sort()
+    aligned = {x: here[x] & there[y] for x, y in chain}
+    # A copy beside the place of an aligned one crosses nothing: it goes to the same place of the partner.
+    at = [x for x, _ in chain]
+    for x in xs:
+        i = bisect.bisect_left(at, x)
+        if chain and (i == len(at) or at[i] != x):
+            keys = here[x] & set().union(*(there[chain[j][1]] for j in (i - 1, i) if 0 <= j < len(at)))
+            if keys:
+                aligned[x] = keys
+    return aligned
+
+
+def align(matches: list[dict]) -> tuple[list[int], list[int]]:
+    """Places that go from one document, and its partners, given its matches with earlier documents."""
+    partners: dict[int, tuple[dict[int, list[int]], dict[int, list[int]]]] = {}
+    lengths: dict[int, int] = {}
     for m in matches:
-        alone = len(m["places"]) == 1 and m["owner_n"] == 1
-        partners.setdefault(m["owner"], []).extend((p, m["owner_place"], alone) for p in m["places"])
-        words.update(dict.fromkeys(m["places"], m["words"]))
-    aligned = set().union(*map(patience, partners.values()))
-    removed, blocks, run = [], 0, []
-    for p in [*sorted(aligned), None]:
-        if run and p != run[-1] + 1:
-            if sum(words[x] for x in run) >= LEAST_WORDS:
-                removed += run
-                blocks += 1
-            run = []
-        run.append(p)
-    return removed, blocks, len(partners)
+        mine, theirs = partners.setdefault(m["owner"], ({}, {}))
+        mine[m["key"]], theirs[m["key"]] = m["places"], m["owner_places"]
+        lengths[m["key"]] = m["length"]
+    ends: dict[int, int] = {}
+    for mine, theirs in partners.values():
+        for x, keys in patience(mine, theirs).items():
+            ends[x] = max(ends.get(x, 0), *(x + lengths[k] for k in keys))
+    removed: list[int] = []
+    for x in sorted(ends):
+        removed.extend(range(max(x, removed[-1] + 1 if removed else 0), ends[x]))
+    return removed, list(partners)
 
 
 def align_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches):
         found = [align(matches) for matches in batch.column("matches").to_pylist()]
-        removed, blocks, partners = zip(*found, strict=True) if found else ((), (), ())
+        removed, partners = zip(*found, strict=True) if found else ((), ())
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"), pa.array(removed, pa.list_(pa.int32())), pa.array(blocks, pa.int64()),
-                pa.array(partners, pa.int64()),
+                batch.column("doc_id"), pa.array(removed, pa.list_(pa.int32())), pa.array(partners, pa.list_(pa.int64())),
             ],
-            ["doc_id", "removed", "blocks", "partners"],
+            ["doc_id", "removed", "partners"],
         )
 
 
+def held_windows(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``doc_id, key, length, places`` for each document and window; places are sorted."""
+    lines = F.transform(F.split(F.col(text_column).cast("string"), "\n"), lambda line: F.trim(line))
+    rows = df.where(F.col(id_column).isNotNull() & F.col(text_column).isNotNull()).select(
+        F.col(id_column).cast("long").alias("doc_id"), lines.alias("lines")
+    ).select(
+        "doc_id", F.transform("lines", lambda line: F.xxhash64(line)).alias("hashes"),
+        F.transform("lines", lambda line: F.size(F.filter(F.split(line, r"\s+"), lambda w: w != ""))).alias("words"),
+    )
+    # Rows that repeat an id are one document.
+    return rows.mapInArrow(hold_windows, HELD).groupBy("doc_id", "key").agg(
+        F.first("length").alias("length"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
+    )
+
+
 def aligned_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, removed`` (places of lines that go, from 0), ``blocks, partners`` for documents that overlap."""
-    line = F.posexplode(F.split(F.col(text_column).cast("string"), "\n")).alias("place", "line")
-    lines = df.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("doc_id"), line)
-    keyed = lines.select(
-        "doc_id", "place", F.xxhash64(F.trim("line")).alias("key"),
-        F.size(F.filter(F.split(F.trim("line"), r"\s+"), lambda w: w != "")).alias("words"),
-    ).where(F.col("words") >= KEY_WORDS)
-    held = keyed.groupBy("doc_id", "key").agg(
-        F.array_sort(F.collect_set("place")).alias("places"), F.max("words").alias("words")
-    )
+    held = materialise(held_windows(df, id_column, text_column), "windows")
     owners = held.groupBy("key").agg(
-        F.min(F.struct(F.col("doc_id").alias("owner"), F.col("places")[0].alias("owner_place"), F.size("places").alias("owner_n"))).alias("o"),
+        F.min(F.struct(F.col("doc_id").alias("owner"), F.slice("places", 1, 1).alias("owner_places"))).alias("o"),
         F.count(F.lit(1)).alias("documents"),
     ).where("documents > 1").select("key", "o.*")
-    match = F.struct("owner", "places", "owner_place", "owner_n", "words")
-    # A document's own lines bound what is gathered for it.
+    match = F.struct("owner", "key", "length", "places", "owner_places")
     gathered = held.join(owners, "key").where("doc_id > owner").groupBy("doc_id").agg(F.collect_list(match).alias("matches"))
-    return gathered.mapInArrow(align_documents, REMOVED)
+    found = gathered.mapInArrow(align_documents, ALIGNED)
+    return found.groupBy("doc_id").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("partners")))).cast("long").alias("partners"),
+    ).select(
+        "doc_id", "removed",
+        F.size(F.filter("removed", lambda p, i: (i == 0) | (F.get("removed", i - 1) != p - 1))).cast("long").alias("blocks"),
+        "partners",
+    )
 
 
 def without_aligned_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -179,6 +179,36 @@ def test_line_alignment(spark):
     assert line_alignment.without_aligned_lines(docs(spark, [])).count() == 0
 
 
+def left_of(spark, texts):
+    return {r["doc_id"]: r["text"] for r in line_alignment.without_aligned_lines(docs(spark, texts)).collect()}
+
+
+def test_passages_of_short_and_blank_lines_go(spark):
+    spaced = "\n\n".join(" ".join(f"l{i}w{k}" for k in range(6)) for i in range(15))
+    listed = "\n".join(f"item{i}" for i in range(12))
+    got = left_of(spark, [f"first\n{spaced}", f"{spaced}\nsecond", f"{listed}\nthird", f"fourth\n{listed}", "item1\nitem2\nitem3"])
+    assert got[1] == "second" and got[3] == "fourth" and got[4] == "item1\nitem2\nitem3"
+
+
+def test_line_alignment_equals_brute_force(spark):
+    draw = random.Random(3)
+    lines = ["" if i % 5 == 4 else " ".join(f"l{i}w{k}" for k in range(draw.randint(1, 10))) for i in range(60)]
+    places = [sorted(draw.sample(range(60), 45)) for _ in range(12)]  # in one order: nothing crosses
+    texts = [[lines[p] if draw.random() < 0.9 else f"own {d} {p}" for p in held] for d, held in enumerate(places)]
+    got = left_of(spark, ["\n".join(t) for t in texts])
+    for d, mine in enumerate(texts):
+        gone = set()
+        for theirs in texts[:d]:
+            for x in range(len(mine)):
+                for y in range(len(theirs)):
+                    n = 0
+                    while x + n < len(mine) and y + n < len(theirs) and mine[x + n] == theirs[y + n]:
+                        n += 1
+                    if sum(len(line.split()) for line in mine[x : x + n]) >= 8:
+                        gone |= set(range(x, x + n))
+        assert got[d] == "\n".join(line for i, line in enumerate(mine) if i not in gone), d
+
+
 def test_preference_pairs(spark):
     turns = spark.createDataFrame(
         [(1, 0, "user", "hi", "x"), (1, 1, "assistant", "a b c d", "x"), (2, 0, "user", None, "x"), (None, 0, "user", "q", "x"),
