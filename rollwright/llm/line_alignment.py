@@ -221,7 +221,7 @@ def aligned_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "
     """``doc_id, removed`` (places of lines that go, from 0), ``blocks, partners`` for documents that overlap."""
     held = materialise(held_windows(df, id_column, text_column), "windows")
     owners = held.groupBy("key").agg(
-        F.min(F.struct(F.col("doc_id").alias("owner"), F.slice("places", 1, 1).alias("owner_places"))).alias("o"),
+        F.min(F.struct(F.col("doc_id").alias("owner"), F.col("places").alias("owner_places"))).alias("o"),
         F.count(F.lit(1)).alias("documents"),
     ).where("documents > 1").select("key", "o.*")
     match = F.struct("owner", "key", "length", "places", "owner_places")

@@ -209,6 +209,12 @@ def test_line_alignment_equals_brute_force(spark):
         assert got[d] == "\n".join(line for i, line in enumerate(mine) if i not in gone), d
 
 
+def test_every_place_of_a_repeated_line_aligns(spark):
+    again, one, two = (" ".join(f"{name}{k}" for k in range(9)) for name in "ruv")
+    text = "\n".join([again, one, again, two, again])
+    assert left_of(spark, [text, f"own\n{text}"])[1] == "own"
+
+
 def test_preference_pairs(spark):
     turns = spark.createDataFrame(
         [(1, 0, "user", "hi", "x"), (1, 1, "assistant", "a b c d", "x"), (2, 0, "user", None, "x"), (None, 0, "user", "q", "x"),
