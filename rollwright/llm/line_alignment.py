@@ -9,6 +9,9 @@ two, so none is too common to be looked at. Each pair is aligned by patience: wi
 sides are anchors, the longest ascending run of anchors is kept and grows to neighbours that match on both
 sides, and what lies between is aligned in the same way until nothing in it matches. The lines of aligned
 windows go from the later document.
+
+Windows left, as they cross others of their pair, are posted again to their next holders, twice as many each
+round, and paired as whole documents, until they go or no earlier holder is left.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollwright.llm.common import small_batches
@@ -28,7 +31,8 @@ LEAST_WORDS = 8
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
 HELD = "doc_id long, key long, length int, places array<int>"
-ALIGNED = "doc_id long, removed array<int>, partners array<long>"
+LEFT = "array<struct<key:bigint,place:int,length:int>>"
+ALIGNED = f"doc_id long, removed array<int>, partners array<long>, rest {LEFT}"
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,8 +175,12 @@ def patience(mine: dict[int, list[int]], theirs: dict[int, list[int]]) -> dict[i
     return aligned
 
 
-def align(matches: list[dict]) -> tuple[list[int], list[int]]:
-    """Places that go from one document, and its partners, given its matches with earlier documents."""
+def covered(removed: list[int], place: int, length: int) -> bool:
+    return bisect.bisect_left(removed, place + length) - bisect.bisect_left(removed, place) == length
+
+
+def align(matches: list[dict]) -> tuple[list[int], list[int], list[dict]]:
+    """Places that go from one document, its partners, and windows left, given its matches with earlier documents."""
     partners: dict[int, tuple[dict[int, list[int]], dict[int, list[int]]]] = {}
     lengths: dict[int, int] = {}
     for m in matches:
@@ -186,21 +194,37 @@ def align(matches: list[dict]) -> tuple[list[int], list[int]]:
     removed: list[int] = []
     for x in sorted(ends):
         removed.extend(range(max(x, removed[-1] + 1 if removed else 0), ends[x]))
-    return removed, list(partners)
+    rest = [
+        {"key": m["key"], "place": p, "length": m["length"]}
+        for m in matches for p in m["places"] if not covered(removed, p, m["length"])
+    ]
+    return removed, list(partners), rest
 
 
 def align_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("place", pa.int32()), ("length", pa.int32())]))
     for batch in small_batches(batches):
         found = [align(matches) for matches in batch.column("matches").to_pylist()]
-        removed, partners = zip(*found, strict=True) if found else ((), ())
+        removed, partners, rest = zip(*found, strict=True) if found else ((), (), ())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"), pa.array(removed, pa.list_(pa.int32())), pa.array(partners, pa.list_(pa.int64())),
+                pa.array(rest, kind),
             ],
-            ["doc_id", "removed", "partners"],
+            ["doc_id", "removed", "partners", "rest"],
         )
 
 
+def drop_covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, rest`` without the windows whose lines are all in ``removed``."""
+    for batch in small_batches(batches):
+        rest = [
+            [w for w in windows or () if not covered(gone or [], w["place"], w["length"])]
+            for windows, gone in zip(batch.column("rest").to_pylist(), batch.column("removed").to_pylist(), strict=True)
+        ]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rest, batch.column("rest").type)], ["doc_id", "rest"])
+
+
 def held_windows(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``doc_id, key, length, places`` for each document and window; places are sorted."""
     lines = F.transform(F.split(F.col(text_column).cast("string"), "\n"), lambda line: F.trim(line))
@@ -217,6 +241,26 @@ def held_windows(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
+def align_pairs(held: DataFrame, rest: DataFrame, low: int, high: int) -> DataFrame | None:
+    """Alignments of documents with ``rest`` and the holders of these windows from rank ``low`` on, below ``high``.
+
+    A pair is aligned with all windows that both hold. None when no window has such a holder before its document.
+    """
+    wanted = rest.select("doc_id", F.explode("rest.key").alias("key")).distinct()
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("doc_id"))
+    holders = held.join(wanted.select("key").distinct(), "key", "left_semi").select(
+        "key", F.col("doc_id").alias("owner"), rank.alias("rank")
+    ).where((F.col("rank") > low) & (F.col("rank") <= high))
+    pairs = wanted.join(holders, "key").where("owner < doc_id").select("doc_id", "owner").distinct()
+    pairs = materialise(pairs, "pairs")
+    if pairs.isEmpty():
+        return None
+    theirs = held.select(F.col("doc_id").alias("owner"), "key", F.col("places").alias("owner_places"))
+    match = F.struct("owner", "key", "length", "places", "owner_places")
+    matches = pairs.join(held, "doc_id").join(theirs, ["owner", "key"]).groupBy("doc_id", "owner").agg(F.collect_list(match).alias("matches"))
+    return matches.select("doc_id", "matches").mapInArrow(align_documents, ALIGNED)
+
+
 def aligned_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, removed`` (places of lines that go, from 0), ``blocks, partners`` for documents that overlap."""
     held = materialise(held_windows(df, id_column, text_column), "windows")
@@ -226,7 +270,25 @@ def aligned_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "
     ).where("documents > 1").select("key", "o.*")
     match = F.struct("owner", "key", "length", "places", "owner_places")
     gathered = held.join(owners, "key").where("doc_id > owner").groupBy("doc_id").agg(F.collect_list(match).alias("matches"))
-    found = gathered.mapInArrow(align_documents, ALIGNED)
+    found = materialise(gathered.mapInArrow(align_documents, ALIGNED), "aligned")
+    rounds, low = [found], 1
+    rest = found.where("size(rest) > 0").select("doc_id", "rest")
+    # Holders are ranked by id: where a window has none of these ranks before its document, it has none of later ones.
+    while not rest.isEmpty() and (more := align_pairs(held, rest, low, 2 * low)) is not None:
+        rounds.append(materialise(more, "aligned"))
+        low *= 2
+        gone = rounds[0]
+        for other in rounds[1:]:
+            gone = gone.unionByName(other)
+        gone = gone.join(rest.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed")
+        )
+        rest = materialise(
+            rest.join(gone, "doc_id").mapInArrow(drop_covered, f"doc_id long, rest {LEFT}").where("size(rest) > 0"), "rest"
+        )
+    found = rounds[0]
+    for other in rounds[1:]:
+        found = found.unionByName(other)
     return found.groupBy("doc_id").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed"),
         F.size(F.array_distinct(F.flatten(F.collect_list("partners")))).cast("long").alias("partners"),

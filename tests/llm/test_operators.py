@@ -215,6 +215,16 @@ def test_every_place_of_a_repeated_line_aligns(spark):
     assert left_of(spark, [text, f"own\n{text}"])[1] == "own"
 
 
+def test_passages_that_cross_in_one_partner_go_by_another(spark):
+    first = "\n".join(" ".join(f"p{i}w{k}" for k in range(6)) for i in range(12))
+    second = "\n".join(" ".join(f"q{i}w{k}" for k in range(6)) for i in range(10))
+    turned = f"{second}\n{first}"
+    assert left_of(spark, [f"{first}\n{second}", second, f"{turned}\nown"])[2] == "own"
+    # The partner that helps comes after many that cross in the same way.
+    got = left_of(spark, [*(f"{first}\nown {i}\n{second}" for i in range(6)), second, turned])
+    assert got[7] == ""
+
+
 def test_preference_pairs(spark):
     turns = spark.createDataFrame(
         [(1, 0, "user", "hi", "x"), (1, 1, "assistant", "a b c d", "x"), (2, 0, "user", None, "x"), (None, 0, "user", "q", "x"),
