@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollwright.llm.common import small_batches
@@ -39,36 +39,53 @@ def pair_codes(text: str) -> np.ndarray:
 
 
 def letter_tables(rows: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages, and log probabilities of letter pairs in each, from ``text, lang``."""
+    """All languages, and log probabilities of letter pairs in each (1 MB for one), from ``text, lang``."""
+
+    def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            orders, names = batch.column("order").to_numpy(), batch.column("lang").dictionary_encode()
+            at = names.indices.to_numpy()
+            for i, lang in enumerate(names.dictionary.to_pylist()):
+                both = np.concatenate([held.get(lang, np.zeros(0, np.int64)), orders[at == i]])
+                held[lang] = np.unique(both)[:TRAINING_ROWS]
+        for lang, own in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(own, pa.int64())], ["lang", "order"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, np.ndarray] = {}
         for batch in small_batches(batches):
+            codes: dict[str, list[np.ndarray]] = {}
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-                held = counts.setdefault(lang, np.zeros(CODES * CODES, np.int64))
-                held += np.bincount(pair_codes(text or ""), minlength=CODES * CODES)
-        for lang, held in counts.items():
-            at = np.flatnonzero(held)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(held[at], pa.int64())],
-                ["lang", "pair", "n"],
-            )
+                codes.setdefault(lang, []).append(pair_codes(text or ""))
+            for lang, own in codes.items():
+                pairs, n = np.unique(np.concatenate(own), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(pairs), pa.string()), pa.array(pairs, pa.int64()), pa.array(n, pa.int64())],
+                    ["lang", "pair", "n"],
+                )
 
     ranked = rows.where("lang IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("order"))
-    langs = sorted(r["lang"] for r in ranked.select("lang").distinct().limit(200).collect())
-    parts = []
-    for lang in langs:
-        # Hashes alone are ranked, so no whole texts meet in one task; copies of a text count once.
-        mine = ranked.where(F.col("lang") == lang)
-        lowest = mine.select("order").distinct().orderBy("order").limit(TRAINING_ROWS)
-        parts.append(mine.join(F.broadcast(lowest), "order", "left_semi").dropDuplicates(["order"]))
-    tables = np.zeros((len(langs), CODES * CODES))
-    for i, part in enumerate(parts):
-        counted = part.select("text", "lang").mapInArrow(count, "lang string, pair long, n long")
-        for row in counted.groupBy("pair").agg(F.sum("n").alias("n")).collect():
-            tables[i, row["pair"]] = row["n"]
-    tables = tables + 0.1
-    return langs, np.log(tables / tables.sum(axis=1, keepdims=True)).astype(np.float32)
+    # Hashes alone are ranked, so no whole texts meet in one task; copies of a text count once. Each task hands
+    # on its lowest hashes of each language, and the last one in use comes back: a row for each language.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    few = ranked.select("lang", "order").mapInArrow(lowest, "lang string, order long").distinct()
+    last = few.withColumn("rank", rank).where(F.col("rank") <= TRAINING_ROWS).groupBy("lang").agg(F.max("order").alias("last"))
+    limits = last.collect()
+    langs = sorted(r["lang"] for r in limits)
+    size = CODES * CODES
+    tables = np.full((len(langs), size), -np.log(size), np.float32)
+    if not langs:
+        return langs, tables
+    small = rows.sparkSession.createDataFrame(limits, "lang string, last long")
+    sample = ranked.join(F.broadcast(small), "lang").where(F.col("order") <= F.col("last")).dropDuplicates(["lang", "order"])
+    counted = sample.select("text", "lang").mapInArrow(count, "lang string, pair long, n long")
+    counted = counted.groupBy("lang", "pair").agg(F.sum("n").alias("n"))
+    at = {lang: i for i, lang in enumerate(langs)}
+    for row in counted.groupBy("lang").agg(F.collect_list("pair").alias("pairs"), F.collect_list("n").alias("counts")).toLocalIterator():
+        own = np.full(size, 0.1)
+        own[row["pairs"]] += row["counts"]
+        tables[at[row["lang"]]] = np.log(own / own.sum())
+    return langs, tables
 
 
 def text_evidence(df: DataFrame, langs: list[str], tables: np.ndarray, markup: bool) -> DataFrame:

@@ -272,3 +272,11 @@ def test_language_fusion(spark):
     assert language_id.page_languages(pages.limit(0), training).count() == 0
     mixed = docs(spark, [english * 5] * 30 + [None, ""]).unionByName(docs(spark, [german * 5] * 30, lang="de"))
     assert language_id.documents_in_language(mixed).count() == 62
+
+
+def test_every_language_is_known(spark):
+    signs = [chr(0x4E00 + 2 * i) + chr(0x4E01 + 2 * i) for i in range(205)]
+    training = spark.createDataFrame([(s * 5, f"x{i}") for i, s in enumerate(signs)], "text string, lang string")
+    langs, tables = language_id.letter_tables(training)
+    assert langs == sorted(f"x{i}" for i in range(205)) and tables.shape[0] == 205
+    assert np.allclose(np.exp(tables.astype(float)).sum(axis=1), 1, atol=1e-4)
