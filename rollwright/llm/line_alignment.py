@@ -314,6 +314,7 @@ def without_aligned_lines(df: DataFrame, id_column: str = "doc_id", text_column:
         F.filter(F.split(F.col(text_column), "\n"), lambda _, i: ~F.array_contains("_removed", i)), "\n"
     )
     own = df.drop("_id", "_removed", "_blocks", "_partners")
-    return own.join(found, own[id_column].cast("long") == found["_id"], "left").withColumn(
+    # The same join at any size: what is found grows with the documents.
+    return own.join(found.hint("merge"), own[id_column].cast("long") == found["_id"], "left").withColumn(
         text_column, F.when(F.size("_removed") > 0, kept).otherwise(F.col(text_column))
     ).drop("_id")
