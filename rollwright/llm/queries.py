@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rollwright.llm import (
     bpe_prefix,
     content_sort,
+    fill_middle,
     id_shards,
     language_id,
     line_alignment,
@@ -17,6 +18,7 @@ from rollwright.llm import (
     preference,
     quality_rules,
     signature_join,
+    source_divergence,
     toxicity,
 )
 from rollwright.llm.common import BYTE_VOCABULARY, WORD_VOCABULARY, tokenizer_path
@@ -190,3 +192,84 @@ def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pair_id", "n_prompt_turns", F.sha2(F.col("prompt").cast("binary"), 256).alias("prompt_sha256"), "chosen", "rejected",
         F.to_json("chosen_spans").alias("chosen_spans"), F.to_json("rejected_spans").alias("rejected_spans"),
     )
+
+
+@query
+def op11_rank_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text cut at two drawn line boundaries, by the learned index, and put together again from its output."""
+    sha = {name: F.sha2(F.col(name).cast("binary"), 256).alias(f"{name}_sha256") for name in ("output", "restored")}
+    return fill_middle.fill_middle(table(spark, sf_dir, "documents"), seed=7, rate=100, spm_rate=50).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", *sha.values()
+    )
+
+
+ORACLES["op11_rank_index"] = """
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
+            regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u
+        FROM documents
+    ), k AS (
+        SELECT doc_id, t, u, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+            ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+        FROM d
+    ), f AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+            CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+        FROM k
+    ), p AS (
+        SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix
+        FROM f
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+        sha256(t) AS restored_sha256
+    FROM p
+"""
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of a language lie apart, and the ten terms that mark each of them."""
+    return source_divergence.source_divergence(table(spark, sf_dir, "documents"), least_docs=10, top=10)
+
+
+ORACLES["op12_source_divergence"] = """
+    WITH d AS (
+        SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+        FROM documents
+    ), t AS (
+        SELECT i, lang, source, unnest(terms) AS term FROM d
+    ), kept AS (
+        SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT i) >= 10
+    ), v AS (
+        SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY ALL
+    ), g AS (
+        SELECT DISTINCT lang, source FROM d
+    ), c AS (
+        SELECT t.lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL
+    ), gn AS (
+        SELECT lang, source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL
+    ), p AS (
+        SELECT lang, source, term, coalesce(c.n, 0) AS n, (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (gn.total + 2 * v.v)::HUGEINT)::BIGINT AS p,
+            (1 + 1000000000::HUGEINT * (kept.n + 2) // (v.total + 2 * v.v)::HUGEINT)::BIGINT AS q
+        FROM gn JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)
+    ), pairs AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ), every AS (
+        SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+    ), parts AS (
+        SELECT lang, source, 'pair' AS part, item, value FROM every
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q
+    )
+    SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM parts
+    QUALIFY part = 'pair' OR rank <= 10
+"""
