@@ -19,6 +19,7 @@ from rollwright.llm import (
     quality_rules,
     signature_join,
     source_divergence,
+    suffix_family,
     toxicity,
 )
 from rollwright.llm.common import BYTE_VOCABULARY, WORD_VOCABULARY, tokenizer_path
@@ -273,3 +274,11 @@ ORACLES["op12_source_divergence"] = """
     SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM parts
     QUALIFY part = 'pair' OR rank <= 10
 """
+
+
+@query
+def op13_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the bytes of 50-byte strings that an earlier document has."""
+    return suffix_family.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
