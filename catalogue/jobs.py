@@ -486,7 +486,7 @@ def page_layout() -> PageLayout:
     )
 
 
-def page_words(spark, sf_dir):
+def page_words(spark, sf_dir, subject: str = "Language", system_code: bool = False):
     """One page for each customer: its printed lines, cut into word boxes."""
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     joined = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -496,14 +496,14 @@ def page_words(spark, sf_dir):
     name = F.when(even, F.concat(F.lit("Ann Bea "), tail)).otherwise(tail)
     lines = [
         (0, F.lit("Individual Report")),
-        (1, F.lit("Language")),
+        (1, F.lit(subject)),
         (2, F.concat(F.lit("Spring "), F.col("n_regionkey").cast("string"))),
         (10, F.concat(F.lit("Student: "), name, F.lit(" Grade: 12"))),
         (11, F.lit("Report Date: 01/02/1998")),
         (12, F.concat(F.lit("LASID: "), key)),
         (13, F.concat(F.lit("School: "), zfill("n_nationkey", 3), F.lit(" High "), F.col("n_name"))),
         (14, F.when(even, F.lit("Date of Birth: 03/04/1990")).otherwise(F.lit("Date of Birth: --/--/----"))),
-        (15, F.concat(F.lit("School System: "), F.col("c_mktsegment"))),
+        (15, F.concat(F.lit("School System: "), *([zfill("n_regionkey", 3), F.lit(" ")] if system_code else []), F.col("c_mktsegment"))),
         (20, F.concat(F.lit("10% ≥"), F.col("n_nationkey").cast("string"), F.lit("% NR"))),
         (21, F.when(even, F.lit("7% 8%")).otherwise(F.lit("7% N/A 9%"))),
         (30, F.lit("SCORE")),

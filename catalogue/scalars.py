@@ -203,6 +203,42 @@ def exact_sums(spark, sf_dir):
     return _scored_events(spark, sf_dir).groupBy("event_type").agg(exact_sum("score").alias("total"))
 
 
+# Whole numbers above 2^53, decimals of up to 27 digits and doubles of up to 10^20, all with changing signs.
+_WIDE = """(
+    SELECT l_returnflag AS flag, CASE WHEN l_linenumber % 2 = 0 THEN -1 ELSE 1 END AS sign,
+           9007199254740992 + l_orderkey * 7 + l_linenumber AS whole, l_partkey % 1000000 AS part,
+           CASE WHEN l_linenumber % 2 = 0 THEN -1 ELSE 1 END * l_extendedprice * 1e14 AS price
+    FROM lineitem)"""
+
+
+@query(
+    "exact_sum_wide",
+    f"""
+    WITH s AS (
+        SELECT flag, sum((sign * whole)::HUGEINT) AS whole, sum(((sign * whole)::HUGEINT * 10000000000 + sign * part)::HUGEINT) AS units,
+               sum(CAST(CAST(price AS VARCHAR) AS DECIMAL(38, 6))) AS price
+        FROM {_WIDE} GROUP BY flag
+    )
+    SELECT flag, CAST(whole AS VARCHAR) AS whole_total,
+           CASE WHEN units < 0 THEN '-' ELSE '' END || (abs(units) // 10000000000) || '.' || lpad(CAST(abs(units) % 10000000000 AS VARCHAR), 10, '0') AS decimal_total,
+           CAST(CAST(price AS VARCHAR) AS DOUBLE) AS double_total
+    FROM s""",
+)
+def exact_sums_of_each_type(spark, sf_dir):
+    sign = F.when(F.col("l_linenumber") % 2 == 0, F.lit(-1)).otherwise(F.lit(1))
+    whole = F.lit(9007199254740992) + F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    part = F.lpad((F.col("l_partkey") % 1000000).cast("string"), 10, "0")
+    text = F.concat(F.when(sign < 0, F.lit("-")).otherwise(F.lit("")), whole.cast("string"), F.lit("."), part)
+    wide = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("flag"), (sign * whole).alias("whole"), text.cast("decimal(38,10)").alias("part"),
+        (sign * F.col("l_extendedprice") * F.lit(1e14)).alias("price"),
+    )
+    return wide.groupBy("flag").agg(
+        exact_sum("whole", "string").alias("whole_total"), exact_sum("part", "decimal(38,10)").cast("string").alias("decimal_total"),
+        exact_sum("price").alias("double_total"),
+    )
+
+
 @query(
     "exact_sum_of_columns",
     """

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+import re
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
@@ -177,19 +178,112 @@ def round_half_up(c: ColumnLike, n: int = 1) -> Column:
     return F.round(as_column(c), n)
 
 
-def exact_decimal(c: ColumnLike) -> Column:
-    """Every digit of a number, null for NaN; an error where 18 decimals or 20 digits before them are too few."""
-    value = as_column(c).cast("double")
-    number = F.when(~F.isnan(value), value)
-    digits = number.cast("string").try_cast("decimal(38,18)")
-    lost = number.isNotNull() & ~digits.cast("double").eqNullSafe(number)
-    return F.when(lost, F.raise_error(F.concat(F.lit("too many digits to add exactly: "), number.cast("string"))).cast("decimal(38,18)")).otherwise(digits)
+# Digits that an exact sum keeps on each side of the decimal point, and in each of its four accumulators.
+EXACT_DIGITS = 38
+_LIMB = 19
+_LIMB_TYPE = "decimal(38,0)"
 
 
-def exact_sum_of(columns: Sequence[ColumnLike]) -> Column:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def exact_limbs(c: ColumnLike) -> list[Column]:
+    """A number cut into four whole ones of up to 19 digits, from the highest down; null for null and NaN.
+
+    The number is read off its decimal text, with or without exponent, so that integers, decimals and doubles
+    go the same way and none passes through another type. Sums of 10^19 such limbs fit their type.
+    """
+    text = as_column(c).cast("string")
+    text = F.when(text != "NaN", text)
+
+    def point_and_digits(t: Column) -> Column:
+        bare = F.ltrim(t, F.lit("-"))
+        number = F.substring_index(bare, "E", 1)
+        power = F.when(F.contains(bare, F.lit("E")), F.substring_index(bare, "E", -1).cast("int")).otherwise(F.lit(0))
+        whole = F.substring_index(number, ".", 1)
+        after = F.when(F.contains(number, F.lit(".")), F.substring_index(number, ".", -1)).otherwise(F.lit(""))
+        return F.struct(
+            t.alias("text"), F.startswith(t, F.lit("-")).alias("minus"), F.concat(whole, after).alias("digits"),
+            (F.length(whole) + power).alias("point"), bare.rlike("^[0-9.E-]+$").alias("number"),
+        )
+
+    def parts(v: Column) -> Column:
+        digits, point = v["digits"], v["point"]
+        filled = F.rpad(digits, F.greatest(point, F.length(digits)), F.lit("0"))
+        before = F.when(point <= 0, F.lit("")).otherwise(F.substring(filled, F.lit(1), point))
+        after = F.when(point < 0, F.concat(F.repeat(F.lit("0"), -point), digits)).otherwise(
+            F.substring(digits, point + 1, F.length(digits))
+        )
+        return F.struct(
+            v["text"].alias("text"), v["minus"].alias("minus"), v["number"].alias("number"),
+            F.ltrim(before, F.lit("0")).alias("before"), F.rtrim(after, F.lit("0")).alias("after"),
+        )
+
+    def cut(v: Column) -> Column:
+        fits = v["number"] & (F.length(v["before"]) <= EXACT_DIGITS) & (F.length(v["after"]) <= EXACT_DIGITS)
+        every = F.concat(F.lpad(v["before"], EXACT_DIGITS, "0"), F.rpad(v["after"], EXACT_DIGITS, "0"))
+        sign = F.when(v["minus"], F.lit("-")).otherwise(F.lit(""))
+        limbs = F.array(*[F.concat(sign, F.substring(every, 1 + _LIMB * i, _LIMB)).cast(_LIMB_TYPE) for i in range(4)])
+        complaint = F.raise_error(F.concat(F.lit("too many digits to add exactly: "), v["text"]))
+        return F.when(fits, limbs).otherwise(complaint.cast(f"array<{_LIMB_TYPE}>"))
+
+    limbs = F.when(text.isNotNull(), _let(_let(_let(text, point_and_digits), parts), cut))
+    return [F.get(limbs, F.lit(i)) for i in range(4)]
+
+
+def exact_result(limbs: Sequence[Column], result: str = "double") -> Column:
+    """The number that sums of limbs stand for: carried once from the lowest up, then cast to ``result``."""
+    base = F.lit("1" + "0" * _LIMB).cast(_LIMB_TYPE)
+
+    def carry(state: Column, limb: Column) -> Column:
+        held = (limb + state["carry"]).cast(_LIMB_TYPE)
+        rest = F.pmod(held, base).cast(_LIMB_TYPE)
+        return F.struct(
+            F.call_function("div", held - rest, base).cast(_LIMB_TYPE).alias("carry"),
+            F.concat(F.lpad(rest.cast("string"), _LIMB, "0"), state["digits"]).alias("digits"),
+        )
+
+    def carried(v: Column, sign: int) -> Column:
+        start = F.struct(F.lit(0).cast(_LIMB_TYPE).alias("carry"), F.lit("").alias("digits"))
+        lower = F.aggregate(v["lower"], start, lambda state, limb: carry(state, (limb * sign).cast(_LIMB_TYPE)))
+        top = _let(lower, lambda x: F.struct((v["top"] * sign + x["carry"]).cast(_LIMB_TYPE).alias("top"), x["digits"].alias("digits")))
+        return top
+
+    def text(v: Column) -> Column:
+        # The lower limbs are whole and positive after the carry, so the sign is that of the highest.
+        signed = _let(carried(v, 1), lambda x: F.when(x["top"] < 0, F.lit(True)).otherwise(F.lit(False)))
+        chosen = F.when(signed, carried(v, -1)).otherwise(carried(v, 1))
+
+        def shown(x: Column) -> Column:
+            whole = F.ltrim(F.concat(x["top"].cast("string"), F.substring(x["digits"], 1, _LIMB)), F.lit("0"))
+            after = F.rtrim(F.substring(x["digits"], _LIMB + 1, 2 * _LIMB), F.lit("0"))
+            number = F.concat(F.when(whole == "", F.lit("0")).otherwise(whole), F.when(after == "", F.lit("")).otherwise(F.concat(F.lit("."), after)))
+            return F.struct(number.alias("number"), F.length(after).alias("scale"))
+
+        return _let(_let(chosen, shown), lambda x: F.struct(
+            F.concat(F.when(signed, F.lit("-")).otherwise(F.lit("")), x["number"]).alias("number"), x["scale"].alias("scale")
+        ))
+
+    sums = F.struct(limbs[0].alias("top"), F.array(*reversed(limbs[1:])).alias("lower"))
+    number = _let(sums, text)
+    if not result.startswith("decimal"):
+        return number["number"].cast(result)
+    scale = int(re.search(r",\s*(\d+)\)", result)[1]) if "," in result else 0
+
+    def fitted(x: Column) -> Column:
+        held = x["number"].try_cast(result)
+        complaint = F.raise_error(F.concat(F.lit(f"{result} cannot hold the sum "), x["number"])).cast(result)
+        return F.when(held.isNull() | (x["scale"] > scale), complaint).otherwise(held)
+
+    return _let(number, fitted)
+
+
+def exact_sum_of(columns: Sequence[ColumnLike], result: str = "double") -> Column:
     """Decimal-exact sum across columns of one row; nulls and NaN count as absent."""
-    terms = [F.coalesce(exact_decimal(c), F.lit(0).cast("decimal(38,18)")) for c in columns]
-    return reduce(lambda a, b: a + b, terms).cast("double")
+    terms = [[F.coalesce(limb, F.lit(0).cast(_LIMB_TYPE)) for limb in exact_limbs(c)] for c in columns]
+    return exact_result([reduce(lambda a, b: a + b, limbs).cast(_LIMB_TYPE) for limbs in zip(*terms, strict=True)], result)
 
 
 # -- dates --------------------------------------------------------------------------------------

@@ -32,20 +32,53 @@ def record_number(
     last range key: it stays the same if the task is repeated, and cuts a large group of copies into
     pieces.
     """
+    placed = _place(df, order_by, within)
+    return _number(placed, _sizes(placed, within), df.columns, name, within)
+
+
+def number_groups(
+    df: DataFrame, order_by: Sequence[str], name: str, within: Sequence[str], heights: str = "height"
+) -> tuple[DataFrame, DataFrame]:
+    """The numbered rows, and the number of rows of each group: the sum of the sizes that numbering needs
+    anyway. The sizes are written once, so that neither result counts the rows again."""
+    placed = _place(df, order_by, within)
+    sizes = materialise(_sizes(placed, within), "partition-sizes")
+    return _number(placed, sizes, df.columns, name, within), sizes.groupBy("__group").agg(F.sum("__size").alias(heights)).select("__group.*", heights)
+
+
+def rank_groups(df: DataFrame, name: str, within: Sequence[str], heights: str = "height") -> tuple[DataFrame, DataFrame]:
+    """Any numbering 0..N-1 of the rows of each group, and the number of rows of each: nothing is sorted by range."""
+    dealt = df.repartition(*[F.col(c) for c in df.columns]).sortWithinPartitions(*within)
+    placed = _positions(dealt, within)
+    sizes = materialise(_sizes(placed, within), "partition-sizes")
+    ranked = _number(placed, sizes, df.columns, name, within).withColumn(name, F.col(name) - 1)
+    return ranked, sizes.groupBy("__group").agg(F.sum("__size").alias(heights)).select("__group.*", heights)
+
+
+def _place(df: DataFrame, order_by: Sequence[str], within: Sequence[str]) -> DataFrame:
     order = [F.asc_nulls_first(c) for c in [*within, *order_by]]
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     order += [F.asc("__hash"), F.asc("__task")]
     tied = df.withColumns({"__hash": row_hash, "__task": F.spark_partition_id()})
     ranged = tied.repartitionByRange(*order).sortWithinPartitions(*order).drop("__hash", "__task")
+    return _positions(ranged, within)
+
+
+def _positions(ordered: DataFrame, within: Sequence[str]) -> DataFrame:
     placed = materialise(
-        ranged.withColumn("__part", F.spark_partition_id()).withColumn(
+        ordered.withColumn("__part", F.spark_partition_id()).withColumn(
             "__pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS))
         ),
         "numbered",
     )
-    group = F.struct(*within) if within else F.lit(0)
-    placed = placed.withColumn("__group", group)
-    sizes = placed.groupBy("__part", "__group").agg(F.count("*").alias("__size"), F.min("__pos").alias("__first"))
+    return placed.withColumn("__group", F.struct(*within) if within else F.lit(0))
+
+
+def _sizes(placed: DataFrame, within: Sequence[str]) -> DataFrame:
+    return placed.groupBy("__part", "__group").agg(F.count("*").alias("__size"), F.min("__pos").alias("__first"))
+
+
+def _number(placed: DataFrame, sizes: DataFrame, columns: Sequence[str], name: str, within: Sequence[str]) -> DataFrame:
     before = Window.partitionBy("__group").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.coalesce(F.sum("__size").over(before), F.lit(0))
     offsets = sizes.select("__part", "__group", (earlier - F.col("__first") + 1).alias("__offset"))
@@ -53,4 +86,4 @@ def record_number(
         offsets = F.broadcast(offsets)
     same = (placed["__part"] == offsets["__part"]) & placed["__group"].eqNullSafe(offsets["__group"])
     joined = placed.join(offsets, same)
-    return joined.select(*df.columns, (F.col("__offset") + F.col("__pos")).alias(name))
+    return joined.select(*columns, (F.col("__offset") + F.col("__pos")).alias(name))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollwright.functions.columns import cast_all_to_string
-from rollwright.operators.numbering import record_number
+from rollwright.operators.numbering import number_groups, record_number
 from rollwright.operators.rollup import table_height
 
 LINE = "line_no"
@@ -69,8 +69,13 @@ def header_union(header: DataFrame, body: DataFrame, order: str = LINE) -> DataF
     return header.unionByName(body).select(*[c for c in body.columns if c != order], order)
 
 
-def report_header(body: DataFrame, report: ReportFormat, level: str, columns: Sequence[str]) -> DataFrame:
-    """Header record: file type, body row count, file name, identifier, period, blanks to the width."""
+def report_header(
+    body: DataFrame, report: ReportFormat, level: str, columns: Sequence[str], height: DataFrame | None = None
+) -> DataFrame:
+    """Header record: file type, body row count, file name, identifier, period, blanks to the width.
+
+    ``height`` is the count as a one-row table; without it the body is counted.
+    """
     if len(columns) < 5:
         raise ValueError("a report needs at least five columns to hold its header")
     at = report.level(level)
@@ -82,9 +87,8 @@ def report_header(body: DataFrame, report: ReportFormat, level: str, columns: Se
         F.lit(report.identifier.format(**names)),
         F.lit(report.period),
     ] + [F.lit("")] * (len(columns) - 5)
-    return table_height(body, "__height").select(
-        *[v.alias(c) for v, c in zip(values, columns)], F.lit(0).cast("bigint").alias(LINE)
-    )
+    counted = table_height(body, "__height") if height is None else height.toDF("__height")
+    return counted.select(*[v.alias(c) for v, c in zip(values, columns)], F.lit(0).cast("bigint").alias(LINE))
 
 
 def report_body(
@@ -120,37 +124,64 @@ def build_report(
     level: str,
     order_by: Sequence[str] | None,
     total: str | Column | None = None,
+    height: DataFrame | None = None,
 ) -> DataFrame:
     """One report as text records; ``line_no`` is the publishing order (0 = header)."""
     body = report_body(df, report, level, order_by, total)
     chosen = body.select(*report.columns, F.col("file_record_number").alias(LINE))
     # Every published column becomes text; the order column stays a number.
     lines = cast_all_to_string(chosen).withColumn(LINE, F.col(LINE).cast("bigint"))
-    return header_union(report_header(body, report, level, report.columns), lines)
+    return header_union(report_header(body, report, level, report.columns, height), lines)
+
+
+def merged_order(orders: Sequence[Sequence[str]]) -> list[str]:
+    """One order of all names that agrees with each of the orders; an error where two of them disagree."""
+    left = [list(dict.fromkeys(order)) for order in orders]
+    merged: list[str] = []
+    while any(left):
+        heads = [order[0] for order in left if order]
+        free = next((h for h in heads if not any(h in order[1:] for order in left)), None)
+        if free is None:
+            raise ValueError(f"reports are ordered in conflicting ways: {heads}")
+        merged.append(free)
+        left = [[c for c in order if c != free] for order in left]
+    return merged
+
 
+def number_reports(
+    tables: Mapping[str, Mapping[str, DataFrame]],
+    entities: Mapping[str, str | None],
+    order_by: Mapping[str, Sequence[str]],
+) -> dict[tuple[str, str], tuple[DataFrame, DataFrame]]:
+    """(kind, level) -> its numbered table and its height as a one-row table, from one pass over all of them.
 
-def number_levels(
-    tables: Mapping[str, DataFrame], entities: Mapping[str, str | None], order_by: Sequence[str]
-) -> dict[str, DataFrame]:
-    """Number the tables of all levels in one pass: stacked, ordered by entity and key, and numbered
-    within their level."""
-    stacked = union_all(
-        *[
-            df.select(
+    All tables are stacked, ordered by entity and the key of their kind, and numbered within kind and level.
+    A column that a kind does not have is null in its rows and so without a say in their order. The heights
+    are sums of the partition sizes that numbering needs anyway; a table without rows has the height 0.
+    """
+    order = merged_order(list(order_by.values()))
+    stacked = None
+    for kind, by_level in tables.items():
+        for level, df in by_level.items():
+            entity = entities[level]
+            part = df.select(
+                F.lit(kind).alias("__kind"),
                 F.lit(level).alias("__level"),
-                (F.col(entities[level]).cast("string") if entities[level] else F.lit("")).alias("__entity"),
-                *[c for c in df.columns if c != entities[level]],
+                (F.col(entity).cast("string") if entity else F.lit("")).alias("__entity"),
+                *[c for c in df.columns if c != entity],
             )
-            for level, df in tables.items()
-        ]
+            stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
+    numbered, heights = number_groups(
+        stacked, ["__entity", *order], "file_record_number", within=["__kind", "__level"], heights="__height"
     )
-    numbered = record_number(stacked, ["__entity", *order_by], "file_record_number", within=["__level"])
-    return {
-        level: numbered.where(F.col("__level") == level)
-        .withColumnRenamed("__entity", entities[level] or "__entity")
-        .drop("__level", "__entity")
-        for level in tables
-    }
+    out = {}
+    for kind, by_level in tables.items():
+        for level, df in by_level.items():
+            here = (F.col("__kind") == kind) & (F.col("__level") == level)
+            body = numbered.where(here).withColumnRenamed("__entity", entities[level] or "__entity")
+            height = heights.where(here).agg(F.coalesce(F.sum("__height"), F.lit(0)).alias("__height"))
+            out[kind, level] = body.select(*df.columns, "file_record_number"), height
+    return out
 
 
 def report_bundle(
@@ -165,7 +196,6 @@ def report_bundle(
     if unknown:
         raise ValueError(f"no report format for {sorted(unknown)}")
     return {
-        (kind, level): build_report(df, reports[kind], level, None, total)
-        for kind, by_level in tables.items()
-        for level, df in number_levels(by_level, entities, order_by[kind]).items()
+        (kind, level): build_report(df, reports[kind], level, None, total, height)
+        for (kind, level), (df, height) in number_reports(tables, entities, order_by).items()
     }

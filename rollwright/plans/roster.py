@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any, NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollwright.functions.columns import (
     add_constant_columns,
     assemble_date_text,
+    case_map,
     compose_key,
     contains_class,
     id_normalise,
@@ -27,7 +31,7 @@ from rollwright.operators.dedupe import ascending, best_row_per_key, descending,
 from rollwright.operators.joins import coalesce_key, full_outer_flags, left_enrich, left_then_require, replace_by_lookup
 from rollwright.operators.report import union_all
 from rollwright.session import materialise
-from rollwright.sources.readers import Field, read_by_extension
+from rollwright.sources.readers import SUFFIXES, Field, read_by_extension, suffix_of
 from rollwright.sources.sinks import write_named_outputs
 
 
@@ -150,15 +154,22 @@ class VoidFile:
     status: str = "status"
 
 
-def void_ids(file: VoidFile, void_codes: Sequence[str], id_column: str = "person_id") -> DataFrame:
-    """IDs of the voided rows of one file: the mapped ID, else the row's own."""
+def void_rows(
+    file: VoidFile, void_codes: Sequence[str], id_column: str = "person_id", beside: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """The voided rows of one file with their ID: the mapped one, else the row's own. ``beside`` adds columns."""
     renamed = file.id_map.select(
         F.col(file.map_row_id).alias("__map_row"), F.col(file.mapped_id).alias("__mapped")
     )
     keyed = file.main.withColumn("__row", id_normalise(file.row_id)).where(F.col(file.status).isin(*void_codes))
     joined = keyed.join(renamed, F.col("__row") == F.col("__map_row"), "left")
     chosen = id_normalise(coalesce_key("__mapped", file.alternative_id))
-    return joined.select(chosen.alias(id_column))
+    return joined.select(chosen.alias(id_column), *[value.alias(name) for name, value in (beside or {}).items()])
+
+
+def void_ids(file: VoidFile, void_codes: Sequence[str], id_column: str = "person_id") -> DataFrame:
+    """IDs of the voided rows of one file."""
+    return void_rows(file, void_codes, id_column)
 
 
 def void_sets(files: Sequence[VoidFile], void_codes: Sequence[str], id_column: str = "person_id") -> DataFrame:
@@ -167,23 +178,110 @@ def void_sets(files: Sequence[VoidFile], void_codes: Sequence[str], id_column: s
     return full_outer_flags(sets, id_column)
 
 
-def read_void_files(
-    spark: SparkSession,
-    main_paths: Sequence[str],
-    map_paths: Sequence[str],
-    extra: Sequence[Mapping[str, str] | None],
-    fields: Sequence[Field],
-    map_schema: str | None = None,
-) -> list[VoidFile]:
-    """Open the file pairs of a setting, each by its suffix; the three lists must agree in length."""
-    if not len(main_paths) == len(map_paths) == len(extra):
-        raise ValueError("main files, ID maps and extra arguments differ in number")
-    return [
-        VoidFile(
-            read_by_extension(spark, main, fields), read_by_extension(spark, ids, schema=map_schema), **(more or {})
+@dataclass(frozen=True)
+class FileSource:
+    """A file to open by its suffix, and how: fixed-width fields, CSV schema, encoding, padding, record length."""
+
+    path: str
+    fields: Sequence[Field] | None = None
+    schema: str | None = None
+    encoding: str = "UTF-8"
+    pad: str | None = "start"
+    width: int | None = None
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return read_by_extension(spark, self.path, self.fields, self.schema, self.encoding, self.pad, self.width)
+
+
+@dataclass(frozen=True)
+class VoidSource:
+    """One pair of a manifest: main file, ID map, the names of their columns, and what its codes mean.
+
+    ``reasons`` says for each code that voids a row why it does; other codes void nothing.
+    """
+
+    name: str
+    main: FileSource
+    id_map: FileSource
+    reasons: Mapping[str, str]
+    row_id: str = "row_id"
+    map_row_id: str = "record_id"
+    mapped_id: str = "person_id"
+    alternative_id: str = "own_id"
+    status: str = "status"
+
+
+def _file_problems(spark: SparkSession, source: FileSource, needed: Sequence[str], of: str) -> list[str]:
+    """What is wrong with a file as far as its name, its place and its declared or stored schema tell."""
+    suffix = suffix_of(source.path)
+    if suffix not in SUFFIXES:
+        return [f"{of}: no reader for {source.path}"]
+    try:
+        # A listing: no content is read.
+        spark.read.format("binaryFile").load(source.path)
+    except AnalysisException:
+        return [f"{of}: nothing at {source.path}"]
+    if suffix == ".txt" and not source.fields:
+        return [f"{of}: a fixed-width file needs its fields"]
+    if suffix == ".csv" and not source.schema:
+        return [f"{of}: a CSV file needs its schema"]
+    problems = []
+    if suffix == ".txt":
+        names = [f.name for f in source.fields]
+        ends = [f.start + f.length - 1 for f in source.fields]
+        if source.width is not None and max(ends) > source.width:
+            problems.append(f"{of}: fields end at {max(ends)}, beyond the record length {source.width}")
+        try:
+            codecs.lookup(source.encoding)
+        except LookupError:
+            problems.append(f"{of}: unknown encoding {source.encoding}")
+    elif suffix == ".csv":
+        names = T.StructType.fromDDL(source.schema).fieldNames()
+    else:
+        names = spark.read.parquet(source.path).columns
+    missing = [c for c in needed if c not in names]
+    return problems + ([f"{of}: no column {', '.join(missing)}"] if missing else [])
+
+
+def check_manifest(spark: SparkSession, manifest: Sequence[VoidSource]) -> None:
+    """Raise one error that names every fault of a manifest, before any content is read."""
+    problems = []
+    names = [source.name for source in manifest]
+    problems += [f"{name}: listed twice" for name in dict.fromkeys(names) if names.count(name) > 1]
+    if not manifest:
+        problems.append("no files")
+    for source in manifest:
+        if not source.reasons:
+            problems.append(f"{source.name}: no code voids a row")
+        main = [source.row_id, source.alternative_id, source.status]
+        problems += _file_problems(spark, source.main, main, f"{source.name} main file")
+        problems += _file_problems(spark, source.id_map, [source.map_row_id, source.mapped_id], f"{source.name} ID map")
+    if problems:
+        raise ValueError("; ".join(problems))
+
+
+def void_sets_from_files(spark: SparkSession, manifest: Sequence[VoidSource], id_column: str = "person_id") -> DataFrame:
+    """One row for each voided ID: ``Voided_1`` .. ``Voided_n`` (true / null) and ``reasons``, sorted, joined by '; '.
+
+    Each pair may have formats, layouts and encodings of its own; the whole manifest is checked first. Pairs are
+    stacked and gathered once by ID, so a pair more costs no join more. A reason names its pair.
+    """
+    check_manifest(spark, manifest)
+    stacked = []
+    for i, source in enumerate(manifest, 1):
+        file = VoidFile(
+            source.main.read(spark), source.id_map.read(spark), source.row_id, source.map_row_id, source.mapped_id,
+            source.alternative_id, source.status,
+        )
+        why = case_map(source.status, {code: f"{source.name}: {reason}" for code, reason in source.reasons.items()})
+        stacked.append(
+            void_rows(file, list(source.reasons), id_column, {"__why": why}).withColumn("__file", F.lit(i))
         )
-        for main, ids, more in zip(main_paths, map_paths, extra)
-    ]
+    found = union_all(*stacked).where(F.col(id_column).isNotNull())
+    return found.groupBy(id_column).agg(
+        *[F.max(F.when(F.col("__file") == i, F.lit(True))).alias(f"Voided_{i}") for i in range(1, len(manifest) + 1)],
+        F.array_join(F.array_sort(F.collect_set("__why")), "; ").alias("reasons"),
+    )
 
 
 class MatchResult(NamedTuple):

@@ -16,7 +16,7 @@ from rollwright.operators.numbering import record_number
 from rollwright.session import materialise
 
 LINE = "line"
-# Separator that does not occur in text files: makes the CSV reader deliver whole lines.
+SUFFIXES = (".csv", ".parquet", ".txt")
 
 
 class UnsupportedFileType(TypeError):
@@ -129,14 +129,18 @@ def read_delimited(
 
 
 def read_header_csv(
-    spark: SparkSession, path: str, schema: str | T.StructType | None = None, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType | None = None,
+    multi_line: bool = False,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
     """CSV with a header line, quotes doubled inside quoted values.
 
     A declared schema saves the extra pass that detecting types costs. Values that hold line ends need
     ``multi_line``, with which a file is read whole by one task.
     """
-    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    options = {"header": True, "escape": '"', "multiLine": multi_line, "encoding": encoding}
     if schema is None:
         return spark.read.csv(path, inferSchema=True, **options)
     return spark.read.csv(path, schema=schema, enforceSchema=False, **options)
@@ -150,22 +154,32 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def suffix_of(path: str) -> str:
+    return os.path.splitext(path.rstrip("/"))[1].lower()
+
+
 def read_by_extension(
     spark: SparkSession,
     path: str,
     fields: Sequence[Field] | None = None,
     schema: str | T.StructType | None = None,
+    encoding: str = "UTF-8",
+    pad: str | None = "start",
+    width: int | None = None,
 ) -> DataFrame:
-    """Choose the reader by suffix: .csv, .parquet, or .txt (fixed width, needs ``fields``)."""
-    suffix = os.path.splitext(path.rstrip("/"))[1].lower()
+    """Choose the reader by suffix: .csv, .parquet, or .txt (fixed width, needs ``fields``).
+
+    ``encoding`` holds for both kinds of text, ``pad`` and ``width`` for fixed width.
+    """
+    suffix = suffix_of(path)
     if suffix == ".csv":
-        return read_header_csv(spark, path, schema)
+        return read_header_csv(spark, path, schema, encoding=encoding)
     if suffix == ".parquet":
         return read_parquet(spark, path)
     if suffix == ".txt":
         if not fields:
             raise ValueError("a fixed-width file needs its fields")
-        return read_fixed_width(spark, path, fields)
+        return read_fixed_width(spark, path, fields, pad, encoding, width)
     raise UnsupportedFileType(f"no reader for {suffix or 'a file without suffix'}: {path}")
 
 

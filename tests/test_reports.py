@@ -81,3 +81,22 @@ def test_union_all_matches_by_name(spark):
     a = spark.createDataFrame([(1, "x")], "n int, s string")
     b = spark.createDataFrame([("x", 1)], "s string, n int")
     assert rows(union_all(a, b, a)) == [(1, "x")] * 3
+
+
+def test_reports_of_all_kinds_are_numbered_together(spark):
+    from rollwright.operators.report import merged_order, number_reports
+
+    first = spark.createDataFrame([("10", "F", 1), ("03", "M", 2), ("03", "F", 3)], "grade string, sex string, Counts int")
+    second = spark.createDataFrame([("001", "b", "F", 4), ("001", "a", "F", 5)], "lea string, status string, sex string, Counts int")
+    nothing = second.where("Counts > 9")
+    found = number_reports(
+        {"A": {"state": first}, "B": {"district": second, "state": nothing.drop("lea")}}, {"state": None, "district": "lea"},
+        {"A": ["grade", "sex"], "B": ["status", "sex"]},
+    )
+    numbered = {key: (rows(table), height.first()[0]) for key, (table, height) in found.items()}
+    assert numbered["A", "state"] == ([("03", "F", 3, 1), ("03", "M", 2, 2), ("10", "F", 1, 3)], 3)
+    assert numbered["B", "district"] == ([("001", "a", "F", 5, 1), ("001", "b", "F", 4, 2)], 2)
+    assert numbered["B", "state"] == ([], 0)
+    assert merged_order([["a", "b", "d"], ["a", "c", "d"]]) == ["a", "b", "c", "d"]
+    with pytest.raises(ValueError, match="conflicting"):
+        merged_order([["a", "b"], ["b", "a"]])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import re
+from decimal import Decimal, localcontext
 from itertools import product
 
 import pytest
@@ -162,7 +165,70 @@ def test_exact_sum_keeps_every_digit_or_raises(spark):
     df = spark.createDataFrame([(0.0000004,)] * 10 + [(33.123456789,)], "x double")
     assert df.agg(R.exact_sum("x")).first()[0] == 33.123460789
     with pytest.raises(Exception, match="too many digits"):
-        spark.createDataFrame([(1e-30,)], "x double").agg(R.exact_sum("x")).collect()
+        spark.createDataFrame([(1e-60,)], "x double").agg(R.exact_sum("x")).collect()
+
+
+def test_exact_sum_of_every_type(spark):
+    draw = random.Random(4)
+    data = [
+        (draw.randrange(-(2**63), 2**63), f"{draw.randrange(-10**27, 10**27)}.{draw.randrange(10**10):010}", draw.choice([1, -1]) * draw.random() * 10.0 ** draw.randrange(-18, 37))
+        for _ in range(400)
+    ] + [(None, None, None), (None, None, float("nan")), (0, "-0.0000000001", 0.0)]
+    df = spark.createDataFrame(data, "a bigint, b string, c double").withColumn("b", F.col("b").cast("decimal(38,10)"))
+    got = df.agg(*[R.exact_sum(c, "string").alias(c) for c in "abc"], *[R.exact_sum(c).alias(c + "2") for c in "abc"]).first()
+    texts = df.select(*[F.col(c).cast("string") for c in "abc"]).collect()
+    with localcontext() as context:
+        context.prec = 200
+        for i, c in enumerate("abc"):
+            want = sum((Decimal(r[i]) for r in texts if r[i] not in (None, "NaN")), Decimal(0))
+            assert Decimal(got[c]) == want and got[c + "2"] == float(want)
+
+
+def test_exact_sum_by_result_type(spark):
+    df = spark.createDataFrame([(9007199254740993, "12345678901234567.1234567891"), (-9007199254740992, "-12345678901234567")], "a bigint, t string")
+    df = df.withColumn("b", F.col("t").cast("decimal(38,10)"))
+    assert df.agg(R.exact_sum("a"), R.exact_sum("b", "decimal(38,10)")).first() == (1.0, Decimal("0.1234567891"))
+    assert df.where("a = 0").agg(R.exact_sum("a", "decimal(38,0)"), R.exact_sum("b", "string")).first() == (Decimal(0), "0")
+    with pytest.raises(Exception, match="cannot hold the sum"):
+        df.agg(R.exact_sum("b", "decimal(38,2)")).collect()
+    with pytest.raises(Exception, match="too many digits"):
+        spark.createDataFrame([(float("inf"),)], "x double").agg(R.exact_sum("x")).collect()
+
+
+def test_cells_come_from_a_range_and_dictionaries(spark):
+    df = spark.createDataFrame(PEOPLE, SCHEMA)
+    cells = R.cross_scaffold(df, ["grade"], SETS, allowed=[{"grade": ["03"]}, {"race": ["", "B"], "grade": ["03", "10"]}])
+    shape = cells._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in shape and "Generate" not in shape and "Range" in shape and "Aggregate" not in shape
+    # Only legal cells are made: 03 with 1 + 3 + 2 + 6 of sex and race, 10 with 1 + 3 + 1 + 3, and 03 with B or '' again.
+    assert re.search(r"Range \(0, (\d+)", shape)[1] == str(12 + 2 * (1 + 3 + 1 + 3))
+    got = rolled(cells.drop("__set"))
+    sexes, races = ["", "F", "M"], ["A", "B"]
+    legal = [(g, s, r) for g in ("03", "10") for used in SETS for s in (sexes if "sex" in used else [""]) for r in (races if "race" in used else [""])]
+    assert got == sorted(c for c in legal if c[0] == "03" or c[2] in ("", "B"))
+
+
+def test_views_and_kinds_are_counted_in_one_pass(spark, tmp_path):
+    path = str(tmp_path / "people")
+    spark.createDataFrame(PEOPLE, SCHEMA).withColumn("lea", F.substring("site", 1, 3)).write.parquet(path)
+    df = spark.read.parquet(path)
+    kinds = {"K1": ["grade"], "K2": ["site"]}
+    levels = {"district": "lea", "state": None}
+    views = {"K2": F.col("sex") == "F"}
+    tables = R.rollup_of_views(df, kinds, SETS, "id", levels, views, total_flag="total")
+    alone = R.multi_level_rollup(df, ["grade"], SETS, "id", levels, total_flag="total")
+    women = R.multi_level_rollup(df.where("sex = 'F'"), ["site"], SETS, "id", levels, total_flag="total")
+    for level in levels:
+        assert rolled(tables["K1"][level]) == rolled(alone[level])
+        assert rolled(tables["K2"][level]) == rolled(women[level])
+        # The facts are read by the finest counts alone, which are written.
+        assert path not in tables["K1"][level]._jdf.queryExecution().optimizedPlan().toString()
+        assert not any(path in f for f in tables["K2"][level].inputFiles())
+    twice = R.rollup_of_views(df, {"K": ["grade"]}, [["sex"], ["sex"]], "id", levels)["K"]
+    once = R.rollup_of_views(df, {"K": ["grade"]}, [["sex"]], "id", levels)["K"]
+    assert all(rolled(twice[level]) == sorted(2 * rolled(once[level])) for level in levels)
+    with pytest.raises(ValueError, match="basic column of another"):
+        R.rollup_of_views(df, {"K1": ["grade"], "K2": ["sex"]}, SETS, "id", levels)
 
 
 def test_rules_on_basic_columns_come_before_the_subgroups(spark):
