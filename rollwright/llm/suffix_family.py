@@ -25,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,9 +33,10 @@ from rollwright.llm.shingles import ODD, spread
 
 LENGTH = 50
 GRAM = 16
-BATCHES = 8
+BATCHES = 4
+BUCKET_BYTES = 1 << 23
 FLUSH_ANCHORS = 1 << 19
-FLUSH_BYTES = 1 << 23
+FLUSH_BYTES = 1 << 24
 CHUNK = 1 << 20
 NONE = np.iinfo(np.int64).max
 
@@ -202,7 +202,7 @@ def context_blocks(bounds: list[int]):
             docs, copies, firsts = (np.array(x, np.int64) for x in zip(*(o for own in contexts.values() for o in own), strict=True))
             base = docs.min()
             found.append((
-                bucket, batch, b"".join(contexts), packed(np.array([len(c) - LENGTH + 1 for c in contexts])), packed(np.array(owners)), base,
+                bucket, batch, pa.compress(b"".join(contexts), codec="zstd", asbytes=True), packed(np.array([len(c) - LENGTH + 1 for c in contexts])), packed(np.array(owners)), base,
                 packed((docs - base).view(np.uint64)), packed(copies), packed(firsts),
             ))
         kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), *[pa.binary()] * 3)
@@ -296,7 +296,7 @@ def windows_at(text: np.ndarray, places: np.ndarray) -> np.ndarray:
     """The windows at these places, comparable as byte strings."""
     if not len(places):
         return np.empty(0, f"S{LENGTH}")
-    return np.ascontiguousarray(sliding_window_view(text, LENGTH)[places]).view(f"S{LENGTH}").ravel()
+    return np.ndarray(len(text) - LENGTH + 1, f"S{LENGTH}", text, strides=(1,))[places]
 
 
 def scan(family: Family, contexts: list[bytes], owner: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -338,7 +338,8 @@ def repeated_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for block in blocks:
             counts = np.frombuffer(block["counts"], np.uint8).astype(np.int64)
             ends = np.cumsum(counts + LENGTH - 1).tolist()
-            ids = [known.setdefault(block["texts"][a:b], len(known)) for a, b in zip([0, *ends], ends, strict=False)]
+            texts = pa.decompress(block["texts"], decompressed_size=ends[-1], codec="zstd", asbytes=True)
+            ids = [known.setdefault(texts[a:b], len(known)) for a, b in zip([0, *ends], ends, strict=False)]
             owners = unpacked(block["owners"], len(counts))
             n = int(owners.sum())
             owner.append(np.repeat(ids, owners))
@@ -404,29 +405,35 @@ def cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def without_repeats(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def without_repeats(
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", bucket_bytes: int = BUCKET_BYTES,
+) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary: a cut may fall inside a letter) for every row.
 
     Null texts count as empty. Rows that repeat an id are cut each on its own, and not by each other; a null
     id is neither cut nor cuts others. A text shorter than a window stays. No rows in, no rows out; other
     columns are left out. Texts are shuffled once, by id: both joins with them read the same exchange.
+    ``bucket_bytes`` is how many bytes of text there are for each bucket.
     """
     spark = df.sparkSession
-    buckets = min(shuffle_partitions(spark), (1 << 26) - 1)
+    parts = shuffle_partitions(spark)
     texts = keyed_texts(df, id_column, text_column).withColumn("text", F.coalesce("text", F.lit("")))
     rows = texts.where("doc_id IS NOT NULL")
-    bounds = rows.agg(F.percentile_approx("doc_id", [i / BATCHES for i in range(1, BATCHES)], 1000)).first()[0] or []
+    cuts = [i / BATCHES for i in range(1, BATCHES)]
+    bounds, size = rows.agg(F.percentile_approx("doc_id", cuts, 1000), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
+    # As many buckets as the texts' bytes ask for, whatever the number of partitions: a bucket is what one task holds.
+    buckets = min(1 + size // bucket_bytes, (1 << 26) - 1)
 
-    blocks = rows.mapInArrow(anchor_blocks(buckets), ANCHORS).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    blocks = rows.mapInArrow(anchor_blocks(buckets), ANCHORS).repartition(parts, "bucket").sortWithinPartitions("bucket")
     entries = (
         blocks.mapInArrow(repeated_anchors, "doc_id long, entry long").groupBy("doc_id").agg(F.collect_list("entry").alias("entries"))
     )
     numbered = rows.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
     contexts = numbered.join(entries.hint("merge"), "doc_id").select("doc_id", "copy", "text", "entries").mapInArrow(
-        context_blocks(sorted(set(bounds))), CONTEXTS
+        context_blocks(sorted(set(bounds or []))), CONTEXTS
     )
     found = (
-        contexts.repartition(buckets, "bucket").sortWithinPartitions("bucket", "batch")
+        contexts.repartition(parts, "bucket").sortWithinPartitions("bucket", "batch")
         .mapInArrow(repeated_runs, "doc_id long, run long").groupBy("doc_id").agg(F.collect_list("run").alias("found"))
     )
     cut = numbered.join(found.hint("merge"), "doc_id", "left").select("doc_id", "copy", "text", "found").mapInArrow(
