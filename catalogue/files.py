@@ -79,16 +79,25 @@ def parse_slices(spark, sf_dir):
     SELECT c_name AS name, c_custkey AS custkey, c_mktsegment AS segment FROM customer""",
 )
 def read_dash_ruled(spark, sf_dir):
-    line = F.concat_ws(" ", _text("c_name", 20), _number("c_custkey", 12), F.col("c_mktsegment"))
-    body = table(spark, sf_dir, "customer").select((F.col("c_custkey") + 2).alias("at"), line.alias("line"))
-    head = spark.range(2).select(
-        F.col("id").alias("at"),
-        F.when(F.col("id") == 0, F.concat_ws(" ", F.rpad(F.lit("name"), 20, " "), F.rpad(F.lit("custkey"), 12, " "), F.lit("segment")))
-        .otherwise(F.concat_ws(" ", F.repeat(F.lit("-"), F.lit(20)), F.repeat(F.lit("-"), F.lit(12)), F.repeat(F.lit("-"), F.lit(10))))
-        .alias("line"),
+    """A folder of files of a thousand lines, ruled in two ways; one body line looks like its file's rule."""
+    file = F.floor(F.col("c_custkey") / 1000)
+    wide = file % 2 == 0
+    body = table(spark, sf_dir, "customer").select(
+        file.alias("file"), (F.col("c_custkey") + 2).alias("at"),
+        F.when(wide, F.concat_ws(" ", _text("c_name", 20), _number("c_custkey", 12), F.col("c_mktsegment")))
+        .otherwise(F.concat_ws("  ", _text("c_mktsegment", 11), _text("c_name", 30), _number("c_custkey", 15))).alias("line"),
     )
-    path = scratch_path(spark, "dash-ruled") + ".rpt"
-    head.unionByName(body).orderBy("at").select("line").write.text(path)
+    rule = F.concat_ws(" ", F.repeat(F.lit("-"), F.lit(20)), F.repeat(F.lit("-"), F.lit(12)), F.repeat(F.lit("-"), F.lit(10)))
+    other = F.concat_ws("  ", F.repeat(F.lit("="), F.lit(11)), F.repeat(F.lit("="), F.lit(30)), F.repeat(F.lit("="), F.lit(15)))
+    names = F.when(wide, F.concat_ws(" ", F.rpad(F.lit("name"), 20, " "), F.rpad(F.lit("custkey"), 12, " "), F.lit("segment"))).otherwise(
+        F.concat_ws("  ", F.rpad(F.lit("segment"), 11, " "), F.rpad(F.lit("name"), 30, " "), F.lit("custkey"))
+    )
+    head = table(spark, sf_dir, "customer").select(file.alias("file"), names.alias("names"), F.when(wide, rule).otherwise(other).alias("rule")).distinct()
+    lines = body.unionByName(head.select("file", F.lit(0).cast("bigint").alias("at"), F.col("names").alias("line"))).unionByName(
+        head.select("file", F.lit(1).cast("bigint").alias("at"), F.col("rule").alias("line"))
+    )
+    path = scratch_path(spark, "dash-ruled")
+    lines.repartition("file").sortWithinPartitions("file", "at").select("file", "line").write.partitionBy("file").text(path)
     return readers.read_dash_ruled(spark, path, {"custkey": "bigint"})
 
 

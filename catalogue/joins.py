@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from catalogue.registry import query, table
 from rollwright.operators import joins
-from rollwright.operators.regions import region_text, region_text_long
+from rollwright.operators.numbering import record_number
+from rollwright.operators.regions import region_text, region_text_by_table, region_text_long
 
 
 def _orders(spark, sf_dir):
@@ -200,3 +202,32 @@ def regions_by_template(spark, sf_dir):
         "es": {"rest": (0.0, 0.0, _FAR, _FAR)},
     }
     return region_text_long(document_words(spark, sf_dir), regions, page=["doc"], template="lang")
+
+
+@query(
+    "region_text_by_table",
+    f"""
+    WITH w AS ({DOCUMENT_WORDS}),
+         t AS (SELECT lang, row_number() OVER (ORDER BY lang) AS n FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)),
+         r AS (SELECT doc, y, x, word, 'title' AS region FROM w JOIN t USING (lang) WHERE y < n
+               UNION ALL SELECT doc, y, x, word, 'edges' FROM w JOIN t USING (lang) WHERE x < n OR (y >= 2 AND x >= 2 * n AND x < 2 * n + 6) OR (y >= 4 AND x < 2 * n + 3)),
+         l AS (SELECT doc, region, y, string_agg(word, ' ' ORDER BY x) AS t FROM r GROUP BY ALL)
+    SELECT doc, region, string_agg(t, chr(10) ORDER BY y) AS text FROM l GROUP BY doc, region""",
+)
+def regions_by_table(spark, sf_dir):
+    """Rectangles made from the data: a template for each language, regions of one and of several overlapping rectangles."""
+    langs = table(spark, sf_dir, "documents").select("lang").where("lang IS NOT NULL").distinct()
+    numbered = record_number(langs, ["lang"], "n")
+    far = F.lit(_FAR)
+
+    def rectangle(region, x0, y0, x1, y1):
+        names = ("region", "x0", "y0", "x1", "y1")
+        values = (region, x0, y0, x1, y1)
+        return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).cast("string" if c == "region" else "double").alias(c) for c, v in zip(names, values)])
+
+    n = F.col("n")
+    rows = F.array(
+        rectangle("title", 0, 0, far, n), rectangle("edges", 0, 0, n, far), rectangle("edges", 2 * n, 2, 2 * n + 6, far), rectangle("edges", 0, 4, 2 * n + 3, far)
+    )
+    rectangles = numbered.select("lang", F.explode(rows).alias("r")).select("lang", "r.*")
+    return region_text_by_table(document_words(spark, sf_dir), rectangles, page=["doc"], template="lang")

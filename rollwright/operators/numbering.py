@@ -55,6 +55,21 @@ def rank_groups(df: DataFrame, name: str, within: Sequence[str], heights: str =
     return ranked, sizes.groupBy("__group").agg(F.sum("__size").alias(heights)).select("__group.*", heights)
 
 
+def running_total(df: DataFrame, order_by: Sequence[str], value: str, name: str) -> DataFrame:
+    """The sum of ``value`` over all rows before each row, in the order of the given columns, which must be unique.
+
+    Two levels: rows are range-partitioned by the order and summed up within their partition, in parallel; the
+    totals of the partitions, one row each, are summed up apart and joined back.
+    """
+    placed = _place(df, order_by, ())
+    inside = Window.partitionBy("__part").orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
+    summed = placed.withColumn("__inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    totals = placed.groupBy("__part").agg(F.sum(value).alias("__total")).withColumn("__group", F.lit(0))
+    before = Window.partitionBy("__group").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = totals.select("__part", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__before"))
+    return summed.join(F.broadcast(earlier), "__part").select(*df.columns, (F.col("__before") + F.col("__inside")).alias(name))
+
+
 def _place(df: DataFrame, order_by: Sequence[str], within: Sequence[str]) -> DataFrame:
     order = [F.asc_nulls_first(c) for c in [*within, *order_by]]
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])

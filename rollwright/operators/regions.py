@@ -104,3 +104,58 @@ def region_text_long(
         F.expr(f"listagg(text, '\\n') within group (order by __line)").alias("text")
     )
 
+
+LEVELS = 40
+
+
+def region_text_by_table(
+    words: DataFrame,
+    rectangles: DataFrame,
+    page: Sequence[str] = ("doc", "page"),
+    template: str | None = None,
+    band: float = 16.0,
+    word: str = "word",
+    line: str = "y0",
+    across: str = "x0",
+) -> DataFrame:
+    """Rows (page, region, text) for the regions of a table: ``region, x0, y0, x1, y1`` and, if named, ``template``.
+
+    Rectangles are data: any number of them, for any number of templates, and several may make up one region. Each is
+    cut into two or three horizontal bands, whose height is ``band`` doubled until it reaches that of the rectangle. A
+    word, which starts in one band of each height, is matched on template, height and band, and then tested by its
+    edges. So the join is on equal keys, a word meets few rectangles, and words that lie in no region leave before
+    anything is gathered. Which of the ``LEVELS`` heights occur is all that reaches the driver. A word that two
+    rectangles of one region hold counts once.
+    """
+    side = [template] if template else []
+    tall = F.greatest(F.ceil(F.log2((F.col("y1") - F.col("y0")) / band)), F.lit(0))
+    level = F.coalesce(F.least(tall, F.lit(LEVELS)), F.lit(0)).cast("int")
+    held = rectangles.where("x0 <= x1 AND y0 <= y1").select(
+        *side, "region", *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")]
+    ).distinct().withColumn("__level", level)
+    height = F.pow(F.lit(2.0), F.col("__level")) * band
+    held = held.select(
+        *[F.col(c).alias(f"__{c}") for c in [*side, "x0", "y0", "x1", "y1"]],
+        "region", "__level", F.explode(F.sequence(F.floor(F.col("y0") / height), F.floor(F.col("y1") / height))).alias("__band"),
+    )
+    levels = sorted(r["__level"] for r in held.select("__level").distinct().collect())
+    places = F.array(*[
+        F.struct(F.lit(i).alias("level"), F.floor(F.col("y0") / (band * 2.0**i)).alias("band")) for i in levels or [0]
+    ])
+    keyed = words.withColumn("__at", F.explode(places))
+    same = (F.col("__at.level") == F.col("__level")) & (F.col("__at.band") == F.col("__band"))
+    for c in side:
+        same = same & (F.col(c) == F.col(f"__{c}"))
+    inside_of = (
+        (F.col("x0") >= F.col("__x0")) & (F.col("y0") >= F.col("__y0")) & (F.col("x1") <= F.col("__x1")) & (F.col("y1") <= F.col("__y1"))
+    )
+    box = F.struct(F.col(across).alias("across"), F.col(word).alias("word"), "x0", "y0", "x1", "y1")
+    found = keyed.join(held, same & inside_of).select(
+        *page, "region", _line_key(line).alias("__line"), F.struct(box.alias("box"), F.struct("__x0", "__y0", "__x1", "__y1").alias("by")).alias("__hit")
+    )
+    keys = [*page, "region", "__line"]
+    # Of the rectangles of one region that hold a box the least counts; a line's hits are few.
+    lines = found.repartition(*keys).groupBy(*keys).agg(F.array_sort(F.collect_list("__hit")).alias("__hits"))
+    once = F.filter("__hits", lambda h: ~F.exists("__hits", lambda o: (o["box"] == h["box"]) & (o["by"] < h["by"])))
+    lines = lines.select(*keys, F.array_join(F.transform(once, lambda h: h["box"]["word"]), " ").alias("text"))
+    return lines.groupBy(*page, "region").agg(F.expr("listagg(text, '\\n') within group (order by __line)").alias("text"))

@@ -116,7 +116,9 @@ def roster_prepare(
     main = replace_by_lookup(main, cols.id, retired, old, new, order)
     if rules.excluded_sites:
         main = main.where(~F.col(cols.site).isin(*rules.excluded_sites))
-    placed = left_enrich(main, sites, {cols.site: at["site"]})
+    # What the site list says about a site holds, whatever the roster has under the same names.
+    told = [at[c] for c in ("district_name", "site_name", "report_code") if at[c] != cols.site]
+    placed = left_enrich(main.drop(*[c for c in told if c not in vars(cols).values()]), sites, {cols.site: at["site"]})
     return PreparedRoster(name_districts(placed, rules, cols, at), other)
 
 
@@ -269,8 +271,11 @@ def void_sets_from_files(spark: SparkSession, manifest: Sequence[VoidSource], id
     check_manifest(spark, manifest)
     stacked = []
     for i, source in enumerate(manifest, 1):
+        main = source.main.read(spark)
+        # A blank field is no ID.
+        main = main.withColumns({c: F.nullif(strip(c), F.lit("")) for c in (source.row_id, source.alternative_id) if main.schema[c].dataType == T.StringType()})
         file = VoidFile(
-            source.main.read(spark), source.id_map.read(spark), source.row_id, source.map_row_id, source.mapped_id,
+            main, source.id_map.read(spark), source.row_id, source.map_row_id, source.mapped_id,
             source.alternative_id, source.status,
         )
         why = case_map(source.status, {code: f"{source.name}: {reason}" for code, reason in source.reasons.items()})

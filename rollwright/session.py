@@ -68,8 +68,20 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder; never one that exists."""
-    return f"{scratch_root(spark)}/rollwright/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, named after this application too; never one that exists."""
+    return f"{scratch_root(spark)}/rollwright/{label}-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every copy that this application has written to the shared folder; how many there were.
+
+    Results that were not written elsewhere cannot be read afterwards.
+    """
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/rollwright/*-{context.applicationId}-*")
+    system = path.getFileSystem(context._jsc.hadoopConfiguration())
+    found = system.globStatus(path) or []
+    return sum(system.delete(status.getPath(), True) for status in found)
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -7,12 +7,12 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollwright.functions.columns import strip
-from rollwright.operators.numbering import record_number
+from rollwright.operators.numbering import record_number, running_total
 from rollwright.session import materialise
 
 LINE = "line"
@@ -100,24 +100,51 @@ def dash_fields(header: str, dashes: str, dtypes: Mapping[str, str] | None = Non
     return [Field(lo + 1, hi - lo, name, types.get(name, "string")) for (lo, hi), name in zip(spans, names, strict=True)]
 
 
-def parse_dash_ruled(
-    lines: DataFrame, header: str, dashes: str, dtypes: Mapping[str, str] | None = None, line: str = LINE
+def ruled_columns(header: str = "header", dashes: str = "dashes") -> Column:
+    """The same as an expression: an array of (name, start, length), one for each dash run of a row."""
+    at = F.sequence(F.lit(1), F.greatest(F.length(dashes), F.lit(1)))
+    dash = lambda i: F.substring(F.concat(F.lit(" "), F.col(dashes), F.lit(" ")), i + 1, F.lit(1)) != " "
+    starts = F.filter(at, lambda i: dash(i) & ~dash(i - 1))
+    ends = F.filter(at, lambda i: dash(i) & ~dash(i + 1))
+    return F.zip_with(starts, ends, lambda lo, hi: F.struct(
+        strip(F.substring(F.col(header), lo, hi - lo + 1)).alias("name"), lo.alias("start"), (hi - lo + 1).alias("length")
+    ))
+
+
+def read_dash_ruled(
+    spark: SparkSession, path: str | Sequence[str], dtypes: Mapping[str, str] | None = None, file_column: str | None = None
 ) -> DataFrame:
-    """Body of a dash-ruled file: name and dash lines (of every file read) dropped, values trimmed."""
-    body = lines.where((F.rtrim(line) != F.rtrim(F.lit(header))) & (F.rtrim(line) != F.rtrim(F.lit(dashes))))
-    cut = parse_fixed_width(body, dash_fields(header, dashes, dtypes), pad=None, line=line)
-    return cut.select(
-        *[strip(c).alias(c) if t == "string" else F.col(c) for c, t in cut.dtypes]
+    """Fixed-width files that rule their own columns: names in line 1, dash runs in line 2 of each file.
+
+    Every file is read by its own ruling; files of one read may differ in widths, in the order of their columns and
+    in the columns they have (null where a file has none). The rulings are found in Spark, a row for each file, and
+    joined to the lines; the first two lines go by their place, so a body line may look like them. Only the column
+    names reach the driver, in the order in which the first file (by name) has them, then those of others. Values
+    are trimmed; ``dtypes`` gives other types than text, ``file_column`` adds the file's path.
+    """
+    # Positions rise one by one inside a block, and a file's first block starts at 0.
+    lines = spark.read.text(path).select(
+        F.col("value").alias(LINE), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__position"),
+    )
+    first = lines.where("__block = 0").groupBy("__file").agg(F.min("__position").alias("__first"))
+    placed = lines.join(first, "__file").withColumn("__row", F.when(F.col("__block") == 0, F.col("__position") - F.col("__first")).otherwise(F.lit(2)))
+    rulings = materialise(
+        placed.where("__row < 2").groupBy("__file").agg(
+            F.max(F.when(F.col("__row") == 0, F.col(LINE))).alias("header"), F.coalesce(F.max(F.when(F.col("__row") == 1, F.col(LINE))), F.lit("")).alias("dashes")
+        ).select(F.col("__file").alias("__of"), ruled_columns().alias("__ruling")), "rulings",
     )
+    named = rulings.select(F.col("__of"), F.posexplode("__ruling").alias("place", "column"))
+    order = named.groupBy("column.name").agg(F.min(F.struct("__of", "place")).alias("at")).orderBy("at")
+    names = [r["name"] for r in order.collect()]
+    types = dtypes or {}
+    body = placed.where("__row >= 2").join(rulings, F.col("__file") == F.col("__of"))
 
+    def value(name: str) -> Column:
+        rule = F.get(F.filter("__ruling", lambda r: r["name"] == name), F.lit(0))
+        return _cast(strip(F.substring(F.col(LINE), rule["start"], rule["length"])), types.get(name, "string")).alias(name)
 
-def read_dash_ruled(spark: SparkSession, path: str, dtypes: Mapping[str, str] | None = None) -> DataFrame:
-    """Fixed-width file that rules its own columns: names in line 1, dash runs in line 2. Only these
-    two lines visit the driver."""
-    lines = read_lines(spark, path)
-    first = min(lines.inputFiles())
-    header, dashes = (row[0] for row in read_lines(spark, first).take(2))
-    return parse_dash_ruled(lines, header, dashes, dtypes)
+    return body.select(*[value(name) for name in names], *([F.col("__file").alias(file_column)] if file_column else []))
 
 
 def read_delimited(
@@ -220,9 +247,9 @@ def row_length_profile(
 
 def examine_row_lengths(spark: SparkSession, path: str, in_bytes: bool = False) -> DataFrame:
     """Row number and length of each line of a file, in file order."""
-    # The lines are not sorted: inside a block their positions rise one by one, so the blocks, sorted
-    # by file and start and counted, say where each block's numbers begin. Those are one row for each
-    # input split. The written copy keeps the positions fixed if a scan task runs again.
+    # The lines are not sorted: inside a block their positions rise one by one, so the blocks, in the order of
+    # file and start, say where each block's numbers begin: a running total over one row for each input split,
+    # of which there may be many. The written copy keeps the positions fixed if a scan task runs again.
     block = ["file", "block"]
     lines = materialise(
         spark.read.text(path).select(
@@ -234,8 +261,7 @@ def examine_row_lengths(spark: SparkSession, path: str, in_bytes: bool = False)
         "line-lengths",
     )
     sizes = lines.groupBy(*block).agg(F.count("*").alias("size"), F.min("position").alias("first"))
-    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*block, "first", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
+    starts = running_total(sizes, block, "size", "before").drop("size")
     number = F.col("before") + F.col("position") - F.col("first") + 1
     return lines.join(starts, block).select(number.alias("row_number"), "row_length")
 

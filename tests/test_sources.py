@@ -37,6 +37,28 @@ def test_slices_trim_and_forgive_short_lines(spark):
     assert rows(R.parse_slices(lines, {"x": (0, 4), "y": (4, 9)})) == [("a", ""), ("ab", "cd")]
 
 
+def test_each_file_is_read_by_its_own_ruling(spark, tmp_path):
+    (tmp_path / "a.rpt").write_text("id   name  \n---- ------\n   1 ann   \n---- ------\nid   name  \n")
+    (tmp_path / "b.rpt").write_text("name id extra\n---- -- -----\nbob  22 x\n")
+    (tmp_path / "c.rpt").write_text("name id\n---- --\n")
+    (tmp_path / "d.rpt").write_text("")
+    got = R.read_dash_ruled(spark, str(tmp_path), file_column="file")
+    assert got.columns == ["id", "name", "extra", "file"]
+    assert rows(got.drop("file")) == [("----", "------", None), ("1", "ann", None), ("22", "bob", "x"), ("id", "name", None)]
+    assert {r["file"].rsplit("/", 1)[-1] for r in got.collect()} == {"a.rpt", "b.rpt"}
+
+
+def test_row_numbers_of_many_files(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"{i:02}.txt").write_text("".join(f"{'x' * (i + k)}\n" for k in range(i % 5)))
+    got = R.examine_row_lengths(spark, str(tmp_path))
+    lengths = [i + k for i in range(40) for k in range(i % 5)]
+    assert rows(got) == [(n + 1, length) for n, length in enumerate(lengths)]
+    shape = got._jdf.queryExecution().executedPlan().toString()
+    # The splits, one row each, are summed up by range; what meets in one task is one row for each partition.
+    assert shape.count("SinglePartition") <= 1 and "rangepartitioning" not in shape
+
+
 def test_dash_ruled(spark, tmp_path):
     path = put(tmp_path / "r.rpt", "name   n\n------ ----\nAnn       1\nBob Le   22\n")
     got = R.read_dash_ruled(spark, path, {"n": "int"})
@@ -167,3 +189,10 @@ def test_scratch_follows_the_session_setting(spark):
     df = spark.range(5)
     kept = session.materialise(df)
     assert rows(kept) == rows(df) and kept.inputFiles()
+
+
+def test_scratch_is_released_on_demand(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path))
+    kept = session.materialise(spark.range(5), "kept")
+    assert kept.count() == 5 and session.release_scratch(spark) == 1
+    assert session.release_scratch(spark) == 0 and not any((tmp_path / "rollwright").iterdir())
