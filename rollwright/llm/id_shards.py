@@ -4,8 +4,9 @@ File format, two Parquet tables in one folder:
 
 * ``shards``: a row for each block: ``shard``, ``block`` (from 0 in its shard), ``start`` (ids before it in
   its shard), ``payload`` (ids, little-endian, unsigned, ``width`` bytes each, documents without gaps),
-  ``doc_ids``, ``copies`` and ``lengths`` of its documents in order, ``width``. Shards ascend by document,
-  so do blocks, and documents inside them. A block ends once it holds ``block_ids`` ids.
+  ``doc_ids``, ``copies``, ``firsts`` (ids before it in the block) and ``lengths`` of its documents in order,
+  ``width``. Shards ascend by document, so do blocks, and documents inside them. A block ends once it holds
+  ``block_ids`` ids or ``block_documents`` documents.
 * ``index``: a row for each bucket of keys: ``bucket``, ``sizes`` of its bit arrays, ``bits``, and in slot
   order ``fingerprints`` and ``places`` (shard, block, slot in the block, first id in the block, length).
 
@@ -32,7 +33,7 @@ from rollwright.llm.tokens import word_encoder
 
 BLOCKS = (
     "shard long, block long, start long, width int, payload binary, doc_ids array<long>, copies array<long>,"
-    " lengths array<long>"
+    " firsts array<long>, lengths array<long>"
 )
 INDEX = "bucket long, sizes array<long>, bits binary, fingerprints binary, places binary"
 FOUND = "doc_id long, copy long, shard long, block long, slot long, first long, length long"
@@ -85,11 +86,12 @@ def _key() -> F.Column:
 
 def write_shards(
     df: DataFrame, folder: str, path: str, end_id: int, vocabulary_size: int, block_ids: int = 1 << 18,
-    id_column: str = "doc_id", text_column: str = "text",
+    block_documents: int = 1 << 13, id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """Encode whole texts (null: empty) with ``end_id`` behind each, and write the shards; returns them as read.
 
-    Rows without an id come first. A task holds one block, or one document if that is longer.
+    Rows without an id come first. Null and empty texts have the end id alone. A task holds one block, or one
+    document if that is longer. No rows in, no rows out; other columns are left out.
     """
     width = 2 if vocabulary_size <= 1 << 16 else 4
 
@@ -98,18 +100,18 @@ def write_shards(
         shard, block, start = TaskContext.get().partitionId(), 0, 0
         last: tuple = ()
         copy = 0
-        docs, copies, lengths, parts, held = [], [], [], [], 0
+        docs, copies, firsts, lengths, parts, held = [], [], [], [], [], 0
 
         def out() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(parts), "<u4").astype(f"<u{width}")
-            row = [shard, block, start, width, ids.tobytes(), docs, copies, lengths]
+            row = [shard, block, start, width, ids.tobytes(), docs, copies, firsts, lengths]
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names
             )
 
-        names = ["shard", "block", "start", "width", "payload", "doc_ids", "copies", "lengths"]
+        names = ["shard", "block", "start", "width", "payload", "doc_ids", "copies", "firsts", "lengths"]
         many = pa.list_(pa.int64())
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), many, many, many]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), many, many, many, many]
         for batch in small_batches(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 copy = copy + 1 if (doc_id,) == last else 0
@@ -117,13 +119,14 @@ def write_shards(
                 ids = encoder.encode(text) + end
                 docs.append(doc_id)
                 copies.append(copy)
+                firsts.append(held)
                 lengths.append(len(ids) // 4)
                 parts.append(ids)
                 held += lengths[-1]
-                if held >= block_ids:
+                if held >= block_ids or len(docs) >= block_documents:
                     yield out()
                     block, start = block + 1, start + held
-                    docs, copies, lengths, parts, held = [], [], [], [], 0
+                    docs, copies, firsts, lengths, parts, held = [], [], [], [], [], 0
         if docs:
             yield out()
 
@@ -140,11 +143,10 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 def _documents(blocks: DataFrame) -> DataFrame:
     """Key and place of each document, from the block headers alone: payloads are not read."""
-    one = blocks.select("shard", "block", F.posexplode(F.arrays_zip("doc_ids", "copies", "lengths")).alias("slot", "doc"), "lengths")
-    first = F.aggregate(F.slice("lengths", 1, F.col("slot")), F.lit(0).cast("long"), lambda a, x: a + x)
+    one = blocks.select("shard", "block", F.posexplode(F.arrays_zip("doc_ids", "copies", "firsts", "lengths")).alias("slot", "doc"))
     return one.select(
         F.col("doc.doc_ids").alias("doc_id"), F.col("doc.copies").alias("copy"), "shard", "block",
-        F.col("slot").cast("long").alias("slot"), first.alias("first"), F.col("doc.lengths").alias("length"),
+        F.col("slot").cast("long").alias("slot"), F.col("doc.firsts").alias("first"), F.col("doc.lengths").alias("length"),
     )
 
 
@@ -176,7 +178,10 @@ def write_index(spark: SparkSession, folder: str, bucket_keys: int = 4096) -> in
 
 
 def look_up(keys: DataFrame, folder: str, buckets: int) -> DataFrame:
-    """Place of each key (``doc_id``, ``copy``) by the index; a key that is not in it gives no row."""
+    """Place of each key (``doc_id``, ``copy``) by the index; a key that is not in it gives no row.
+
+    A null id is a key like others; a key asked for twice is found twice. Other columns are left out.
+    """
     spark = keys.sparkSession
     index = spark.read.schema(INDEX).parquet(f"{folder}/index")
 
@@ -200,23 +205,25 @@ def look_up(keys: DataFrame, folder: str, buckets: int) -> DataFrame:
 
 
 def read_documents(blocks: DataFrame) -> DataFrame:
-    """Ids of every document, cut out of the payloads where the headers say: shard, block, slot, ids (32-bit)."""
+    """Ids of every document, cut out of the payloads where the headers say: shard, block, slot, ids (32-bit).
+
+    One block is unpacked at a time. A block has at least one document, whose ids may be the end id alone.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids = np.frombuffer(row["payload"], f"<u{row['width']}").astype("<u4")
-                ends = np.cumsum(row["lengths"])
-                parts = [ids[e - n : e].tobytes() for e, n in zip(ends, row["lengths"], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row["shard"]] * len(parts), pa.int64()), pa.array([row["block"]] * len(parts), pa.int64()),
-                        pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary()),
-                    ],
-                    ["shard", "block", "slot", "ids"],
-                )
-
-    needed = blocks.select("shard", "block", "width", "payload", "lengths")
+        for batch in small_batches(batches, 1):
+            row = batch.to_pylist()[0]
+            ids = np.frombuffer(row["payload"], f"<u{row['width']}").astype("<u4")
+            parts = [ids[a : a + n].tobytes() for a, n in zip(row["firsts"], row["lengths"], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([row["shard"]] * len(parts), pa.int64()), pa.array([row["block"]] * len(parts), pa.int64()),
+                    pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary()),
+                ],
+                ["shard", "block", "slot", "ids"],
+            )
+
+    needed = blocks.select("shard", "block", "width", "payload", "firsts", "lengths")
     return needed.mapInArrow(cut, "shard long, block long, slot long, ids binary")
 
 
