@@ -10,8 +10,9 @@ sides are anchors, the longest ascending run of anchors is kept and grows to nei
 sides, and what lies between is aligned in the same way until nothing in it matches. The lines of aligned
 windows go from the later document.
 
-Windows left, as they cross others of their pair, are posted again to their next holders, twice as many each
-round, and paired as whole documents, until they go or no earlier holder is left.
+Windows left, as they cross others of their pair, are blocks that moved: the pair is aligned again with what is
+left of it, up to ``PASSES`` times, and what then crosses still is taken window by window. No pair is added, so
+the work grows with the windows and their first holders, whatever the order of the blocks.
 """
 
 from __future__ import annotations
@@ -21,18 +22,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollwright.llm.common import small_batches
+from rollwright.llm.common import shuffle_partitions, small_batches
 from rollwright.session import materialise
 
 LEAST_WORDS = 8
+PASSES = 6
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
 HELD = "doc_id long, key long, length int, places array<int>"
-LEFT = "array<struct<key:bigint,place:int,length:int>>"
-ALIGNED = f"doc_id long, removed array<int>, partners array<long>, rest {LEFT}"
+ALIGNED = "doc_id long, removed array<int>, blocks long, partners long"
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -175,12 +176,24 @@ def patience(mine: dict[int, list[int]], theirs: dict[int, list[int]]) -> dict[i
     return aligned
 
 
-def covered(removed: list[int], place: int, length: int) -> bool:
-    return bisect.bisect_left(removed, place + length) - bisect.bisect_left(removed, place) == length
+def aligned_places(mine: dict[int, list[int]], theirs: dict[int, list[int]]) -> dict[int, set[int]]:
+    """Keys that align at each place of the later document, moved blocks included: patience until nothing is left."""
+    found: dict[int, set[int]] = {}
+    for _ in range(PASSES):
+        aligned = patience(mine, theirs)
+        for x, keys in aligned.items():
+            found.setdefault(x, set()).update(keys)
+        mine = {k: left for k, places in mine.items() if (left := [x for x in places if k not in aligned.get(x, ())])}
+        if not mine:
+            return found
+    for key, places in mine.items():
+        for x in places:
+            found.setdefault(x, set()).add(key)
+    return found
 
 
-def align(matches: list[dict]) -> tuple[list[int], list[int], list[dict]]:
-    """Places that go from one document, its partners, and windows left, given its matches with earlier documents."""
+def align(matches: list[dict]) -> tuple[list[int], int, int]:
+    """Places that go from one document, in how many blocks, and its partners, given its matches with earlier documents."""
     partners: dict[int, tuple[dict[int, list[int]], dict[int, list[int]]]] = {}
     lengths: dict[int, int] = {}
     for m in matches:
@@ -189,42 +202,26 @@ def align(matches: list[dict]) -> tuple[list[int], list[int], list[dict]]:
         lengths[m["key"]] = m["length"]
     ends: dict[int, int] = {}
     for mine, theirs in partners.values():
-        for x, keys in patience(mine, theirs).items():
+        for x, keys in aligned_places(mine, theirs).items():
             ends[x] = max(ends.get(x, 0), *(x + lengths[k] for k in keys))
     removed: list[int] = []
     for x in sorted(ends):
         removed.extend(range(max(x, removed[-1] + 1 if removed else 0), ends[x]))
-    rest = [
-        {"key": m["key"], "place": p, "length": m["length"]}
-        for m in matches for p in m["places"] if not covered(removed, p, m["length"])
-    ]
-    return removed, list(partners), rest
+    blocks = sum(1 for i, x in enumerate(removed) if i == 0 or removed[i - 1] != x - 1)
+    return removed, blocks, len(partners)
 
 
 def align_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("key", pa.int64()), ("place", pa.int32()), ("length", pa.int32())]))
-    for batch in small_batches(batches):
-        found = [align(matches) for matches in batch.column("matches").to_pylist()]
-        removed, partners, rest = zip(*found, strict=True) if found else ((), (), ())
+    for batch in small_batches(batches, 64):
+        removed, blocks, partners = zip(*(align(matches) for matches in batch.column("matches").to_pylist()), strict=True)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"), pa.array(removed, pa.list_(pa.int32())), pa.array(partners, pa.list_(pa.int64())),
-                pa.array(rest, kind),
+                batch.column("doc_id"), pa.array(removed, pa.list_(pa.int32())), pa.array(blocks, pa.int64()), pa.array(partners, pa.int64()),
             ],
-            ["doc_id", "removed", "partners", "rest"],
+            ["doc_id", "removed", "blocks", "partners"],
         )
 
 
-def drop_covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, rest`` without the windows whose lines are all in ``removed``."""
-    for batch in small_batches(batches):
-        rest = [
-            [w for w in windows or () if not covered(gone or [], w["place"], w["length"])]
-            for windows, gone in zip(batch.column("rest").to_pylist(), batch.column("removed").to_pylist(), strict=True)
-        ]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rest, batch.column("rest").type)], ["doc_id", "rest"])
-
-
 def held_windows(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``doc_id, key, length, places`` for each document and window; places are sorted."""
     lines = F.transform(F.split(F.col(text_column).cast("string"), "\n"), lambda line: F.trim(line))
@@ -241,62 +238,51 @@ def held_windows(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
-def align_pairs(held: DataFrame, rest: DataFrame, low: int, high: int) -> DataFrame | None:
-    """Alignments of documents with ``rest`` and the holders of these windows from rank ``low`` on, below ``high``.
+def with_owners(held: DataFrame) -> DataFrame:
+    """Windows of later documents beside their first holder: ``owner, owner_places``.
 
-    A pair is aligned with all windows that both hold. None when no window has such a holder before its document.
+    A window whose holders outnumber a partition's fair share is dealt to several tasks, its holder to each of
+    them. There are at most as many such windows as partitions, which bounds the list that is broadcast.
     """
-    wanted = rest.select("doc_id", F.explode("rest.key").alias("key")).distinct()
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("doc_id"))
-    holders = held.join(wanted.select("key").distinct(), "key", "left_semi").select(
-        "key", F.col("doc_id").alias("owner"), rank.alias("rank")
-    ).where((F.col("rank") > low) & (F.col("rank") <= high))
-    pairs = wanted.join(holders, "key").where("owner < doc_id").select("doc_id", "owner").distinct()
-    pairs = materialise(pairs, "pairs")
-    if pairs.isEmpty():
-        return None
-    theirs = held.select(F.col("doc_id").alias("owner"), "key", F.col("places").alias("owner_places"))
-    match = F.struct("owner", "key", "length", "places", "owner_places")
-    matches = pairs.join(held, "doc_id").join(theirs, ["owner", "key"]).groupBy("doc_id", "owner").agg(F.collect_list(match).alias("matches"))
-    return matches.select("doc_id", "matches").mapInArrow(align_documents, ALIGNED)
+    parts = shuffle_partitions(held.sparkSession)
+    owners = held.groupBy("key").agg(
+        F.min(F.struct(F.col("doc_id").alias("owner"), F.col("places").alias("owner_places"))).alias("o"),
+        F.count(F.lit(1)).alias("documents"),
+    ).where("documents > 1").select("key", "o.*", "documents")
+    owners = materialise(owners, "owners")
+    share = F.greatest(F.lit(256), F.ceil(held.groupBy().count().select("count").scalar() / F.lit(parts)))
+    salts = F.ceil(F.col("documents") / share).cast("int")
+    hot = F.broadcast(owners.where(F.col("documents") > share).select("key", salts.alias("salts")))
+    dealt = held.join(hot, "key", "left").withColumn(
+        "salt", F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.col("salts"))).otherwise(F.lit(0)).cast("int")
+    ).drop("salts")
+    copies = owners.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("documents")
+    return dealt.join(copies, ["key", "salt"]).where("doc_id > owner").drop("salt")
 
 
 def aligned_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, removed`` (places of lines that go, from 0), ``blocks, partners`` for documents that overlap."""
     held = materialise(held_windows(df, id_column, text_column), "windows")
-    owners = held.groupBy("key").agg(
-        F.min(F.struct(F.col("doc_id").alias("owner"), F.col("places").alias("owner_places"))).alias("o"),
-        F.count(F.lit(1)).alias("documents"),
-    ).where("documents > 1").select("key", "o.*")
     match = F.struct("owner", "key", "length", "places", "owner_places")
-    gathered = held.join(owners, "key").where("doc_id > owner").groupBy("doc_id").agg(F.collect_list(match).alias("matches"))
-    found = materialise(gathered.mapInArrow(align_documents, ALIGNED), "aligned")
-    rounds, low = [found], 1
-    rest = found.where("size(rest) > 0").select("doc_id", "rest")
-    # Holders are ranked by id: where a window has none of these ranks before its document, it has none of later ones.
-    while not rest.isEmpty() and (more := align_pairs(held, rest, low, 2 * low)) is not None:
-        rounds.append(materialise(more, "aligned"))
-        low *= 2
-        gone = rounds[0]
-        for other in rounds[1:]:
-            gone = gone.unionByName(other)
-        gone = gone.join(rest.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed")
-        )
-        rest = materialise(
-            rest.join(gone, "doc_id").mapInArrow(drop_covered, f"doc_id long, rest {LEFT}").where("size(rest) > 0"), "rest"
-        )
-    found = rounds[0]
-    for other in rounds[1:]:
-        found = found.unionByName(other)
-    return found.groupBy("doc_id").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("partners")))).cast("long").alias("partners"),
-    ).select(
-        "doc_id", "removed",
-        F.size(F.filter("removed", lambda p, i: (i == 0) | (F.get("removed", i - 1) != p - 1))).cast("long").alias("blocks"),
-        "partners",
-    )
+    gathered = with_owners(held).groupBy("doc_id").agg(F.collect_list(match).alias("matches"))
+    return gathered.mapInArrow(align_documents, ALIGNED)
+
+
+def cut_lines(text_column: str):
+    """The rows with the lines named in ``_removed`` cut from the text."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            at = batch.schema.get_field_index(text_column)
+            texts = []
+            for text, removed in zip(batch.column(at).to_pylist(), batch.column("_removed").to_pylist(), strict=True):
+                if text is not None and removed:
+                    lines, gone = text.split("\n"), set(removed)
+                    text = "\n".join(line for i, line in enumerate(lines) if i not in gone)
+                texts.append(text)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+
+    return cut
 
 
 def without_aligned_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -310,11 +296,7 @@ def without_aligned_lines(df: DataFrame, id_column: str = "doc_id", text_column:
         F.col("doc_id").alias("_id"), F.col("removed").alias("_removed"), F.col("blocks").alias("_blocks"),
         F.col("partners").alias("_partners"),
     )
-    kept = F.array_join(
-        F.filter(F.split(F.col(text_column), "\n"), lambda _, i: ~F.array_contains("_removed", i)), "\n"
-    )
-    own = df.drop("_id", "_removed", "_blocks", "_partners")
+    own = df.drop("_id", "_removed", "_blocks", "_partners").withColumn(text_column, F.col(text_column).cast("string"))
     # The same join at any size: what is found grows with the documents.
-    return own.join(found.hint("merge"), own[id_column].cast("long") == found["_id"], "left").withColumn(
-        text_column, F.when(F.size("_removed") > 0, kept).otherwise(F.col(text_column))
-    ).drop("_id")
+    joined = own.join(found.hint("merge"), own[id_column].cast("long") == found["_id"], "left").drop("_id")
+    return joined.mapInArrow(cut_lines(text_column), joined.schema)
