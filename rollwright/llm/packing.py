@@ -2,11 +2,16 @@
 
 Documents become pieces of at most ``capacity`` ids. Pieces are dealt to partitions of a set mean size and
 packed there, largest first, each into the fullest sequence that still takes it. Dual feasible functions
-give a number of sequences that no packing of a partition's pieces can go below. After each round the full
-sequences are done. If the sequences still open are as many as the bound over all their pieces, the packing
-is certified; otherwise what lies in open sequences is exchanged between partitions, fewer than before, and
-best-fit decreasing runs again over the new mix, until one partition holds all that is left or ``rounds``
-have passed. Both the count and the bound of a piece's last partition are returned.
+give a number of sequences that no packing of given lengths can go below.
+
+* A partition whose sequences are as few as its bound is certified. Where they are as few as its ids alone ask for,
+  it is done but for its least full sequence, whose pieces may still fill gaps elsewhere. Where the bound comes
+  from the lengths, a sequence is done if not even the smallest piece of all would fit into it.
+* A partition with a gap gives back what lies in sequences that are not full.
+* What is given back is exchanged between partitions, fewer than before, and best-fit decreasing runs again
+  over the new mix. This ends once all sequences together are as many as the bound over all pieces, once an
+  exchange among certified partitions has gained nothing, once one partition holds all that is left, or after
+  ``rounds``.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from rollwright.llm.tokens import byte_encoder
 from rollwright.session import materialise
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
-PACKED = "place long, piece_key long, length long, sequence long, offset long, held long, bins long, bound long"
+PACKED = "place long, piece_key long, length long, sequence long, offset long, certified boolean, again boolean"
 
 
 def cut_lengths(total: int, capacity: int) -> list[int]:
@@ -86,8 +91,8 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets
 
 
-def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Sequences that any packing of these lengths needs.
+def lower_bound(lengths: np.ndarray, capacity: int, counts: np.ndarray | None = None) -> int:
+    """Sequences that any packing of these lengths needs; ``counts`` says how often each occurs, if not once.
 
     Each function maps lengths to weights of which no sequence can hold more than ``capacity``:
     the lengths themselves; for a threshold t, lengths over capacity - t count whole and those under t
@@ -95,7 +100,9 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     """
     if not len(lengths):
         return 0
-    sizes, counts = np.unique(lengths, return_counts=True)
+    sizes = lengths
+    if counts is None:
+        sizes, counts = np.unique(lengths, return_counts=True)
     bound = -(-int(sizes @ counts) // capacity)
     for t in sizes[sizes * 2 <= capacity]:
         weights = np.where(sizes > capacity - t, capacity, np.where(sizes >= t, sizes, 0))
@@ -107,50 +114,63 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     return bound
 
 
-def _pack(capacity: int):
+def _pack(capacity: int, smallest: int):
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("piece_key", kind="stable")
         lengths = group["length"].to_numpy()
         bins, offsets = best_fit_decreasing(lengths, capacity)
+        held = np.bincount(bins, lengths).astype(np.int64)
+        certified = len(held) == lower_bound(lengths, capacity)
+        again = held < capacity
+        if len(held) == -(-int(lengths.sum()) // capacity):
+            again &= np.arange(len(held)) == np.argmin(held)
+        elif certified:
+            again &= capacity - held >= smallest
         return pd.DataFrame({
             "place": group["place"], "piece_key": group["piece_key"], "length": lengths, "sequence": bins,
-            "offset": offsets, "held": np.bincount(bins, lengths)[bins].astype(np.int64), "bins": int(bins.max()) + 1,
-            "bound": lower_bound(lengths, capacity),
+            "offset": offsets, "certified": certified, "again": again[bins],
         })
 
     return pack
 
 
 def pack(pieces: DataFrame, capacity: int, partition_pieces: int = 8192, rounds: int = 8) -> DataFrame:
-    """Adds ``sequence_id``, ``offset``, and the ``bins`` and ``bound`` of the partition that placed the piece.
+    """Adds ``sequence_id``, ``offset``, and ``certified``: whether the partition that placed the piece met its bound.
 
-    ``pieces`` needs ``length`` (1 to ``capacity``); its other columns are kept. ``partition_pieces`` is the
-    mean number of pieces in a partition: it bounds what one task holds, whatever the size of the input.
-    Pieces of full capacity are sequences of their own. No rows in, no rows out.
+    ``pieces`` needs ``length`` (1 to ``capacity``); its other columns are kept, but for some of the names added
+    here. ``partition_pieces`` is the mean number of pieces in a partition: it bounds what one task holds,
+    whatever the size of the input. Pieces of full capacity are sequences of their own. Rows that repeat are
+    pieces of their own. No rows in, no rows out.
     """
-    numbered = materialise(pieces.withColumn("piece_key", F.monotonically_increasing_id()), "pieces")
-    one = F.lit(1).cast("long")
+    numbered = materialise(
+        pieces.drop("sequence_id", "offset", "certified").withColumn("piece_key", F.monotonically_increasing_id()), "pieces"
+    )
     placed = numbered.where(F.col("length") == capacity).select(
-        "piece_key", (F.col("piece_key") * 16).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
-        one.alias("bins"), one.alias("bound"),
+        "piece_key", (F.col("piece_key") * 16).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(True).alias("certified"),
     )
     left = numbered.where(F.col("length") < capacity).select("piece_key", "length")
-    count = left.count()
-    for turn in range(min(rounds, 15)):
+    # One row for each length, of which there are fewer than the capacity.
+    sizes = [(r["length"], r["count"]) for r in left.groupBy("length").count().collect()]
+    count, done = sum(n for _, n in sizes), 0
+    least = lower_bound(np.array([x for x, _ in sizes], np.int64), capacity, np.array([n for _, n in sizes], np.int64))
+    rounds, before = max(1, min(rounds, 15)), count
+    for turn in range(rounds if count else 0):
         places = max(1, -(-count // partition_pieces))
         dealt = left.withColumn("place", F.pmod(F.xxhash64("piece_key", F.lit(turn)), F.lit(places)))
-        packed = materialise(dealt.groupBy("place").applyInPandas(_pack(capacity), PACKED), "packed")
-        still = packed.where(F.col("held") < capacity)
-        held, used = still.agg(
-            F.coalesce(F.sum("length"), F.lit(0)), F.count_distinct("place", "sequence")
-        ).first()
-        done = places == 1 or turn == min(rounds, 15) - 1 or used <= -(-held // capacity)
-        placed = placed.unionByName((packed if done else packed.where(F.col("held") == capacity)).select(
-            "piece_key", ((F.col("place") * (1 << 24) + F.col("sequence")) * 16 + (turn + 1)).alias("sequence_id"),
-            "offset", "bins", "bound",
+        packed = materialise(dealt.groupBy("place").applyInPandas(_pack(capacity, min(x for x, _ in sizes)), PACKED), "packed")
+        made = packed.groupBy("place", "again").agg(
+            F.count_distinct("sequence").alias("n"), F.count(F.lit(1)).alias("pieces"), F.bool_and("certified").alias("certified")
+        )
+        sums = made.groupBy("again").agg(F.sum("n").alias("n"), F.sum("pieces").alias("pieces"), F.bool_and("certified").alias("certified"))
+        found = {r["again"]: r for r in sums.collect()}
+        used = sum(r["n"] for r in found.values())
+        idle = used >= before and all(r["certified"] for r in found.values())
+        last = places == 1 or turn == rounds - 1 or True not in found or done + used <= least or idle
+        placed = placed.unionByName((packed if last else packed.where("NOT again")).select(
+            "piece_key", ((F.col("place") * (1 << 24) + F.col("sequence")) * 16 + (turn + 1)).alias("sequence_id"), "offset", "certified",
         ))
-        if done:
+        if last:
             break
-        left = still.select("piece_key", "length")
-        count = left.count()
+        done, before = done + used - found[True]["n"], found[True]["n"]
+        left, count = packed.where("again").select("piece_key", "length"), found[True]["pieces"]
     return numbered.join(placed, "piece_key").drop("piece_key")
