@@ -3,19 +3,23 @@
 Measures are counted on whole texts. A rule rejects a text whose measure lies above a cutoff. For every
 stratum and measure the candidate cutoffs are a fixed grid; on a labelled holdout the false rejections of
 a cutoff are the good texts that it rejects. If a rule's true rate of false rejection were over its
-``limit``, the chance of so few false rejections would be at most the binomial tail P(X <= r), X ~ Bin(n, limit):
-the cutoff is accepted where this tail is at most ``risk`` divided by the number of tests (Bonferroni:
-cutoffs, measures and strata), which is the exact Clopper-Pearson bound. Of the accepted cutoffs of a
-stratum and measure the lowest is used; where none is accepted, the rule rejects nothing. The limit is shared
-evenly by the measures: with probability 1 - ``risk``, the cutoffs in use together reject at most ``limit``
-of the good texts of their stratum.
+``limit``, the chance of so few false rejections would be at most the binomial tail P(X <= r), X ~ Bin(n, limit),
+which is the exact Clopper-Pearson bound. The limit is shared evenly by the measures.
+
+The cutoffs of a measure are nested, so they are tested in fixed sequence, from the loosest to the strictest, until
+one fails: that needs no division by their number. The sequences of all strata and measures share the risk by Holm's
+steps: each has an equal share, and those accepted to their end leave theirs to the others. A stratum too small for
+any cutoff, even without a false rejection, counts as scarce: scarce strata are tested as one, with a share of the
+risk of its own (``pooled``), and use its cutoffs. Of the accepted cutoffs the strictest is used; without
+one a rule rejects nothing. With probability 1 - ``risk``, the cutoffs in use together reject at most ``limit``
+of the good texts of every stratum tested by itself, and of the scarce ones taken together.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollwright.session import materialise
@@ -108,61 +112,85 @@ def rates(measured: DataFrame) -> DataFrame:
     })
 
 
-def most_allowed(n: Column, limit: float, level: Column) -> Column:
-    """The largest r with P(Bin(n, limit) <= r) <= level, -1 if there is none; ``level`` lies below one half.
+def log_tail(n: Column, r: Column, limit: float) -> Column:
+    """ln P(Bin(n, limit) <= r), summed term by term in logarithms from 0 on."""
+    first = n * math.log(1 - limit)
 
-    Terms are summed in logarithms from r = 0 on. Such a tail ends below the mean, so n * limit + 1 terms do.
-    """
-    start = F.struct(
-        (n * math.log(1 - limit)).alias("term"), (n * math.log(1 - limit)).alias("total"),
-        F.lit(-1).cast("long").alias("most"),
-    )
-
-    def step(a: Column, r: Column) -> Column:
-        term = a["term"] + F.log((n - r).cast("double") / (r + 1)) + math.log(limit / (1 - limit))
+    def step(a: Column, k: Column) -> Column:
+        term = a["term"] + F.log((n - k + 1).cast("double") / k) + math.log(limit / (1 - limit))
         high, low = F.greatest(a["total"], term), F.least(a["total"], term)
-        return F.struct(
-            term.alias("term"), (high + F.log1p(F.exp(low - high))).alias("total"),
-            F.when(a["total"] <= F.log(level), r).otherwise(a["most"]).alias("most"),
-        )
+        return F.struct(term.alias("term"), (high + F.log1p(F.exp(low - high))).alias("total"))
+
+    terms = F.when(r >= 1, F.sequence(F.lit(1).cast("long"), r)).otherwise(F.array().cast("array<bigint>"))
+    return F.aggregate(terms, F.struct(first.alias("term"), first.alias("total")), step, lambda a: a["total"])
 
-    terms = F.sequence(F.lit(0).cast("long"), F.floor(n * limit).cast("long"))
-    return F.aggregate(terms, start, step, lambda a: a["most"])
+
+def held_levels(tests: DataFrame, risk: float) -> DataFrame:
+    """``stratum, measure, cutoff`` accepted at ``risk``, from ``stratum, measure, cutoff, place, worst``.
+
+    ``place`` counts the cutoffs of a sequence from the loosest on; ``worst`` is the largest logarithm of a tail
+    up to it. Sequences are a few for each stratum: those that hold to their end, sorted by that tail, are
+    compared with the risk over the sequences left, and what is left shares the risk evenly.
+    """
+    ends = tests.groupBy("stratum", "measure").agg(F.max("worst").alias("end"))
+    steps = ends.select(
+        "stratum", "measure", "end", F.row_number().over(Window.orderBy("end", "stratum", "measure")).alias("step"),
+        F.count(F.lit(1)).over(Window.partitionBy()).alias("m"),
+    )
+    short = steps.where(F.col("end") > F.log(F.lit(risk) / (F.col("m") - F.col("step") + 1)))
+    # Where every sequence holds to its end nothing is left to share, and any level up to the whole risk will do.
+    level = F.coalesce(
+        short.groupBy().agg(F.min(F.log(F.lit(risk) / (F.col("m") - F.col("step") + 1))).alias("level")).select("level").scalar(), F.lit(math.log(risk))
+    )
+    return tests.where(F.col("worst") <= level).select("stratum", "measure", "cutoff")
 
 
 def cutoffs(
-    measured: DataFrame, labels: DataFrame, limit: float = 0.01, risk: float = 0.05,
+    measured: DataFrame, labels: DataFrame, limit: float = 0.01, risk: float = 0.05, pooled: float = 0.5,
 ) -> DataFrame:
     """``stratum, measure, cutoff`` for each cutoff in use.
 
     ``labels`` has ``doc_id, quality``; a row counts as a good text where quality is 1 and the base rules
-    pass. Rows without a label, id or measure count nowhere; labels of one id given twice count once.
+    pass. Rows without a label, id or measure count nowhere; labels of one id given twice count once. A stratum
+    without a good text has no cutoff.
     """
-    grid = [(measure, float(cut)) for measure, cuts in GRID.items() for cut in cuts]
+    grid = [(measure, int(cut), place) for measure, cuts in GRID.items() for place, cut in enumerate(sorted(cuts, reverse=True))]
+    share = limit / len(GRID)
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
     holdout = measured.where("NOT base_failed").join(good, "doc_id", "left_semi")
     counts = holdout.groupBy("stratum").agg(
         F.count(F.lit(1)).alias("n"),
-        *(F.count_if(F.col(m) > c).alias(f"r{i}") for i, (m, c) in enumerate(grid)),
-    )
-    # The number of tests: strata are counted over the labelled holdout, in an aggregate over one row each.
-    tests = len(grid) * counts.select("stratum").groupBy().count().select("count").scalar()
-    unfolded = counts.select(
-        "stratum", "n",
-        F.explode(F.array(*(
-            F.struct(F.lit(m).alias("measure"), F.lit(int(c)).cast("long").alias("cutoff"), F.col(f"r{i}").alias("r"))
-            for i, (m, c) in enumerate(grid)
-        ))).alias("test"),
+        *(F.count_if(F.col(m) > c).alias(f"r{i}") for i, (m, c, _) in enumerate(grid)),
     )
-    levels = counts.select("stratum", "n").withColumn("level", F.lit(risk) / tests)
-    bound = levels.select("stratum", most_allowed(F.col("n"), limit / len(GRID), F.col("level")).alias("most"))
-    accepted = unfolded.join(bound, "stratum").where(F.col("test.r") <= F.col("most"))
-    return accepted.groupBy("stratum", "test.measure").agg(F.min("test.cutoff").alias("cutoff"))
+    # One row for each stratum; the number of strata is an aggregate over those.
+    strata = counts.select("stratum").groupBy().count().select("count").scalar()
+    needed = F.log(F.lit(risk * (1 - pooled) / len(GRID)) / strata)
+    counts = materialise(counts.withColumn("scarce", F.col("n") * math.log(1 - share) > needed), "holdout")
+    sums = [F.sum(c).alias(c) for c in counts.columns if c not in ("stratum", "scarce")]
+    together = counts.where("scarce").groupBy().agg(*sums).where("n > 0").select(F.lit("").alias("stratum"), F.lit(True).alias("scarce"), *(s for s in counts.columns if s not in ("stratum", "scarce")))
+
+    def tested(rows: DataFrame) -> DataFrame:
+        unfolded = rows.select("stratum", "n", F.explode(F.array(*(
+            F.struct(F.lit(m).alias("measure"), F.lit(c).cast("long").alias("cutoff"), F.lit(place).alias("place"), F.col(f"r{i}").alias("r"))
+            for i, (m, c, place) in enumerate(grid)
+        ))).alias("t")).select("stratum", "n", "t.*")
+        # A tail over more than the mean is no evidence, and is not summed: more terms than n * limit never help.
+        tail = F.when(F.col("r") <= F.col("n") * share, log_tail(F.col("n"), F.col("r"), share)).otherwise(F.lit(0.0))
+        so_far = Window.partitionBy("stratum", "measure").orderBy("place")
+        return unfolded.withColumn("worst", F.max(tail).over(so_far))
+
+    own = held_levels(tested(counts.where("NOT scarce")), risk * (1 - pooled))
+    shared = held_levels(tested(together), risk * pooled).select("measure", "cutoff")
+    # At most one row for each measure.
+    pool = shared.groupBy("measure").agg(F.min("cutoff").alias("cutoff")).groupBy().agg(F.collect_list(F.struct("measure", "cutoff")).alias("held"))
+    scarce = counts.where("scarce").select("stratum", F.explode(pool.select("held").scalar()).alias("t")).select("stratum", "t.*")
+    use = own.unionByName(scarce)
+    return use.groupBy("stratum", "measure").agg(F.min("cutoff").alias("cutoff"))
 
 
 def quality_verdicts(
     df: DataFrame, labels: DataFrame, stratum: str = "lang", id_column: str = "doc_id", text_column: str = "text",
-    limit: float = 0.01, risk: float = 0.05,
+    limit: float = 0.01, risk: float = 0.05, pooled: float = 0.5,
 ) -> DataFrame:
     """Base measures of every row, ``stratum``, and ``kept``: base rules pass and no cutoff of the stratum rejects.
 
@@ -170,15 +198,14 @@ def quality_verdicts(
     become one row for each stratum. No rows in, no rows out; without labels the base rules decide alone.
     """
     measured = materialise(rates(base_measures(df, stratum, id_column, text_column)), "measures")
-    in_use = cutoffs(measured, labels, limit, risk).groupBy("stratum").agg(
+    in_use = cutoffs(measured, labels, limit, risk, pooled).groupBy("stratum").agg(
         *(F.max(F.when(F.col("measure") == m, F.col("cutoff"))).alias(f"{m}_cutoff") for m in GRID)
     )
     rejected = F.lit(False)
     for m in GRID:
         rejected = rejected | F.coalesce(F.col(m) > F.col(f"{m}_cutoff"), F.lit(False))
-    # A cutoff is accepted only with at least log(1 / risk) / limit good labelled texts in its stratum, so these
-    # rows are fewer than the labels by that factor: small enough to send to every task, and no stratum is hot.
-    return measured.join(F.broadcast(in_use), "stratum", "left").select(
+    # One row for each stratum that has cutoffs, so no stratum is hot; Spark broadcasts it where it has found it small.
+    return measured.join(in_use, "stratum", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~rejected).alias("kept"), "stratum",
     )

@@ -79,7 +79,7 @@ def op9_bound_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(
         table(spark, sf_dir, "documents"), tokenizer_path(BYTE_VOCABULARY), capacity=2048, end_id=0
     ).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack(pieces, 2048).drop("bins", "bound")
+    return packing.pack(pieces, 2048)
 
 
 @query
@@ -104,8 +104,8 @@ def op5_risk_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op5_sql() -> str:
-    grid = [(m, c) for m, cuts in quality_rules.GRID.items() for c in cuts]
-    tests = ", ".join(f"('{m}', {c})" for m, c in grid)
+    grid = [(m, c, i) for m, cuts in quality_rules.GRID.items() for i, c in enumerate(sorted(cuts, reverse=True))]
+    tests = ", ".join(f"('{m}', {c}, {i})" for m, c, i in grid)
     value = "CASE g.measure " + " ".join(f"WHEN '{m}' THEN f.{m}" for m in quality_rules.GRID) + " END"
     limit = 0.01 / len(quality_rules.GRID)
     blank = "[\\x20\\x09-\\x0D]"
@@ -136,17 +136,29 @@ def _op5_sql() -> str:
             CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS repeat_rate,
             CASE WHEN n_words > 0 THEN word_chars // n_words ELSE 0 END AS long_words, -n_words AS short_text
         FROM m
-    ), g AS (SELECT * FROM (VALUES {tests}) AS g(measure, cutoff)),
+    ), g AS (SELECT * FROM (VALUES {tests}) AS g(measure, cutoff, place)),
     held AS (SELECT * FROM f WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
-    counts AS (
-        SELECT f.stratum, g.measure, g.cutoff, count(*) AS n, count(*) FILTER (WHERE {value} > g.cutoff) AS r
-        FROM held f, g GROUP BY ALL
+    base AS (SELECT stratum, count(*) AS n FROM held GROUP BY ALL),
+    sizes AS (
+        SELECT stratum, n * ln(1 - {limit}) > ln(0.025 / {len(quality_rules.GRID)} / (SELECT count(*) FROM base)) AS scarce FROM base
+    ), counts AS (
+        SELECT CASE WHEN scarce THEN '' ELSE stratum END AS s, scarce, g.measure, g.cutoff, g.place, count(*) AS n,
+            count(*) FILTER (WHERE {value} > g.cutoff) AS r
+        FROM held f JOIN sizes USING (stratum), g GROUP BY ALL
     ), tails AS (
-        SELECT stratum, n, r, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({limit}) + (n - k) * ln(1 - {limit}))) AS tail
-        FROM (SELECT DISTINCT stratum, n, r FROM counts), unnest(range(0, r + 1)) AS u(k) GROUP BY ALL
-    ), used AS (
-        SELECT stratum, measure, min(cutoff) AS cutoff FROM counts JOIN tails USING (stratum, n, r)
-        WHERE r <= n * {limit} AND tail <= 0.05 / ({len(grid)} * (SELECT count(DISTINCT stratum) FROM held)) GROUP BY ALL
+        SELECT n, r, ln(sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({limit}) + (n - k) * ln(1 - {limit})))) AS tail
+        FROM (SELECT DISTINCT n, r FROM counts WHERE r <= n * {limit}), unnest(range(0, r + 1)) AS u(k) GROUP BY ALL
+    ), seq AS (
+        SELECT s, scarce, measure, cutoff, max(coalesce(tail, 0)) OVER (PARTITION BY s, scarce, measure ORDER BY place) AS worst
+        FROM counts LEFT JOIN tails USING (n, r)
+    ), ends AS (SELECT s, scarce, measure, max(worst) AS e FROM seq GROUP BY ALL),
+    steps AS (
+        SELECT scarce, e, ln(0.025 / (count(*) OVER (PARTITION BY scarce) - row_number() OVER (PARTITION BY scarce ORDER BY e, s, measure) + 1)) AS level
+        FROM ends
+    ), levels AS (SELECT scarce, coalesce(min(level) FILTER (WHERE e > level), ln(0.025)) AS level FROM steps GROUP BY scarce),
+    passed AS (SELECT s, scarce, measure, min(cutoff) AS cutoff FROM seq JOIN levels USING (scarce) WHERE worst <= level GROUP BY ALL),
+    used AS (
+        SELECT stratum, measure, cutoff FROM sizes JOIN passed ON sizes.scarce = passed.scarce AND (sizes.scarce OR s = stratum)
     )
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
         NOT base_failed AND NOT EXISTS (
