@@ -1,8 +1,8 @@
 """Divergence of the word use of sources, with terms as digests until the results are known.
 
-A task turns whole texts into rows ``lang, source, digest, term, n, docs``: how often a term occurs in the
-texts of a group that the task has seen, and in how many of them. These rows are written once. From then on
-only 64-bit digests are read and shuffled, and the column of terms stays on disk but for two uses:
+A task turns whole texts into rows ``lang, source, digest, n, docs``: how often a term occurs in the texts of a
+group that the task has seen, and in how many of them. Beside them it gives each distinct term once, with its
+digest. Both are written once. From then on only 64-bit digests are shuffled, and terms are read for two uses:
 
 * digests that enough documents hold get their smallest and largest term. Where these differ, terms collide:
   such digests are counted again with the term beside them, and every later step knows them by both.
@@ -16,7 +16,7 @@ sources: the terms that one source lacks count there with its share of an unseen
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,55 +30,112 @@ from rollwright.session import materialise
 
 SCALE = 1_000_000_000
 COUNTED = "lang string, source string, digest long, term string, n long, docs long"
+COLUMNS = ["lang", "source", "digest", "term", "n", "docs"]
 # A byte that belongs to no term becomes a blank; A-Z become a-z.
 TERM_BYTES = bytes(
     b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256)
 )
 
 
-def term_counts(
-    df: DataFrame, text_column: str = "text", lang_column: str = "lang", source_column: str = "source",
-    digest_bits: int = 64, held_terms: int = 200_000,
-) -> DataFrame:
-    """Counts of terms by group, a few rows for each task and term. A task holds ``held_terms`` and one batch."""
-    mask = (1 << digest_bits) - 1
+def summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Group, digest, occurrences and documents, added up by group and digest."""
+    group, digest, n, docs = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((digest, group))
+    group, digest = group[order], digest[order]
+    new = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (digest[1:] != digest[:-1])]))
+    return group[new], digest[new], np.add.reduceat(n[order], new), np.add.reduceat(docs[order], new)
+
+
+def _digest(bits: int) -> Callable[[bytes], int]:
+    mask = (1 << bits) - 1
 
     def digest(term: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(term) & mask
         return value - (1 << 64) if value >> 63 else value
 
-    def rows(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, docs) in held.items():
-            if n:
-                terms = sorted(n)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(terms)), pa.array([source] * len(terms)),
-                        pa.array([digest(t) for t in terms], pa.int64()), pa.array([t.decode() for t in terms]),
-                        pa.array([n[t] for t in terms], pa.int64()), pa.array([docs[t] for t in terms], pa.int64()),
-                    ],
-                    ["lang", "source", "digest", "term", "n", "docs"],
-                )
+    return digest
+
+
+def _groups_and_texts(df: DataFrame, text_column: str, lang_column: str, source_column: str) -> DataFrame:
+    names = {"lang": lang_column, "source": source_column, "text": text_column}
+    return df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for name, c in names.items()))
+
+
+def term_counts(texts: DataFrame, digest_bits: int = 64, held_rows: int = 1 << 19) -> DataFrame:
+    """Counts by group and digest (``term`` is null), and the terms of all digests (``n`` and ``docs`` are 0).
+
+    A task adds up what it has seen, gives it out once it has ``held_rows`` counts or terms, and holds no more.
+    """
+    digest = _digest(digest_bits)
+
+    def counts(parts: list[tuple[np.ndarray, ...]], names: list[tuple[str, str]]) -> pa.RecordBatch:
+        group, digests, n, docs = parts[0]
+        langs, sources = (pa.array(x, pa.string()) for x in zip(*names, strict=True))
+        at = pa.array(group)
+        return pa.RecordBatch.from_arrays(
+            [langs.take(at), sources.take(at), pa.array(digests), pa.nulls(len(group), pa.string()), pa.array(n), pa.array(docs)], COLUMNS
+        )
+
+    def terms(known: dict[bytes, int]) -> pa.RecordBatch:
+        zeros = pa.array(np.zeros(len(known), np.int64))
+        blank = pa.array([""] * len(known), pa.string())
+        return pa.RecordBatch.from_arrays(
+            [blank, blank, pa.array(list(known.values()), pa.int64()), pa.array([t.decode() for t in known], pa.string()), zeros, zeros], COLUMNS
+        )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-        size = 0
+        known: dict[bytes, int] = {}
+        groups: dict[tuple[str, str], int] = {}
+        parts: list[tuple[np.ndarray, ...]] = []
+        pending = least = 0
         for batch in small_batches(batches):
             for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True):
-                n, docs = held.setdefault((lang, source), (Counter(), Counter()))
-                size -= len(n)
-                words = text.encode().translate(TERM_BYTES).split()
-                n.update(words)
-                docs.update(set(words))
-                size += len(n)
-                if size > held_terms:
-                    yield from rows(held)
-                    held, size = {}, 0
-        yield from rows(held)
-
-    return df.select(
-        *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for c, name in ((lang_column, "lang"), (source_column, "source"), (text_column, "text")))
-    ).mapInArrow(count, COUNTED)
+                found = Counter(text.encode().translate(TERM_BYTES).split())
+                if not found:
+                    continue
+                for term in found:
+                    if term not in known:
+                        known[term] = digest(term)
+                size = len(found)
+                group = groups.setdefault((lang, source), len(groups))
+                pending += size
+                parts.append((
+                    np.full(size, group), np.fromiter(map(known.__getitem__, found), np.int64, size),
+                    np.fromiter(found.values(), np.int64, size), np.ones(size, np.int64),
+                ))
+            if pending > max(least, held_rows // 4):
+                parts, pending = [summed(parts)], 0
+                least = len(parts[0][0])
+                if least >= held_rows:
+                    yield counts(parts, list(groups))
+                    parts, groups, least = [], {}, 0
+            if len(known) >= held_rows:
+                yield terms(known)
+                known = {}
+        if parts:
+            yield counts([summed(parts)], list(groups))
+        if known:
+            yield terms(known)
+
+    return texts.mapInArrow(count, COUNTED)
+
+
+def counts_by_term(texts: DataFrame, digest_bits: int = 64) -> DataFrame:
+    """Counts by group and term, a row for each text and term, with the term's digest."""
+    digest = _digest(digest_bits)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 64):
+            rows = [
+                (lang, source, digest(term), term.decode(), n, 1)
+                for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True)
+                for term, n in Counter(text.encode().translate(TERM_BYTES).split()).items()
+            ]
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+            columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], COLUMNS)
+
+    return texts.mapInArrow(count, COUNTED)
 
 
 def share(n: Column, total: Column, kinds: Column) -> Column:
@@ -93,27 +150,30 @@ def gap(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
-def split_counts(counted: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
+def split_counts(texts: DataFrame, least_docs: int, digest_bits: int) -> tuple[DataFrame, DataFrame]:
     """Counts by ``lang, source, digest, split`` of terms that may be kept, and ``digest, split, term`` of them.
 
-    ``split`` is the term itself where its digest is that of another term too, '' otherwise.
+    ``split`` is the term itself where its digest is that of another term too, '' otherwise. Texts are read again
+    for such digests only.
     """
+    counted = materialise(term_counts(texts, digest_bits), "counted")
     by_digest = materialise(
-        counted.groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "digests"
+        counted.where("term IS NULL").groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "digests"
     )
     frequent = by_digest.groupBy("lang", "digest").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs)
-    candidates = materialise(frequent.select("digest").distinct(), "frequent")
-    texts = materialise(
-        counted.join(candidates, "digest", "left_semi").groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")), "terms"
+    candidates = frequent.select("digest").distinct()
+    held = materialise(
+        counted.where("term IS NOT NULL").groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high"))
+        .join(candidates, "digest", "left_semi"), "terms",
     )
-    alone = texts.where("low = high")
+    alone = held.where("low = high")
     clear = by_digest.join(alone.select("digest"), "digest", "left_semi").withColumn("split", F.lit(""))
     terms = alone.select("digest", F.lit("").alias("split"), F.col("low").alias("term"))
-    mixed = texts.where("low < high").select("digest")
+    mixed = held.where("low < high").select("digest")
     if not mixed.isEmpty():
-        again = counted.join(mixed, "digest", "left_semi").groupBy("lang", "source", "digest", F.col("term").alias("split")).agg(
-            F.sum("n").alias("n"), F.sum("docs").alias("docs")
-        )
+        again = counts_by_term(texts, digest_bits).join(mixed, "digest", "left_semi").groupBy(
+            "lang", "source", "digest", F.col("term").alias("split")
+        ).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
         again = materialise(again, "collisions")
         clear = clear.unionByName(again)
         terms = terms.unionByName(again.select("digest", "split", F.col("split").alias("term")).distinct())
@@ -159,8 +219,7 @@ def source_divergence(
         df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang_column, "lang"), (source_column, "source")))).distinct(),
         "groups",
     )
-    counted = materialise(term_counts(df, text_column, lang_column, source_column, digest_bits), "counted")
-    clear, terms = split_counts(counted, least_docs)
+    clear, terms = split_counts(_groups_and_texts(df, text_column, lang_column, source_column), least_docs, digest_bits)
     key = ["lang", "digest", "split"]
     kept = clear.groupBy(*key).agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= least_docs).drop("docs")
     used = materialise(clear.drop("docs").join(kept, key), "used")
