@@ -82,3 +82,21 @@ def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
             x = (hashes ^ salt) * np.uint64(0xD6E8FEB86659FD93)
             least[i] = (x ^ (x >> np.uint64(32))).min() * (salt | np.uint64(1))
     return least
+
+
+def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
+    """For each set, a row of its least values under many permutations; sets must not be empty.
+
+    All sets lie side by side, so that each permutation is one pass over them, in 32 bits. Values of different
+    coordinates are kept apart by the coordinate's number in the upper half.
+    """
+    sizes = np.array([len(s) for s in sets])
+    low = np.concatenate(sets).astype(np.uint32)
+    starts = np.cumsum(sizes) - sizes
+    salts = spread(np.arange(1, coordinates + 1, dtype=np.uint64) * np.uint64(ODD))
+    found = np.empty((len(sets), coordinates), np.uint64)
+    with np.errstate(over="ignore"):
+        for i, salt in enumerate(salts):
+            x = (low ^ np.uint32(salt >> np.uint64(32))) * (np.uint32(salt & np.uint64(0xFFFFFFFF)) | np.uint32(1))
+            found[:, i] = np.minimum.reduceat(x ^ x >> np.uint32(16), starts).astype(np.uint64) | np.uint64(i + 1) << np.uint64(32)
+    return found
