@@ -182,6 +182,14 @@ def round_half_up(c: ColumnLike, n: int = 1) -> Column:
 EXACT_DIGITS = 38
 _LIMB = 19
 _LIMB_TYPE = "decimal(38,0)"
+# Ordinary numbers are added without their text. A double prints at most 17 digits, so that one from 10^e up has no
+# digit beyond the scale 17 - e: that of sums across columns, and of three sums down a column, each for 8 places.
+_DOUBLE_DIGITS = 17
+_PLAIN_SCALE = 22
+_PLAIN_LEAST = 1e-5
+_BANDS = (-4, 4, 12)
+_BAND = 8
+_WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -195,7 +203,11 @@ def exact_limbs(c: ColumnLike) -> list[Column]:
     The number is read off its decimal text, with or without exponent, so that integers, decimals and doubles
     go the same way and none passes through another type. Sums of 10^19 such limbs fit their type.
     """
-    text = as_column(c).cast("string")
+    limbs = _limb_array(as_column(c).cast("string"))
+    return [F.get(limbs, F.lit(i)) for i in range(4)]
+
+
+def _limb_array(text: Column) -> Column:
     text = F.when(text != "NaN", text)
 
     def point_and_digits(t: Column) -> Column:
@@ -229,12 +241,20 @@ def exact_limbs(c: ColumnLike) -> list[Column]:
         complaint = F.raise_error(F.concat(F.lit("too many digits to add exactly: "), v["text"]))
         return F.when(fits, limbs).otherwise(complaint.cast(f"array<{_LIMB_TYPE}>"))
 
-    limbs = F.when(text.isNotNull(), _let(_let(_let(text, point_and_digits), parts), cut))
-    return [F.get(limbs, F.lit(i)) for i in range(4)]
+    return F.when(text.isNotNull(), _let(_let(_let(text, point_and_digits), parts), cut))
 
 
-def exact_result(limbs: Sequence[Column], result: str = "double") -> Column:
-    """The number that sums of limbs stand for: carried once from the lowest up, then cast to ``result``."""
+def add_limbs(numbers: Sequence[Column], limbs: Sequence[Column] = ()) -> Column:
+    """The limbs of numbers, and given ones, added up as an array; null and NaN are absent."""
+    zero = F.lit(0).cast(_LIMB_TYPE)
+    zeros = F.array(*[zero] * 4)
+    start = F.array(*[F.coalesce(limb, zero) for limb in limbs]) if limbs else zeros
+    texts = F.array(*[c.cast("string") for c in numbers])
+    return F.aggregate(texts, start, lambda held, text: F.zip_with(held, F.coalesce(_limb_array(text), zeros), lambda a, b: (a + b).cast(_LIMB_TYPE)))
+
+
+def exact_result(limbs: Column, result: str = "double") -> Column:
+    """The number that an array of added limbs stands for: carried once from the lowest up, then cast to ``result``."""
     base = F.lit("1" + "0" * _LIMB).cast(_LIMB_TYPE)
 
     def carry(state: Column, limb: Column) -> Column:
@@ -266,7 +286,7 @@ def exact_result(limbs: Sequence[Column], result: str = "double") -> Column:
             F.concat(F.when(signed, F.lit("-")).otherwise(F.lit("")), x["number"]).alias("number"), x["scale"].alias("scale")
         ))
 
-    sums = F.struct(limbs[0].alias("top"), F.array(*reversed(limbs[1:])).alias("lower"))
+    sums = _let(limbs, lambda v: F.struct(F.get(v, F.lit(0)).alias("top"), F.reverse(F.slice(v, 2, 3)).alias("lower")))
     number = _let(sums, text)
     if not result.startswith("decimal"):
         return number["number"].cast(result)
@@ -280,10 +300,67 @@ def exact_result(limbs: Sequence[Column], result: str = "double") -> Column:
     return _let(number, fitted)
 
 
+def _fits_by_type(c: Column, scale: int) -> Column:
+    """The type alone says that no value has more digits after the point. Settled when the plan is made."""
+    kind = F.typeof(c)
+    digits = F.regexp_extract(kind, r"^decimal\(\d+,(\d+)\)$", 1).try_cast("int")
+    return kind.isin(*_WHOLE_TYPES) | F.coalesce(digits <= scale, F.lit(False))
+
+
+def _is_nan(c: Column) -> Column:
+    return F.typeof(c).isin("double", "float") & F.isnan(c.try_cast("double"))
+
+
+def plain_sum(numbers: Sequence[Column]) -> tuple[Column, Column]:
+    """Whether ordinary decimal addition is exact for these numbers, and if so their sum; nulls and NaN are absent.
+
+    It is for whole numbers, decimals and doubles of 0 or at least 10^-5 whose sum has 16 digits before the point and
+    ``_PLAIN_SCALE`` after it. Added two by two, each round needs one digit more and none is rounded off.
+    """
+    spare = (len(numbers) - 1).bit_length()
+    kept, most = f"decimal({EXACT_DIGITS - spare},{_PLAIN_SCALE})", 10.0 ** (EXACT_DIGITS - _PLAIN_SCALE - spare)
+    fits, terms = F.lit(True), []
+    for c in numbers:
+        size = F.abs(c.try_cast("double"))
+        exact = F.when(F.typeof(c) == "double", (size == 0) | (size >= _PLAIN_LEAST)).otherwise(_fits_by_type(c, _PLAIN_SCALE))
+        fits = fits & (c.isNull() | _is_nan(c) | F.coalesce(exact & (size < most), F.lit(False)))
+        terms.append(F.coalesce(F.when(size < most, c.try_cast(kept)), F.lit(0).cast(kept)))
+    while len(terms) > 1:
+        terms = [a + b for a, b in zip(terms[::2], terms[1::2])] + terms[len(terms) // 2 * 2 :]
+    return fits, terms[0]
+
+
+def exact_addends(c: ColumnLike) -> tuple[list[Column], Column]:
+    """A number as decimals to be summed apart, most of them null, and as itself if it goes by its text.
+
+    A double goes, by its size, to one of three scales that holds all its digits, a whole number to the last of them;
+    a decimal of up to 19 digits on each side of the point is cut there, for the first and the last. Sums of 10^13 such
+    numbers fit their types. The rest (other types, very small and very large numbers) is for ``exact_limbs``.
+    """
+    c = as_column(c)
+    size = F.abs(c.try_cast("double"))
+    is_double, is_whole = F.typeof(c) == "double", F.typeof(c).isin(*_WHOLE_TYPES)
+    is_cut = ~is_whole & _fits_by_type(c, _LIMB) & (size < 10.0**_LIMB)
+    bands = [is_double & (size >= 10.0**e) & (size < 10.0 ** (e + _BAND)) for e in _BANDS]
+    types = [f"decimal({EXACT_DIGITS},{_DOUBLE_DIGITS - e})" for e in _BANDS]
+    addends = [F.when(band, c.try_cast(kept)) for band, kept in zip(bands, types)]
+    addends[0] = addends[0].when(is_cut, F.pmod(c, F.lit(1)).try_cast(types[0]))
+    addends[-1] = addends[-1].when(is_whole, c.try_cast(types[-1])).when(is_cut, F.floor(c).try_cast(types[-1]))
+    done = reduce(lambda a, b: a | b, bands) | (is_double & (size == 0)) | is_whole | is_cut | _is_nan(c)
+    return addends, F.when(~done, c)
+
+
 def exact_sum_of(columns: Sequence[ColumnLike], result: str = "double") -> Column:
-    """Decimal-exact sum across columns of one row; nulls and NaN count as absent."""
-    terms = [[F.coalesce(limb, F.lit(0).cast(_LIMB_TYPE)) for limb in exact_limbs(c)] for c in columns]
-    return exact_result([reduce(lambda a, b: a + b, limbs).cast(_LIMB_TYPE) for limbs in zip(*terms, strict=True)], result)
+    """Decimal-exact sum across columns of one row; nulls and NaN count as absent.
+
+    Ordinary numbers are added as decimals; only a row with others goes by their text.
+    """
+    columns = [as_column(c) for c in columns]
+    by_text = exact_result(add_limbs(columns), result)
+    if result != "double":
+        return by_text
+    fits, total = plain_sum(columns)
+    return F.when(fits, total.cast(result)).otherwise(by_text)
 
 
 # -- dates --------------------------------------------------------------------------------------

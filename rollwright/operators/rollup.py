@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollwright.functions.columns import exact_limbs, exact_result
+from rollwright.functions.columns import add_limbs, exact_addends, exact_limbs, exact_result, plain_sum
 from rollwright.operators.filters import combination_mask
 from rollwright.operators.numbering import rank_groups
 from rollwright.session import materialise
@@ -38,13 +38,18 @@ def max_length(df: DataFrame, column: str, in_bytes: bool = False, name: str = "
 def exact_sum(column: str, result: str = "double") -> Column:
     """Decimal-exact sum of integers, decimals or doubles, skipping null and NaN; 0 over nothing.
 
-    Doubles count as the decimal text that Spark prints for them. ``result`` is the type to return:
+    Doubles count as the decimal text that Spark prints for them; ordinary numbers are summed as decimals, so that only
+    the others, and the sums, are cut by their text. ``result`` is the type to return:
     ``double`` (rounded once, at the end), a decimal type, or ``string`` for every digit. A value with more than
     ``EXACT_DIGITS`` digits on a side of the point, and a sum that the result type cannot hold, are errors.
     """
-    limbs = exact_limbs(F.col(column))
-    sums = [F.coalesce(F.sum(limb), F.lit(0).cast("decimal(38,0)")) for limb in limbs]
-    return exact_result(sums, result).alias(f"exact_sum({column})")
+    addends, rest = exact_addends(column)
+    sums, rest_limbs = [F.sum(a) for a in addends], [F.sum(limb) for limb in exact_limbs(rest)]
+    total = exact_result(add_limbs(sums, rest_limbs), result)
+    if result == "double":
+        fits, short = plain_sum(sums)
+        total = F.when(rest_limbs[0].isNull() & fits, short.cast(result)).otherwise(total)
+    return total.alias(f"exact_sum({column})")
 
 
 def ordered_union(lists: Sequence[Sequence[str]]) -> list[str]:

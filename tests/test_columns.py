@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from decimal import ROUND_HALF_UP, Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -121,6 +122,40 @@ def test_exact_sum_of_columns(values):
     assert got == [(0.3,), (3.75,), (0.0,)]
 
 
+def by_text(text):
+    return F.when(text.isNotNull(), F.raise_error(F.lit("by text")).cast("array<decimal(38,0)>"))
+
+
+def test_ordinary_numbers_of_a_row_add_without_their_text(values, monkeypatch):
+    monkeypatch.setattr(C, "_limb_array", by_text)
+    data = [(0.1, 3, Decimal("-0.3000000001")), (NAN, None, None), (-1e13, 2**43, Decimal("9999.5")), (1e-5, -1, Decimal(0)), (-0.0, 0, Decimal(0))]
+    got = values(data, "a double, b bigint, c decimal(20,10)", C.exact_sum_of(["a", "b", "c"]))
+    assert got == [(2.7999999999,), (0.0,), (float(-(10**13) + 2**43 + Decimal("9999.5")),), (-0.99999,), (0.0,)]
+    for odd in (1e-6, 1e14):
+        with pytest.raises(Exception, match="by text"):
+            values([(odd, None, None)], "a double, b bigint, c decimal(20,10)", C.exact_sum_of(["a", "b", "c"]))
+
+
+def test_exact_sum_of_columns_of_every_size(spark):
+    draw = random.Random(8)
+    near = [float(f"{s}{m}e{e}") for e in range(-12, 30) for m in ("1", "9.999999999999998", "1.0000000000000002") for s in "+-"] + [0.0, -0.0, NAN, None]
+    kinds = "a double, b double, c float, d bigint, e string"
+    data = [
+        (draw.choice(near), draw.choice(near), draw.choice([0.1, -2.5, 1e10, NAN, None]), draw.choice([2**63 - 1, -(2**63), 10**14, -7, None]),
+         draw.choice(["9999999999999999999.9999999999", "-0.0000000001", "99999999999999.5", None]))
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame(data, kinds).withColumn("e", F.col("e").cast("decimal(38,10)"))
+    totals = [C.exact_sum_of(c).alias("".join(c)) for c in (["a"], ["a", "b"], ["c", "a"], ["d", "a"], ["e"], ["a", "b", "c", "d", "e"])]
+    got = df.select(*totals, *[F.col(c).cast("string").alias(f"text_{c}") for c in "abcde"]).collect()
+    with localcontext() as context:
+        context.prec = 200
+        for r in got:
+            for name in ("a", "ab", "ca", "da", "e", "abcde"):
+                texts = [r[f"text_{c}"] for c in name]
+                assert r[name] == float(sum((Decimal(t) for t in texts if t not in (None, "NaN")), Decimal(0)))
+
+
 def test_assemble_date_text(values):
     got = values(
         [("7", "04", "2006"), ("7", "04", "1900"), ("7", None, "2006")],
