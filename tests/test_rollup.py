@@ -12,6 +12,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from rollwright.functions import columns as C
 from rollwright.operators import rollup as R
 from tests.conftest import rows
 
@@ -195,6 +196,35 @@ def test_exact_sum_by_result_type(spark):
         spark.createDataFrame([(float("inf"),)], "x double").agg(R.exact_sum("x")).collect()
 
 
+def test_ordinary_numbers_sum_without_their_text(spark, monkeypatch):
+    stop = F.raise_error(F.lit("by text")).cast("array<decimal(38,0)>")
+    monkeypatch.setattr(C, "_limb_array", lambda text: F.when(text.isNotNull(), stop))
+    data = [("x", 0.1, 7, "-0.0000000003"), ("x", 123456.789, None, "12.5"), ("x", float("nan"), -9, None), ("x", 1e12, 0, "0"), ("y", None, None, None), ("y", -0.0, None, None)]
+    df = spark.createDataFrame(data, "k string, a double, b int, t string").withColumn("c", F.col("t").cast("decimal(38,10)"))
+    got = rows(df.groupBy("k").agg(*[R.exact_sum(c).alias(c) for c in "abc"]))
+    assert got == [("x", 1000000123456.889, -2.0, 12.4999999997), ("y", 0.0, 0.0, 0.0)]
+    with pytest.raises(Exception, match="by text"):
+        spark.createDataFrame([(1e-6,)], "a double").agg(R.exact_sum("a")).collect()
+
+
+def test_exact_sum_over_sizes_and_groups(spark):
+    draw = random.Random(9)
+    data = [
+        (i % 12, draw.choice([1, -1]) * draw.random() * 10.0 ** draw.randrange(-7, 4 + i % 23), draw.choice([0.1, -3.5, None]), draw.randrange(-(10**28), 10**28), draw.randrange(-(2**63), 2**63))
+        for i in range(600)
+    ]
+    df = spark.createDataFrame([(k, a, f, f"{d / 10**9:.9f}" if k % 2 else "-1.25", n) for k, a, f, d, n in data], "k int, a double, f float, t string, n bigint")
+    df = df.withColumn("d", F.col("t").cast("decimal(38,9)")).drop("t")
+    got = df.groupBy("k").agg(*[R.exact_sum(c).alias(c) for c in "afdn"], R.exact_sum("d", "string").alias("text")).collect()
+    texts = df.select("k", *[F.col(c).cast("string") for c in "afdn"]).collect()
+    with localcontext() as context:
+        context.prec = 200
+        for r in got:
+            for c in "afdn":
+                want = sum((Decimal(t[c]) for t in texts if t["k"] == r["k"] and t[c] is not None), Decimal(0))
+                assert r[c] == float(want) and (c != "d" or Decimal(r["text"]) == want)
+
+
 def test_cells_come_from_a_range_and_dictionaries(spark):
     df = spark.createDataFrame(PEOPLE, SCHEMA)
     cells = R.cross_scaffold(df, ["grade"], SETS, allowed=[{"grade": ["03"]}, {"race": ["", "B"], "grade": ["03", "10"]}])
