@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Rect = tuple[float, float, float, float]
@@ -133,10 +133,11 @@ def region_text_by_table(
     held = rectangles.where("x0 <= x1 AND y0 <= y1").select(
         *side, "region", *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")]
     ).distinct().withColumn("__level", level)
+    held = held.withColumn("__rank", F.dense_rank().over(Window.partitionBy("region").orderBy("x0", "y0", "x1", "y1")))
     height = F.pow(F.lit(2.0), F.col("__level")) * band
     held = held.select(
         *[F.col(c).alias(f"__{c}") for c in [*side, "x0", "y0", "x1", "y1"]],
-        "region", "__level", F.explode(F.sequence(F.floor(F.col("y0") / height), F.floor(F.col("y1") / height))).alias("__band"),
+        "region", "__rank", "__level", F.explode(F.sequence(F.floor(F.col("y0") / height), F.floor(F.col("y1") / height))).alias("__band"),
     )
     levels = sorted(r["__level"] for r in held.select("__level").distinct().collect())
     places = F.array(*[
@@ -151,11 +152,18 @@ def region_text_by_table(
     )
     box = F.struct(F.col(across).alias("across"), F.col(word).alias("word"), "x0", "y0", "x1", "y1")
     found = keyed.join(held, same & inside_of).select(
-        *page, "region", _line_key(line).alias("__line"), F.struct(box.alias("box"), F.struct("__x0", "__y0", "__x1", "__y1").alias("by")).alias("__hit")
+        *page, "region", _line_key(line).alias("__line"), box.alias("__box"), "__rank"
     )
     keys = [*page, "region", "__line"]
-    # Of the rectangles of one region that hold a box the least counts; a line's hits are few.
-    lines = found.repartition(*keys).groupBy(*keys).agg(F.array_sort(F.collect_list("__hit")).alias("__hits"))
-    once = F.filter("__hits", lambda h: ~F.exists("__hits", lambda o: (o["box"] == h["box"]) & (o["by"] < h["by"])))
-    lines = lines.select(*keys, F.array_join(F.transform(once, lambda h: h["box"]["word"]), " ").alias("text"))
+    # Of the rectangles of one region that hold a box the least counts. Boxes are counted by rectangle and then across
+    # them, rank and count in one number, all as the line is partitioned: nothing is compared pair by pair.
+    counted = found.repartition(*keys).groupBy(*keys, "__box", "__rank").agg(F.count("*").alias("__n"))
+    ranked = F.shiftleft(F.col("__rank").cast("bigint"), 32) + F.col("__n")
+    least = counted.groupBy(*keys, "__box").agg(F.min(ranked).alias("__least")).select(
+        *keys, F.col("__box.across").alias("__across"), F.col("__box.word").alias("__word"), F.col("__least").bitwiseAND(2**32 - 1).cast("int").alias("__n")
+    )
+    copies = F.when(F.col("__n") == 1, F.col("__word")).when(F.col("__word").isNotNull(), F.array_join(F.array_repeat("__word", F.col("__n")), " "))
+    lines = least.withColumn("__copies", copies).groupBy(*keys).agg(
+        F.expr("coalesce(listagg(__copies, ' ') within group (order by __across, __word), '')").alias("text")
+    )
     return lines.groupBy(*page, "region").agg(F.expr("listagg(text, '\\n') within group (order by __line)").alias("text"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from rollwright.operators.regions import region_text, region_text_long
+from rollwright.operators.regions import region_text, region_text_by_table, region_text_long
 from rollwright.plans import classify as CL
 from rollwright.plans import pages as PG
 from rollwright.plans import roster as RO
@@ -291,6 +293,34 @@ def test_region_text(spark):
     assert rows(region_text(keyed, by_template, template="template"), "page", "top", "rest")[0] == (1, "one", None)
 
 
+def test_region_text_by_table_counts_boxes_and_compares_no_pairs(spark):
+    draw = random.Random(3)
+    schema = "doc int, t string, x0 double, y0 double, x1 double, y1 double, word string"
+    words = [(draw.randrange(3), draw.choice(["a", "b", None]), float(x := draw.randrange(9)), float(y := draw.randrange(4)), x + 1.0, y + 1.0, draw.choice(["w", "w\t", "w w", "", None])) for _ in range(500)]
+    rects = [("a", "one", 0, 0, 5, 2), ("a", "one", 2, 0, 9, 3), ("a", "two", 0, 1, 99, 99), ("b", "one", 1, 0, 7, 4), ("b", "one", 1, 0, 7, 4), ("b", "two", 8, 0, 3, 4)]
+    table = spark.createDataFrame([(t, r, *map(float, at)) for t, r, *at in rects], "t string, region string, x0 double, y0 double, x1 double, y1 double")
+    got = region_text_by_table(spark.createDataFrame(words, schema), table, page=["doc"], template="t")
+    shape = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in shape and "exists(" not in shape
+    lines = {}
+    for doc, t, x0, y0, x1, y1, word in words:
+        for name, region, *by in set(rects):
+            if name == t and by[0] <= x0 and by[1] <= y0 and x1 <= by[2] and y1 <= by[3]:
+                lines.setdefault((doc, region), {}).setdefault(y0, []).append(((x0, word is not None, word or "", x1), by))
+    want = []
+    for key, found in lines.items():
+        text = []
+        for _, hits in sorted(found.items()):
+            kept = sorted(box for box, by in hits if by == min(b for o, b in hits if o == box))
+            text.append(" ".join(word for _, known, word, _ in kept if known))
+        want.append((*key, "\n".join(text)))
+    assert rows(got.select("doc", "region", "text")) == sorted(want)
+    # A line of 30,000 words.
+    long = spark.range(30_000).selectExpr("1 AS doc", "'a' AS t", "double(id) AS x0", "0D AS y0", "double(id + 1) AS x1", "1D AS y1", "'w' AS word")
+    ((_, _, text),) = rows(region_text_by_table(long, spark.createDataFrame([("a", "all", 0.0, 0.0, 1e9, 9.0)], table.schema), page=["doc"], template="t"))
+    assert text == " ".join(["w"] * 30_000)
+
+
 def test_page_records(spark):
     layout = PG.PageLayout(
         title_region="title", title_columns=["Title", "Subject", "Season"], info_region="info", score_region="score",
