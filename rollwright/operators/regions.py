@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,7 +55,8 @@ def region_text(
     Two steps, line then page: the words of a hot page are gathered by line in many tasks, and only
     finished lines meet in the task that owns the page. A list of words does not shrink before the
     shuffle, so the words are shuffled as they are rather than as half-built lists: each once, with a
-    flag for each region. A page without a word in any region still gives its row.
+    flag for each region. A line then has one list for each region that holds words of it, however many
+    regions there are. A page without a word in any region still gives its row.
     """
     conditions = _region_conditions(regions, template)
     slots = {name: f"__region_{i}" for i, name in enumerate(conditions)}
@@ -65,15 +67,18 @@ def region_text(
         F.col(word).alias("__word"),
         *[F.coalesce(conditions[n], F.lit(False)).alias(s) for n, s in slots.items()],
     )
-    lines = flagged.repartition(*page, "__line").groupBy(*page, "__line").agg(
-        *[
-            F.expr(f"listagg(CASE WHEN {s} THEN __word END, ' ') within group (order by __across, CASE WHEN {s} THEN __word END)").alias(s)
-            for s in slots.values()
-        ]
-    )
-    pages = lines.groupBy(*page).agg(
-        *[F.expr(f"listagg({s}, '\\n') within group (order by __line)").alias(s) for s in slots.values()]
+    # A row for each region that holds the word, or one without a word that keeps the page; made behind the shuffle.
+    held = F.explode(F.array(
+        *[F.when(F.col(s), F.lit(i)) for i, s in enumerate(slots.values())],
+        F.when(~reduce(lambda a, b: a | b, map(F.col, slots.values()), F.lit(False)), F.lit(len(slots))),
+    ))
+    tagged = flagged.repartition(*page, "__line").select(*page, "__line", "__across", "__word", held.alias("__region")).where("__region IS NOT NULL")
+    tagged = tagged.withColumn("__word", F.when(F.col("__region") < len(slots), F.col("__word")))
+    lines = tagged.groupBy(*page, "__line", "__region").agg(
+        F.expr("listagg(__word, ' ') within group (order by __across, __word)").alias("__text")
     )
+    texts = lines.repartition(*page).groupBy(*page, "__region").agg(F.expr("listagg(__text, '\\n') within group (order by __line)").alias("__text"))
+    pages = texts.groupBy(*page).agg(*[F.max(F.when(F.col("__region") == i, F.col("__text"))).alias(s) for i, s in enumerate(slots.values())])
     return pages.select(*page, *[F.col(s).alias(n) for n, s in slots.items()])
 
 

@@ -187,10 +187,11 @@ def read_word_boxes(spark: SparkSession, files: PageFiles) -> DataFrame:
     """Word boxes out of the scanned files. A line with too few columns or no number for an edge is left out."""
     lines = scan_files(spark, files.directory, files.suffix, files.any_of, files.required)
     n = len(files.columns)
-    parts = F.split("line", re.escape(files.separator), n)
-    at = {c: F.get(parts, F.lit(i)) for i, c in enumerate(files.columns)}
+    # Exploded, the cut line is a column of its own: otherwise each condition on a part would cut it again.
+    lines = lines.withColumn("__parts", F.explode(F.array(F.split("line", re.escape(files.separator), n))))
+    at = {c: F.get("__parts", F.lit(i)) for i, c in enumerate(files.columns)}
     edges = {c: at[c].try_cast("double") for c in ("x0", "y0", "x1", "y1")}
-    boxes = lines.where(F.size(parts) == n).select(
+    boxes = lines.where(F.size("__parts") == n).select(
         at.get("doc", F.col("file_name")).alias("doc"),
         *[at[c].alias(c) for c in files.columns if c not in {"doc", "page", "word", *edges}],
         at["page"].try_cast("int").alias("page"),

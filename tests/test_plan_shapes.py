@@ -13,6 +13,7 @@ from rollwright.operators import rollup as R
 from rollwright.operators.numbering import record_number
 from rollwright.operators.regions import region_text
 from rollwright.plans.classify import ClassifyRules, roster_classify
+from rollwright.plans.pages import PageFiles, read_word_boxes
 from rollwright.plans.roster import History, match_split
 
 
@@ -113,6 +114,24 @@ def test_page_text_is_shuffled_twice(spark):
     assert len(re.findall(r"Exchange hashpartitioning", shape)) == 2 and "Join" not in shape
 
 
+def test_page_text_lists_a_line_once_for_all_regions(spark):
+    data = [("d", 1, 0.0, 0.0, 1.0, 1.0, "a"), ("d", 1, 1.0, 0.0, 2.0, 1.0, "b"), ("d", 1, 0.0, 1.0, 1.0, 2.0, "c"), ("e", 2, 50.0, 50.0, 51.0, 51.0, "out"), (None, 3, 0.0, 0.0, 1.0, 1.0, None)]
+    words = spark.createDataFrame(data, "doc string, page int, x0 double, y0 double, x1 double, y1 double, word string")
+    regions = {f"r{i}": (0, 0, 1 + i % 2, 2 - i // 5) for i in range(10)}
+    few, many = (plan(region_text(words, r)).count("listagg(") for r in ({"r0": regions["r0"]}, regions))
+    assert few == many
+    got = {r["doc"]: r for r in region_text(words, regions).collect()}
+    assert [got["d"][c] for c in ("r0", "r1", "r5", "r6")] == ["a\nc", "a b\nc", "a b", "a"]
+    assert set(got) == {"d", "e", None} and not any(got[d][c] for d in ("e", None) for c in regions)
+
+
+def test_a_line_of_boxes_is_cut_once(spark, tmp_path):
+    (tmp_path / "page.boxes").write_text("1\t0\t0\t1\t1\ta\tb\n1\t0\tx\t1\t1\tw\n1\t0\t0\t1\t1\n")
+    boxes = read_word_boxes(spark, PageFiles(str(tmp_path), ".boxes"))
+    assert [tuple(r) for r in boxes.collect()] == [("page.boxes", 1, 0.0, 0.0, 1.0, 1.0, "a\tb")]
+    assert boxes._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "facts")
     spark.range(10).selectExpr("id", "'Y' AS roll", "3 AS kind", "'05' AS grade", "'001001' AS site", "'z' AS unused").write.parquet(path)
