@@ -189,6 +189,8 @@ _PLAIN_SCALE = 22
 _PLAIN_LEAST = 1e-5
 _BANDS = (-4, 4, 12)
 _BAND = 8
+# Places on each side of the point up to which a decimal is cut there by a subtraction.
+_CUT = 18
 _WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -197,51 +199,32 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def exact_limbs(c: ColumnLike) -> list[Column]:
-    """A number cut into four whole ones of up to 19 digits, from the highest down; null for null and NaN.
+def exact_limbs(c: ColumnLike, wanted: Column) -> list[Column]:
+    """A number cut into four whole ones of up to 19 digits, from the highest down; null for null, NaN and what is not wanted.
 
     The number is read off its decimal text, with or without exponent, so that integers, decimals and doubles
     go the same way and none passes through another type. Sums of 10^19 such limbs fit their type.
     """
-    limbs = _limb_array(as_column(c).cast("string"))
+    limbs = F.when(wanted, _limb_array(as_column(c).cast("string")))
     return [F.get(limbs, F.lit(i)) for i in range(4)]
 
 
 def _limb_array(text: Column) -> Column:
-    text = F.when(text != "NaN", text)
-
-    def point_and_digits(t: Column) -> Column:
-        bare = F.ltrim(t, F.lit("-"))
-        number = F.substring_index(bare, "E", 1)
-        power = F.when(F.contains(bare, F.lit("E")), F.substring_index(bare, "E", -1).cast("int")).otherwise(F.lit(0))
-        whole = F.substring_index(number, ".", 1)
-        after = F.when(F.contains(number, F.lit(".")), F.substring_index(number, ".", -1)).otherwise(F.lit(""))
-        return F.struct(
-            t.alias("text"), F.startswith(t, F.lit("-")).alias("minus"), F.concat(whole, after).alias("digits"),
-            (F.length(whole) + power).alias("point"), bare.rlike("^[0-9.E-]+$").alias("number"),
-        )
-
-    def parts(v: Column) -> Column:
-        digits, point = v["digits"], v["point"]
-        filled = F.rpad(digits, F.greatest(point, F.length(digits)), F.lit("0"))
-        before = F.when(point <= 0, F.lit("")).otherwise(F.substring(filled, F.lit(1), point))
-        after = F.when(point < 0, F.concat(F.repeat(F.lit("0"), -point), digits)).otherwise(
-            F.substring(digits, point + 1, F.length(digits))
-        )
-        return F.struct(
-            v["text"].alias("text"), v["minus"].alias("minus"), v["number"].alias("number"),
-            F.ltrim(before, F.lit("0")).alias("before"), F.rtrim(after, F.lit("0")).alias("after"),
-        )
-
-    def cut(v: Column) -> Column:
-        fits = v["number"] & (F.length(v["before"]) <= EXACT_DIGITS) & (F.length(v["after"]) <= EXACT_DIGITS)
-        every = F.concat(F.lpad(v["before"], EXACT_DIGITS, "0"), F.rpad(v["after"], EXACT_DIGITS, "0"))
-        sign = F.when(v["minus"], F.lit("-")).otherwise(F.lit(""))
-        limbs = F.array(*[F.concat(sign, F.substring(every, 1 + _LIMB * i, _LIMB)).cast(_LIMB_TYPE) for i in range(4)])
-        complaint = F.raise_error(F.concat(F.lit("too many digits to add exactly: "), v["text"]))
-        return F.when(fits, limbs).otherwise(complaint.cast(f"array<{_LIMB_TYPE}>"))
-
-    return F.when(text.isNotNull(), _let(_let(_let(text, point_and_digits), parts), cut))
+    """Plain functions, few of them: Spark compiles no aggregation that holds a lambda, and Java no method that is too long."""
+    bare = F.ltrim(text, F.lit("-0"))
+    number = F.substring_index(bare, "E", 1)
+    power = F.substring_index(F.substring_index(F.concat(bare, F.lit("E0")), "E", 2), "E", -1).cast("int")
+    point = F.length(F.substring_index(number, ".", 1)) + power
+    # The point comes to stand behind the same place of every number, far enough for exponents of two digits.
+    before = EXACT_DIGITS + 62
+    sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    digits = F.replace(number, F.lit("."), F.lit(""))
+    placed = F.concat(sign, F.repeat(F.lit("0"), F.lit(before) - point), digits, F.lit("0" * (before + EXACT_DIGITS)))
+    shape = f"^(-?)0{{{before - EXACT_DIGITS}}}" + f"([0-9]{{{_LIMB}}})" * 4 + "0*$"
+    fits = text.rlike(r"^-*([0-9]+[.]?[0-9]*|[.][0-9]+)(E-?[0-9]{1,2})?$") & placed.rlike(shape)
+    limbs = F.split(F.regexp_replace(placed, shape, "$1$2,$1$3,$1$4,$1$5"), ",").cast(f"array<{_LIMB_TYPE}>")
+    complaint = F.raise_error(F.concat(F.lit("too many digits to add exactly: "), text)).cast(f"array<{_LIMB_TYPE}>")
+    return F.when(text != "NaN", F.when(fits, limbs).otherwise(complaint))
 
 
 def add_limbs(numbers: Sequence[Column], limbs: Sequence[Column] = ()) -> Column:
@@ -331,23 +314,25 @@ def plain_sum(numbers: Sequence[Column]) -> tuple[Column, Column]:
 
 
 def exact_addends(c: ColumnLike) -> tuple[list[Column], Column]:
-    """A number as decimals to be summed apart, most of them null, and as itself if it goes by its text.
+    """A number as decimals to be summed apart, most of them null, and whether it goes by its text instead.
 
     A double goes, by its size, to one of three scales that holds all its digits, a whole number to the last of them;
-    a decimal of up to 19 digits on each side of the point is cut there, for the first and the last. Sums of 10^13 such
+    a decimal of up to 18 digits on each side of the point is cut there, for the first and the last. Sums of 10^13 such
     numbers fit their types. The rest (other types, very small and very large numbers) is for ``exact_limbs``.
     """
     c = as_column(c)
     size = F.abs(c.try_cast("double"))
     is_double, is_whole = F.typeof(c) == "double", F.typeof(c).isin(*_WHOLE_TYPES)
-    is_cut = ~is_whole & _fits_by_type(c, _LIMB) & (size < 10.0**_LIMB)
     bands = [is_double & (size >= 10.0**e) & (size < 10.0 ** (e + _BAND)) for e in _BANDS]
     types = [f"decimal({EXACT_DIGITS},{_DOUBLE_DIGITS - e})" for e in _BANDS]
     addends = [F.when(band, c.try_cast(kept)) for band, kept in zip(bands, types)]
-    addends[0] = addends[0].when(is_cut, F.pmod(c, F.lit(1)).try_cast(types[0]))
-    addends[-1] = addends[-1].when(is_whole, c.try_cast(types[-1])).when(is_cut, F.floor(c).try_cast(types[-1]))
-    done = reduce(lambda a, b: a | b, bands) | (is_double & (size == 0)) | is_whole | is_cut | _is_nan(c)
-    return addends, F.when(~done, c)
+    # A decimal without room in this type is null here; the difference keeps every digit, as both types are short enough.
+    is_cut, cut = ~is_whole & _fits_by_type(c, _CUT), c.try_cast(f"decimal({2 * _CUT},{_CUT})")
+    whole = cut.try_cast(f"decimal({_CUT + 1},0)")
+    addends[0] = addends[0].when(is_cut, (cut - whole).try_cast(types[0]))
+    addends[-1] = addends[-1].when(is_whole, c.try_cast(types[-1])).when(is_cut, whole.try_cast(types[-1]))
+    done = reduce(lambda a, b: a | b, bands) | (is_double & (size == 0)) | is_whole | (is_cut & cut.isNotNull()) | _is_nan(c)
+    return addends, ~done
 
 
 def exact_sum_of(columns: Sequence[ColumnLike], result: str = "double") -> Column:

@@ -43,8 +43,8 @@ def exact_sum(column: str, result: str = "double") -> Column:
     ``double`` (rounded once, at the end), a decimal type, or ``string`` for every digit. A value with more than
     ``EXACT_DIGITS`` digits on a side of the point, and a sum that the result type cannot hold, are errors.
     """
-    addends, rest = exact_addends(column)
-    sums, rest_limbs = [F.sum(a) for a in addends], [F.sum(limb) for limb in exact_limbs(rest)]
+    addends, by_text = exact_addends(column)
+    sums, rest_limbs = [F.sum(a) for a in addends], [F.sum(limb) for limb in exact_limbs(column, by_text)]
     total = exact_result(add_limbs(sums, rest_limbs), result)
     if result == "double":
         fits, short = plain_sum(sums)

@@ -225,6 +225,42 @@ def test_exact_sum_over_sizes_and_groups(spark):
                 assert r[c] == float(want) and (c != "d" or Decimal(r["text"]) == want)
 
 
+def test_exact_sum_is_compiled_with_its_aggregation(spark):
+    data = [("x", 0.1, 7, "-0.0000000003", 0.25), ("x", 1e-7, None, "9" * 28 + ".5", -3.5), ("y", None, None, None, None)]
+    df = spark.createDataFrame(data, "k string, a double, b bigint, t string, f float").withColumn("c", F.col("t").cast("decimal(38,10)"))
+    totals = df.groupBy("k").agg(*[R.exact_sum(c, "string").alias(c) for c in "abcf"])
+    assert sorted(tuple(r) for r in totals.collect()) == [("x", "0.1000001", "7", "9" * 28 + ".4999999997", "-3.25"), ("y", "0", "0", "0", "0")]
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"\*\(\d+\) HashAggregate\(keys=\[k#\d+\], functions=\[partial_sum", plan)
+
+
+def test_exact_sum_of_decimals_around_the_cut(spark):
+    near = [f"{s}{w}{p}" for s in ("", "-") for w in ("0", "1", "9" * 17, "9" * 18, "1" + "0" * 18, "9" * 19, "1" + "0" * 19) for p in ("", ".5", ".4999999999", ".9999999999", ".0000000001")]
+    small = [f"{s}{p}" for s in ("", "-") for p in ("0.5", "0." + "9" * 18, "7." + "0" * 17 + "1", "0." + "4" * 18)]
+    data = [(i % 4, near[i % len(near)], small[i % len(small)], str(Decimal(small[i % len(small)]) * 10**18)) for i in range(3 * len(near))]
+    df = spark.createDataFrame(data, "k int, t string, u string, v string")
+    df = df.select("k", F.col("t").cast("decimal(38,10)").alias("t"), F.col("u").cast("decimal(38,18)").alias("u"), F.col("u").cast("decimal(30,19)").alias("w"), F.col("v").cast("decimal(38,0)").alias("v"))
+    got = df.groupBy("k").agg(*[R.exact_sum(c, "string").alias(c) for c in "tuwv"]).collect()
+    texts = df.select("k", *[F.col(c).cast("string") for c in "tuwv"]).collect()
+    with localcontext() as context:
+        context.prec = 200
+        for r in got:
+            for c in "tuwv":
+                assert Decimal(r[c]) == sum((Decimal(t[c]) for t in texts if t["k"] == r["k"]), Decimal(0))
+
+
+def test_numbers_by_their_text(spark):
+    good = ["1E37", "-1.5E-37", "0.0", "-0.00", "000123.4500", ".5", "7.", "0E-10", "9" * 38 + "." + "9" * 38, "-1.7976E20", "12345678901234567890", "1.0E-3", "NaN", None]
+    df = spark.createDataFrame([(t,) for t in good], "t string")
+    with localcontext() as context:
+        context.prec = 200
+        want = sum((Decimal(t) for t in good if t not in (None, "NaN")), Decimal(0))
+    assert Decimal(df.agg(R.exact_sum("t", "string")).first()[0]) == want
+    for bad in ("1E38", "1.0E308", "1.5E-38", "4.9E-324", "1" + "0" * 38, "0." + "0" * 38 + "1", "Infinity", "-Infinity", "abc"):
+        with pytest.raises(Exception, match="too many digits"):
+            spark.createDataFrame([(bad,)], "t string").agg(R.exact_sum("t", "string")).collect()
+
+
 def test_cells_come_from_a_range_and_dictionaries(spark):
     df = spark.createDataFrame(PEOPLE, SCHEMA)
     cells = R.cross_scaffold(df, ["grade"], SETS, allowed=[{"grade": ["03"]}, {"race": ["", "B"], "grade": ["03", "10"]}])
